@@ -274,7 +274,7 @@ def q_fake_window(spark, d):
     return e.groupBy("event_type", "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-_ET_SQL = "make_timestamp((epoch_ms(ts) // 1000) * 1000000)"
+_ET_SQL = "make_timestamp(((epoch_us(ts) // 1000) // 1000) * 1000000)"
 
 
 @query("sql_tumble", f"""
@@ -310,7 +310,7 @@ def q_sql_cumulate(spark, d):
 
 
 @query("over_rows_avg", """
-SELECT event_id, user_id, (sum(epoch_ms(ts)) OVER w // count(*) OVER w)::BIGINT AS avg_ms
+SELECT event_id, user_id, (sum((epoch_us(ts) // 1000)) OVER w // count(*) OVER w)::BIGINT AS avg_ms
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""")
 def q_over_rows_avg(spark, d):
     e = _ev(spark, d).select("event_id", "user_id", "ts", _ms().alias("ms"))
@@ -519,7 +519,7 @@ def q_filter_eq(spark, d):
 
 
 @query("flatmap_fields", """
-SELECT event_id, unnest([event_type, props, CAST(epoch_ms(ts) AS VARCHAR)]) AS field FROM events""")
+SELECT event_id, unnest([event_type, props, CAST((epoch_us(ts) // 1000) AS VARCHAR)]) AS field FROM events""")
 def q_flatmap_fields(spark, d):
     e = _ev(spark, d).withColumn("ms", _ms())
     return PF.fields_as_rows(e, ["event_type", "props", "ms"], keep=["event_id"])
@@ -527,7 +527,7 @@ def q_flatmap_fields(spark, d):
 
 @query("flatmap_conditional", """
 SELECT event_id, unnest(CASE WHEN event_type = 'click' THEN [props]
-                             WHEN event_type = 'view' THEN [event_type, props, CAST(epoch_ms(ts) AS VARCHAR)]
+                             WHEN event_type = 'view' THEN [event_type, props, CAST((epoch_us(ts) // 1000) AS VARCHAR)]
                              ELSE []::VARCHAR[] END) AS out FROM events""")
 def q_flatmap_conditional(spark, d):
     e = _ev(spark, d).withColumn("ms", _ms())
@@ -536,9 +536,9 @@ def q_flatmap_conditional(spark, d):
                              keep=["event_id"])
 
 
-_FRAC_SQL = "coalesce(nullif(rtrim(lpad(CAST(epoch_ms(ts) % 1000 AS VARCHAR), 3, '0'), '0'), ''), '0')"
+_FRAC_SQL = "coalesce(nullif(rtrim(lpad(CAST((epoch_us(ts) // 1000) % 1000 AS VARCHAR), 3, '0'), '0'), ''), '0')"
 _EVENT_TEXT_SQL = (f"'Event{{user=''' || event_type || ''', url=''' || props || ''', timestamp=' || "
-                   f"strftime(make_timestamp(epoch_ms(ts) * 1000), '%Y-%m-%d %H:%M:%S') || '.' || {_FRAC_SQL} || '}}'")
+                   f"strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y-%m-%d %H:%M:%S') || '.' || {_FRAC_SQL} || '}}'")
 
 
 @query("process_expand", f"""
@@ -581,7 +581,7 @@ def q_split_route(spark, d):
 
 
 @query("parse_lines", """
-SELECT CAST(user_id AS VARCHAR) AS "user", event_type AS url, epoch_ms(ts) AS "timestamp" FROM events""")
+SELECT CAST(user_id AS VARCHAR) AS "user", event_type AS url, (epoch_us(ts) // 1000) AS "timestamp" FROM events""")
 def q_parse_lines(spark, d):
     lines = _ev(spark, d).select(F.concat_ws(", ", F.col("user_id").cast("string"), "event_type",
                                              _ms().cast("string")).alias("value"))
@@ -624,7 +624,7 @@ SELECT event_id,
             lambda a, x: (a * 31 + x) % 4294967296, 0::BIGINT) + 2147483648) % 4294967296) - 2147483648 AS INTEGER) AS type_hash,
        {_EVENT_TEXT_SQL} AS event_text,
        {_ET_SQL} AS et,
-       epoch_ms(ts) // 1000 AS secs,
+       (epoch_us(ts) // 1000) // 1000 AS secs,
        event_id % 2 AS parity,
        value / 2 AS half_value,
        '{{"' || user_id || '":"' || event_type || '"}}' AS doc
