@@ -12,7 +12,9 @@ column, monotone with the order) and works in three distributed steps:
 1. local pass: ``Window.partitionBy(key, bucket)`` - row number, running
    aggregates and the last ``k`` rows inside the bucket;
 2. bucket summary: one row per (key, bucket) with its count, aggregates and
-   its last ``k`` rows (at most ``k`` per bucket, never a whole bucket);
+   its last ``k`` rows (at most ``k`` per bucket, never a whole bucket),
+   computed from the input by partial aggregation / partial top-k, so only
+   small rows cross the network;
    a window over the *summary* (``partitionBy(key).orderBy(bucket)``) gives
    the carry-in of every bucket: rows, aggregates and the ``k`` rows before
    it (these come from at most ``k`` previous buckets, each holding >= 1 row);
@@ -28,6 +30,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickengine.functions.expressions import as_col, int_div, ts_to_micros
 
@@ -87,41 +90,48 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
     k, rcols = recent if recent else (0, [])
     B = "_oscan_bkt"
     ocols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    d_all = df.withColumn(B, bucket)
-    valid = F.lit(True)
-    for c in [*key, B]:
-        valid = valid & F.col(c).isNotNull()
-    # The main path carries an explicit non-null filter so that both of its
-    # branches (rows and bucket summary) are the same plan and share one
-    # exchange.  Rows with a null key or order value take a plain per-key
-    # window instead (parquet null counts let that scan skip row groups).
-    d = d_all.where(valid)
-
-    w_local = Window.partitionBy(*key, B).orderBy(*ocols)
+    # Partition / join keys are non-nullable surrogates: (coalesce(key,
+    # default), key is null) and the bucket with nulls mapped to the bucket
+    # that sorts first (null order values sort first ascending, last
+    # descending).  Null keys and null order values are thus handled in the
+    # same plan, plain equality joins work, and the two branches below carry
+    # no inferred null filters, so they are one plan and share one exchange.
+    d = df
+    pkeys = []
+    for i, c in enumerate(key):
+        d = (d.withColumn(f"_oscan_k{i}", F.coalesce(F.col(c), _default(df.schema[c].dataType)))
+              .withColumn(f"_oscan_n{i}", F.col(c).isNull()))
+        pkeys += [f"_oscan_k{i}", f"_oscan_n{i}"]
+    d = d.withColumn(B, F.coalesce(bucket.cast("bigint"), F.lit(_NULL_BUCKET).cast("bigint")))
+
+    w_local = Window.partitionBy(*pkeys, B).orderBy(*ocols)
     upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = d.withColumn("_oscan_lrn", F.row_number().over(w_local).cast("bigint"))
     for name, spec in running.items():
         local = local.withColumn(f"_oscan_l_{name}", _AGG[spec.kind](spec.expr).over(upto))
     if k:
         row = F.struct(*[F.col(c) for c in rcols])
-        local = (local
-                 .withColumn("_oscan_lrecent", F.collect_list(row).over(w_local.rowsBetween(-k, 0)))
-                 .withColumn("_oscan_lcnt", F.count(F.lit(1)).over(
-                     w_local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+        local = local.withColumn("_oscan_lrecent", F.collect_list(row).over(w_local.rowsBetween(-k, 0)))
 
-    # Bucket summary: one row per (key, bucket); partitioned like `local`,
-    # so the aggregate needs no exchange of its own.
+    # Bucket summary, one row per (key, bucket), computed from the input so
+    # that only small rows are shuffled: counts and totals by partial
+    # (map-side) aggregation; the last k rows by `row_number() <= k`, which
+    # Catalyst plans as a partial WindowGroupLimit ahead of the exchange.
     aggs = [F.count(F.lit(1)).alias("_oscan_bcnt")]
     aggs += [_AGG[s.kind](s.expr).alias(f"_oscan_b_{n}") for n, s in running.items()]
+    summary = d.groupBy(*pkeys, B).agg(*aggs)
     if k:
+        rev = [F.col(c).asc() if descending else F.col(c).desc() for c in order]
         order_struct = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in rcols]).alias("r"))
-        tail = F.collect_list(F.when(F.col("_oscan_lrn") > F.col("_oscan_lcnt") - k, order_struct))
-        aggs.append(F.sort_array(tail, asc=not descending).alias("_oscan_btail"))
-    summary = local.groupBy(*key, B).agg(*aggs)
+        tails = (d.withColumn("_oscan_rk", F.row_number().over(Window.partitionBy(*pkeys, B).orderBy(*rev)))
+                  .where(F.col("_oscan_rk") <= k)
+                  .groupBy(*pkeys, B)
+                  .agg(F.sort_array(F.collect_list(order_struct), asc=not descending).alias("_oscan_btail")))
+        summary = summary.join(tails, on=[*pkeys, B], how="inner")
 
-    w_b = Window.partitionBy(*key).orderBy(F.col(B).desc() if descending else F.col(B).asc())
+    w_b = Window.partitionBy(*pkeys).orderBy(F.col(B).desc() if descending else F.col(B).asc())
     before = w_b.rowsBetween(Window.unboundedPreceding, -1)
-    carry = [*key, B, F.sum("_oscan_bcnt").over(before).alias("_oscan_ccnt")]
+    carry = [*pkeys, B, F.sum("_oscan_bcnt").over(before).alias("_oscan_ccnt")]
     for n, s in running.items():
         carry.append(_AGG[s.kind](F.col(f"_oscan_b_{n}")).over(before).alias(f"_oscan_c_{n}"))
     if k:
@@ -129,11 +139,9 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
         carry.append(F.transform(prev_tails, lambda x: x["r"]).alias("_oscan_halo"))
     carry_df = summary.select(*carry)
 
-    # Left join on plain equality: keeps the local branch identical to the one
-    # feeding the summary (no inferred filters), so its exchange is reused,
-    # and the big side keeps its (key, bucket) partitioning.  Keys must be
-    # non-null (a null key would get only its in-bucket values).
-    out = local.join(carry_df, on=[*key, B], how="left")
+    # The big side keeps its (key, bucket) partitioning; only the summary
+    # (one row per key and bucket) moves.
+    out = local.join(carry_df, on=[*pkeys, B], how="left")
     if rn:
         out = out.withColumn(rn, F.col("_oscan_lrn") + F.coalesce(F.col("_oscan_ccnt"), F.lit(0)))
     for n, s in running.items():
@@ -144,23 +152,20 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
         both = F.coalesce(both, F.col("_oscan_lrecent"))
         keep = F.slice(both, F.greatest(F.size(both) - (k + 1), F.lit(0)) + 1, k + 1)
         out = out.withColumn(recent_name, keep)
-    drop = [c for c in out.columns if c.startswith("_oscan_")]
-    out = out.drop(*drop)
-    return out.unionByName(_plain_scan(d_all.where(~valid).drop(B), key, ocols, running,
-                                       k, rcols, rn, recent_name))
+    return out.drop(*[c for c in out.columns if c.startswith("_oscan_")])
 
 
-def _plain_scan(df, key, ocols, running, k, rcols, rn, recent_name):
-    w = Window.partitionBy(*key).orderBy(*ocols)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if rn:
-        df = df.withColumn(rn, F.row_number().over(w).cast("bigint"))
-    for n, s in running.items():
-        df = df.withColumn(n, _AGG[s.kind](s.expr).over(upto))
-    if k:
-        row = F.struct(*[F.col(c) for c in rcols])
-        df = df.withColumn(recent_name, F.collect_list(row).over(w.rowsBetween(-k, 0)))
-    return df
+_NULL_BUCKET = -(1 << 63)
+
+
+def _default(dt: T.DataType) -> Column:
+    """A non-null stand-in value of the key's type (paired with a null flag)."""
+    if isinstance(dt, T.StringType):
+        return F.lit("")
+    if isinstance(dt, T.BinaryType):
+        return F.lit(bytearray()).cast(dt)
+    return F.lit(0).cast(dt) if not isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)) \
+        else F.lit(0).cast("timestamp").cast(dt)
 
 
 def lag_of(recent: str, field: str, n: int) -> Column:

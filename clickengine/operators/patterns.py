@@ -59,18 +59,13 @@ def fail_state_machine(df: DataFrame, key: list[str], order: list[str], event_ty
     """The explicit state machine of CE3 in arrival order: every failure
     moves one state forward, any other event type resets to the start; an
     alert fires on each failure that completes ``n`` in a row (the machine
-    stays in its last state, so longer runs alert again).
-    Output: key, order columns, ``run_length``."""
+    stays in its last state, so longer runs alert again).  Equivalently: an
+    alert on every row whose last ``n`` rows are all failures.
+    Output: key and order columns of the alerting rows."""
     d = df.withColumn("_fs_fail", F.coalesce(F.col(event_type) == fail, F.lit(False)))
-    d = d.withColumn("_fs_one", F.col("_fs_fail").cast("bigint"))
-    # Fails so far and fails so far at the last break give the run length.
-    d = ordered_scan(d, key, order, bucket, rn=None,
-                     running={"_fs_cf": Running("sum", F.col("_fs_one"))})
-    d = ordered_scan(d, key, order, bucket, rn=None,
-                     running={"_fs_cf_brk": Running("max", F.when(~F.col("_fs_fail"), F.col("_fs_cf")))})
-    run = F.col("_fs_cf") - F.coalesce(F.col("_fs_cf_brk"), F.lit(0))
-    return (d.where(F.col("_fs_fail") & (run >= n))
-             .select(*key, *order, run.alias("run_length")))
+    d = ordered_scan(d, key, order, bucket, recent=(n - 1, ["_fs_fail"]), rn=None, recent_name="_fs_r")
+    all_fail = F.aggregate(F.col("_fs_r"), F.lit(True), lambda a, x: a & x["_fs_fail"])
+    return d.where((F.size("_fs_r") == n) & all_fail).select(*key, *order)
 
 
 def followed_within(df: DataFrame, key: list[str], order: list[str], ts: str, first: Column,

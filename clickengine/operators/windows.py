@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from clickengine.functions.expressions import as_col, int_div, ts_to_micros
 from clickengine.operators.ordered import Running, ordered_scan
+from clickengine.session import materialize
 
 
 def _us(d: str) -> int:
@@ -95,6 +96,9 @@ def session_ids(df: DataFrame, key: list[str], ts: str, order: list[str], gap: s
     d = ordered_scan(d, key, order, bucket, recent=(1, ["_sess_us"]), rn=None, recent_name="_sess_r")
     prev = F.when(F.size("_sess_r") == 2, F.element_at("_sess_r", 1)["_sess_us"])
     d = d.withColumn("_sess_new", prev.isNull() | (F.col("_sess_us") - prev >= gap_us)).drop("_sess_r")
+    # The second scan reads the first one's output twice (rows + bucket
+    # summary): materialise it once instead of recomputing its shuffle.
+    d = materialize(d)
     d = ordered_scan(d, key, order, bucket, rn=None,
                      running={"_sess_start": Running("max", F.when(F.col("_sess_new"), F.col("_sess_us")))})
     return d.drop("_sess_new")

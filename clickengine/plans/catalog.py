@@ -723,7 +723,7 @@ WITH a AS (SELECT user_id, event_id, event_type = 'error' AS f,
                     OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS grp FROM events),
      b AS (SELECT *, sum(CASE WHEN f THEN 1 ELSE 0 END)
                     OVER (PARTITION BY user_id, grp ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM a)
-SELECT user_id, event_id, run::BIGINT AS run_length FROM b WHERE f AND run >= 3""")
+SELECT user_id, event_id FROM b WHERE f AND run >= 3""")
 def q_fail_state_machine(spark, d):
     e = _ev(spark, d).select("user_id", "event_id", "event_type")
     return CE.fail_state_machine(e, ["user_id"], ["event_id"], "event_type", "error", arrival_bucket("event_id"))

@@ -70,3 +70,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{os.getpid()}-{abs(hash(os.urandom(8))) % 10**9}"
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it
+    back (reliable ``checkpoint``, never a local one).  Used between chained
+    scans so a later step does not recompute the earlier shuffles, and so a
+    lost executor does not force recomputation from the source."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
