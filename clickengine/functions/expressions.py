@@ -19,7 +19,8 @@ def java_split(s, sep: str) -> Column:
     array and the empty string gives ``[""]``.  ``sep`` is a literal."""
     s = as_col(s)
     quoted = _regex_quote(sep)
-    stripped = F.regexp_replace(s, f"(?:{quoted})+\\z", "")
+    # a space separator strips with rtrim (no regex); others with a regex
+    stripped = F.rtrim(s) if sep == " " else F.regexp_replace(s, f"(?:{quoted})+\\z", "")
     parts = F.split(stripped, quoted)
     return (F.when(s == "", F.array(F.lit("")))
              .when(stripped == "", F.array().cast("array<string>"))

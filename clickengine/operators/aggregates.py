@@ -24,8 +24,12 @@ def count_by(df: DataFrame, keys: list[str], name: str = "cnt", col: str | None
 
 
 def word_count(df: DataFrame, col: str, sep: str = " ") -> DataFrame:
-    """Batch word count (PF3 + AG1): tokenise on one separator, count."""
-    return count_by(tokenize(df, col, sep), ["word"])
+    """Batch word count (PF3 + AG1): tokenise on one separator, count.
+    Tokenising is the CPU-heavy step, so the text is spread over the
+    cluster's cores first if it arrives in fewer partitions; counting is a
+    partial aggregate per task, then one exchange of (word, partial count)."""
+    from clickengine.operators.distribution import spread
+    return count_by(tokenize(spread(df.select(col)), col, sep), ["word"])
 
 
 def rolling_count(df: DataFrame, key: list[str], order: list[str], bucket: Column,

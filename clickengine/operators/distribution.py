@@ -43,3 +43,13 @@ def by_key(df: DataFrame, key, n: int | None = None) -> DataFrame:
     """Hash partitioning by key (DP7)."""
     keys = [key] if isinstance(key, str) else list(key)
     return df.repartition(n, *keys) if n else df.repartition(*keys)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks (default:
+    the cluster's default parallelism) *only* when the input has fewer
+    partitions, e.g. one large unsplittable file.  Used ahead of CPU-heavy
+    row expansion (tokenising text); a no-op on inputs that are already
+    split across the cluster."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
