@@ -29,6 +29,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
     On a cluster ``master`` is left to spark-submit; tests pass ``local[N]``.
     """
+    # Python processes started by the JVM (workers, the streaming runner that
+    # validates stateful processors) inherit its environment: put the
+    # package root on PYTHONPATH before the JVM is launched.
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -48,9 +55,31 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
             except Exception:  # static conf on a live session
                 pass
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``clickengine`` importable in Python workers (stateful
+    processors are pickled by reference).  Zips the package once and hands
+    it to ``addPyFile``, the programmatic form of ``--py-files``; skipped when
+    the workers can import it already (e.g. installed on the cluster image)."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    stage = tempfile.mkdtemp(prefix="clickengine-pkg-")
+    archive = shutil.make_archive(os.path.join(stage, "clickengine"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
