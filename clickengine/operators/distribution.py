@@ -36,7 +36,7 @@ def gather(df: DataFrame) -> DataFrame:
 def by_partition_id(df: DataFrame, expr: Column, n: int) -> DataFrame:
     """Custom partitioner (DP6): the row goes to partition ``expr``
     (``pmod`` keeps it in range for negative values)."""
-    return df.repartitionById(n, F.pmod(expr, F.lit(n)))
+    return df.repartitionById(n, F.pmod(expr, F.lit(n)).cast("int"))
 
 
 def by_key(df: DataFrame, key, n: int | None = None) -> DataFrame:
