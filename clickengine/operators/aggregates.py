@@ -115,10 +115,11 @@ def tumble_reduce(df: DataFrame, key: str, ts: str, size: str) -> DataFrame:
 
 def url_counts_ranked(df: DataFrame, key: str, ts: str, size: str, slide: str | None = None) -> DataFrame:
     """Per window, every key's count with its position in descending count
-    order (ties by key) - the sorted url->count map of AG15 as rows."""
-    counts = url_view_count(df, key, ts, size, slide)
-    w = Window.partitionBy("window_start", "window_end").orderBy(F.col("cnt").desc(), F.col(key))
-    return counts.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    order (ties by key) - the sorted url->count map of AG15 as rows.  The
+    ranking spreads one window's keys over several tasks (``rank_all``)."""
+    from clickengine.operators.topn import rank_all
+    counts = url_view_count(df, key, ts, size, slide).withColumn("_neg_cnt", -F.col("cnt"))
+    return rank_all(counts, ["window_start", "window_end"], ["_neg_cnt", key]).drop("_neg_cnt")
 
 
 def url_counts_map(df: DataFrame, key: str, ts: str, size: str, slide: str | None = None) -> DataFrame:

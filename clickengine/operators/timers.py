@@ -3,8 +3,9 @@
 A bounded input ends with the watermark at +infinity in the reference
 engine; these forms report what the timers and late-data split produce for
 the rows seen, with the watermark equal to the largest event time so far.
-The global maximum / per-slice maxima are one-row / one-row-per-slice
-aggregates (size bounded by construction) and are joined back by broadcast.
+The global maximum is a scalar subquery (``DataFrame.scalar``: a partial
+max per task, one value broadcast into the filter); the per-slice maxima
+are one row per slice and are joined back by broadcast.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickengine.functions.expressions import int_div, ts_to_micros
+from clickengine.operators.joins import broadcast_if_small
 from clickengine.operators.windows import _us, from_micros
 
 
@@ -22,10 +24,9 @@ def event_timers(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     watermark (largest event time seen) is strictly past it."""
     like = df.schema[ts].dataType
     d_us = _us(delay)
-    wm = df.agg(F.max(ts_to_micros(ts)).alias("_wm"))
+    wm = df.select(F.max(ts_to_micros(ts))).scalar()
     timers = df.select(F.col(key), (ts_to_micros(ts) + d_us).alias("_t")).distinct()
-    return (timers.join(F.broadcast(wm), F.col("_t") < F.col("_wm"))
-                  .select(key, from_micros(F.col("_t"), like).alias("timer_ts")))
+    return timers.where(F.col("_t") < wm).select(key, from_micros(F.col("_t"), like).alias("timer_ts"))
 
 
 def periodic_count(df: DataFrame, key: str, ts: str, every: str) -> DataFrame:
@@ -39,15 +40,18 @@ def periodic_count(df: DataFrame, key: str, ts: str, every: str) -> DataFrame:
     like = df.schema[ts].dataType
     p = _us(every)
     us = ts_to_micros(ts)
-    wm = df.agg(F.max(us).alias("_wm"))
+    wm = df.select(F.max(us)).scalar()
     first = df.groupBy(key).agg(F.min(us).alias("_t0"))
-    rows = df.select(F.col(key), us.alias("_us")).join(first, on=key)
+    # one row per key: broadcast when proven small, else a shuffle join on
+    # the key (AQE splits a skewed key's partition)
+    rows = df.select(F.col(key), us.alias("_us")).join(broadcast_if_small(first), on=key)
     k = F.greatest(F.lit(1), F.ceil((F.col("_us") - F.col("_t0")) / F.lit(p)).cast("bigint"))
     per_tick = rows.groupBy(key, k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    n_ticks = int_div(F.col("_wm") - F.col("_t0") - 1, p)
-    ticks = (first.join(F.broadcast(wm), how="cross")
-                  .where(n_ticks >= 1)
+    n_ticks = int_div(wm - F.col("_t0") - 1, p)
+    ticks = (first.where(n_ticks >= 1)
                   .select(key, "_t0", F.explode(F.sequence(F.lit(1).cast("bigint"), n_ticks)).alias("_k")))
+    # the running sum runs over tick rows (time span / period per key), not
+    # over the key's events
     w = Window.partitionBy(key).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (ticks.join(per_tick, on=[key, "_k"], how="left")
                  .withColumn("cnt", F.sum(F.coalesce(F.col("_n"), F.lit(0))).over(w))

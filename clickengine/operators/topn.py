@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickengine.operators.aggregates import url_view_count
+from clickengine.operators.ordered import ordered_scan
 
 
 def top_n(df: DataFrame, order: list[Column], n: int, name: str = "row_num") -> DataFrame:
@@ -46,3 +47,15 @@ def top_values(df: DataFrame, group: list[str], value: str, n: int) -> DataFrame
     return (df.withColumn("rank", F.row_number().over(w))
               .where(F.col("rank") <= n)
               .select(*group, F.col(value).alias("value"), F.col("rank").cast("bigint").alias("rank")))
+
+
+def rank_all(df: DataFrame, group: list[str], order: list[str], name: str = "rank",
+             partitions: int | None = None) -> DataFrame:
+    """Position of every row within its group by ascending ``order`` (a
+    total order), without putting a whole group into one task: the rows are
+    range-partitioned on (group, order), so one large group spans several
+    range partitions; the range partition id is then monotone along the
+    order and serves as the bucket of a skew-safe ordered scan."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *group, *order).withColumn("_rank_pid", F.spark_partition_id())
+    return ordered_scan(ranged, group, order, F.col("_rank_pid"), rn=name).drop("_rank_pid")
