@@ -91,3 +91,26 @@ def followed_within(df: DataFrame, key: list[str], order: list[str], ts: str, fi
     return d.select(*key, *order, F.col(ts).alias("first_ts"),
                     F.when(ok, from_micros(F.col("_fw_next_us"), like)).alias("then_ts"),
                     F.when(ok, F.lit("matched")).otherwise(F.lit("timeout")).alias("status"))
+
+
+def match_sequence(df: DataFrame, key: list[str], order: list[str], steps: list[Column], bucket: Column,
+                   ts: str, contiguity: str = "strict", times: int = 1, within: str | None = None,
+                   names: list[str] | None = None) -> DataFrame:
+    """One entry for the patterns the reference uses:
+
+    - ``contiguity="strict"``, several steps: ``begin.next.next...`` (CE1)
+    - ``contiguity="strict"``, one step, ``times=n``: ``times(n).consecutive()`` (CE2)
+    - ``contiguity="relaxed"``, two steps, ``within``: ``followedBy`` with a
+      time bound and timeout output (CE4)
+
+    Optional steps, negation, other loops and skip strategies are not used by
+    the reference and not offered."""
+    if contiguity == "strict" and len(steps) == 1:
+        return consecutive_n(df, key, order, steps[0], times, bucket, ts)
+    if contiguity == "strict":
+        seq = [c for c in steps for _ in range(times)]
+        return strict_sequence(df, key, order, seq, bucket, ts,
+                               names or [f"step{i + 1}_ts" for i in range(len(seq))])
+    if contiguity == "relaxed" and len(steps) == 2 and within:
+        return followed_within(df, key, order, ts, steps[0], steps[1], within, bucket)
+    raise ValueError("unsupported pattern: strict steps, strict times(n), or relaxed two steps with within")

@@ -388,3 +388,31 @@ class PreviousAction(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# ------------------------------------------------------------------ ST5
+
+class ProcessingTimeTimers(StatefulProcessor):
+    """Processing-time timer (ST5): every row registers a timer ``delay_ms``
+    after its arrival (wall clock); the timer emits one row.  Run with
+    ``time_mode="ProcessingTime"``.  Output: ``key, kind, at_ms``."""
+
+    OUTPUT = "key string, kind string, at_ms long"
+
+    def __init__(self, delay_ms: int):
+        self.delay = delay_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n = sum(len(r) for r in rows)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        self.handle.registerTimer(now + self.delay)
+        yield pd.DataFrame({"key": [str(key[0])] * n, "kind": ["arrival"] * n, "at_ms": [now] * n})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"key": [str(key[0])], "kind": ["fired"], "at_ms": [expiredTimerInfo.getExpiryTimeInMs()]})
+
+    def close(self) -> None:
+        pass

@@ -183,3 +183,14 @@ def test_split_late(spark):
     builtin = dict(rows(TM.split_late(df, "slice", "et", "10 seconds", "0 seconds", "0 seconds", lag_slices=2)
                         .select("ms", "is_late")))
     assert builtin == {1000: False, 30000: False, 2000: False, 3000: True}
+
+
+def test_match_sequence_entry(spark):
+    df = _logins(spark, OUT_OF_ORDER)
+    fail = F.col("event_type") == "fail"
+    a = CE.match_sequence(df, ["user_id"], ["et", "seq"], [fail, fail, fail], F.lit(0), "ts")
+    b = CE.match_sequence(df, ["user_id"], ["et", "seq"], [fail], F.lit(0), "ts", times=3)
+    assert a.count() == b.count() == 1
+    c = CE.match_sequence(df, ["user_id"], ["et", "seq"], [fail, F.col("event_type") == "success"], F.lit(0), "ts",
+                          contiguity="relaxed", within="10 seconds")
+    assert rows(c, "user_id", "status")[0][0] == "user_1"

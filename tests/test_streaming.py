@@ -214,3 +214,77 @@ def test_buffered_sink_restart(spark, ev):
     n = ev.count()
     assert got.count() == (n // 10) * 10
     assert got.select("event_id").distinct().count() == got.count()
+
+
+def test_union_watermark_is_minimum(spark):
+    """SO1: union of two streams with 2 s and 5 s delays; the combined
+    watermark is the minimum, so a 10 s window closes only when both allow."""
+    from clickengine.operators.transforms import union_streams
+    schema = "user string, ms long"
+    d = _workdir()
+    r1, r2 = StreamReplay(spark, spark.createDataFrame([], schema).schema, d + "/1"), \
+        StreamReplay(spark, spark.createDataFrame([], schema).schema, d + "/2")
+    s1 = r1.source().withColumn("et", F.timestamp_millis("ms")).withWatermark("et", "2 seconds")
+    s2 = r2.source().withColumn("et", F.timestamp_millis("ms")).withWatermark("et", "5 seconds")
+    out = SF.url_view_count(union_streams(s1, s2), "user", "et", "10 seconds")
+    r1.push(spark.createDataFrame([("a", 1000), ("a", 13000)], schema))
+    r2.push(spark.createDataFrame([("b", 2000), ("b", 13000)], schema))
+    r1.run(out)
+    r1.run(out)
+    # min watermark = 13 s - 5 s = 8 s < 10 s: the [0, 10 s) window is still open
+    assert r1.results() is None or r1.results().count() == 0
+    r1.push(spark.createDataFrame([("a", 16000)], schema))
+    r2.push(spark.createDataFrame([("b", 16000)], schema))
+    r1.run(out)
+    r1.run(out)
+    # min watermark = 16 s - 5 s = 11 s: the first window is emitted
+    assert rows(r1.results(), "user", "cnt") == [("a", 1), ("b", 1)]
+
+
+def test_processing_time_timers_smoke(spark, ev):
+    """ST5: processing-time timers fire by the wall clock; the query is
+    bounded by the replay driver's idle stop."""
+    import time
+    r = StreamReplay(spark, ev.schema, _workdir())
+    out = P.run(r.source(), "event_type", P.ProcessingTimeTimers(1), P.ProcessingTimeTimers.OUTPUT,
+                time_mode="ProcessingTime")
+    r.push(ev.where("event_id < 100"))
+    r.run(out, timeout=60)
+    time.sleep(0.1)
+    r.run(out, timeout=60)
+    got = r.results()
+    assert got.where("kind = 'arrival'").count() == 100
+    assert got.where("kind = 'fired'").count() >= 1
+
+
+def test_value_state_ttl_expires(spark, ev):
+    """ST12: with a 1 ms TTL the count state expires between batches."""
+    build = lambda s: P.run(s, "user_id", P.KeyedStateSummary("event_id", "event_type", "ts", ttl_ms=1),
+                            P.KeyedStateSummary.OUTPUT, time_mode="ProcessingTime")
+    got = replay(spark, ev, build, slices=3)
+    final = got.groupBy("key").agg(F.max("cnt").alias("cnt"))
+    exp = ev.groupBy("user_id").count()
+    # counts restart in every batch instead of accumulating
+    assert final.agg(F.sum("cnt")).first()[0] < exp.agg(F.sum("count")).first()[0]
+
+
+def test_builtin_late_drop_matches_split_late(spark):
+    """S3: Spark drops too-late rows silently before the stateful operator.
+    The replay driver runs a no-data batch after every slice, which moves the
+    watermark before the next slice arrives, so here the built-in drop equals
+    the contract rule ``split_late(lag_slices=1)`` (without those batches it
+    lags one more slice: ``lag_slices=2``)."""
+    schema = "slice long, k string, ms long"
+    data = [(0, "x", 1000), (1, "x", 30000), (2, "x", 2000), (3, "x", 3000), (4, "x", 60000)]
+    df = spark.createDataFrame(data, schema).withColumn("et", F.timestamp_millis("ms"))
+    r = StreamReplay(spark, spark.createDataFrame([], schema).schema, _workdir())
+    out = SF.url_view_count(r.source().withColumn("et", F.timestamp_millis("ms")).withWatermark("et", "0 seconds"),
+                            "k", "et", "10 seconds")
+    for i in range(5):
+        r.push(df.where(F.col("slice") == i).drop("et"))
+        r.run(out, "update")
+    counted = r.results().where("window_start = TIMESTAMP '1970-01-01 00:00:00'").agg(F.max("cnt")).first()[0]
+    split = TM.split_late(df, "slice", "et", "10 seconds", "0 seconds", "0 seconds", lag_slices=1)
+    kept = split.where("ms < 10000 AND NOT is_late").count()
+    assert counted == kept == 1
+    assert split.where("is_late").count() == 2      # the side output
