@@ -20,10 +20,20 @@ from clickengine.operators.windows import _us, window_col
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the frame is proven small: counts at most
-    ``max_rows + 1`` rows (bounded work), else leaves the choice to Catalyst."""
-    small = df.limit(max_rows + 1).count() <= max_rows
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       known_rows: int | None = None) -> DataFrame:
+    """Broadcast hint only for a side with a proven size bound.
+
+    ``known_rows``: a bound that holds by construction (e.g. a rule table
+    built from literal rows) - no job is run.  Otherwise the frame is counted
+    up to ``max_rows + 1`` rows; use that only for inputs that are cheap to
+    evaluate.  Sides whose size is only known after computing them (e.g. an
+    aggregate) are better left to AQE, which converts a join to a broadcast
+    join at run time from the measured size of the shuffle stage."""
+    if known_rows is not None:
+        small = known_rows <= max_rows
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if small else df
 
 
@@ -127,7 +137,7 @@ def reconcile(app: DataFrame, third: DataFrame, key: str, app_ts: str, third_ts:
 
 
 def match_transitions(actions: DataFrame, patterns: DataFrame, user: str, action: str, seq: str,
-                      bucket: Column) -> DataFrame:
+                      bucket: Column, patterns_rows: int | None = None) -> DataFrame:
     """Broadcast rule match (JN6, ST13): a user's previous and current
     action equal the pattern in force when the action arrives, the pattern
     in force being the latest one with a smaller ``seq`` (only the newest
@@ -140,7 +150,7 @@ def match_transitions(actions: DataFrame, patterns: DataFrame, user: str, action
     a = a.withColumn("prev_action", F.when(F.size("_prev") == 2, F.element_at("_prev", 1)[action])).drop("_prev")
     p = patterns.select(F.col("action1"), F.col("action2"), F.col("seq").alias("_p_from"),
                         F.lead("seq").over(Window.orderBy("seq")).alias("_p_to"))
-    p = broadcast_if_small(p)
+    p = broadcast_if_small(p, known_rows=patterns_rows)
     cond = [a["prev_action"] == p["action1"], a[action] == p["action2"],
             a[seq] > p["_p_from"], p["_p_to"].isNull() | (a[seq] <= p["_p_to"])]
     return a.join(p, on=cond, how="inner").select(

@@ -4,8 +4,9 @@ A bounded input ends with the watermark at +infinity in the reference
 engine; these forms report what the timers and late-data split produce for
 the rows seen, with the watermark equal to the largest event time so far.
 The global maximum is a scalar subquery (``DataFrame.scalar``: a partial
-max per task, one value broadcast into the filter); the per-slice maxima
-are one row per slice and are joined back by broadcast.
+max per task, one value broadcast into the filter); per-key and per-slice
+tables are joined back by key, and AQE turns those joins into broadcast
+joins at run time when their measured size is small.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickengine.functions.expressions import int_div, ts_to_micros
-from clickengine.operators.joins import broadcast_if_small
 from clickengine.operators.windows import _us, from_micros
 
 
@@ -42,9 +42,10 @@ def periodic_count(df: DataFrame, key: str, ts: str, every: str) -> DataFrame:
     us = ts_to_micros(ts)
     wm = df.select(F.max(us)).scalar()
     first = df.groupBy(key).agg(F.min(us).alias("_t0"))
-    # one row per key: broadcast when proven small, else a shuffle join on
-    # the key (AQE splits a skewed key's partition)
-    rows = df.select(F.col(key), us.alias("_us")).join(broadcast_if_small(first), on=key)
+    # One row per key, known only after the aggregate: AQE broadcasts it at
+    # run time when its measured size is small, else keeps a shuffle join on
+    # the key and splits a skewed key's partition (skew-join handling).
+    rows = df.select(F.col(key), us.alias("_us")).join(first, on=key)
     k = F.greatest(F.lit(1), F.ceil((F.col("_us") - F.col("_t0")) / F.lit(p)).cast("bigint"))
     per_tick = rows.groupBy(key, k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     n_ticks = int_div(wm - F.col("_t0") - 1, p)
@@ -73,8 +74,8 @@ def split_late(df: DataFrame, slice_col: str, ts: str, size: str, delay: str, la
     w = Window.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -lag_slices)
     wm = per_slice.select(slice_col, (F.max("_smax").over(w) - delay_us).alias("_wm"))
     start = us - F.pmod(us, F.lit(size_us))
-    d = (df.withColumn("_ws", start)
-           .join(F.broadcast(wm), on=slice_col, how="left"))
+    # one row per slice; AQE broadcasts it at run time when it is small
+    d = df.withColumn("_ws", start).join(wm, on=slice_col, how="left")
     late = F.coalesce(F.col("_ws") + size_us + late_us <= F.col("_wm"), F.lit(False))
     return (d.withColumn("window_start", from_micros(F.col("_ws"), like))
              .withColumn("window_end", from_micros(F.col("_ws") + size_us, like))

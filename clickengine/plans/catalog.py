@@ -455,10 +455,12 @@ def _patterns(spark, d):
     """Rule table of the broadcast-state program, built from the events:
     view->click in force from the start, click->purchase from the middle
     arrival id on.  Two rows: a proven-small broadcast side."""
-    mid = _ev(spark, d).agg(int_div(F.max("event_id"), 2).alias("mid"))
-    first = mid.select(F.lit("view").alias("action1"), F.lit("click").alias("action2"), F.lit(-1).cast("bigint").alias("seq"))
-    second = mid.select(F.lit("click").alias("action1"), F.lit("purchase").alias("action2"), F.col("mid").alias("seq"))
-    return first.unionByName(second)
+    mid = int_div(_ev(spark, d).select(F.max("event_id")).scalar(), 2)
+    rules = spark.range(2).select(
+        F.when(F.col("id") == 0, "view").otherwise("click").alias("action1"),
+        F.when(F.col("id") == 0, "click").otherwise("purchase").alias("action2"),
+        F.when(F.col("id") == 0, F.lit(-1).cast("bigint")).otherwise(mid).alias("seq"))
+    return rules
 
 
 @query("behavior_pattern", """
@@ -471,7 +473,7 @@ WHERE (event_id > -1 AND event_id <= mid.m AND prev = 'view' AND event_type = 'c
 def q_behavior_pattern(spark, d):
     actions = _ev(spark, d).select("user_id", "event_id", "event_type")
     return JN.match_transitions(actions, _patterns(spark, d), "user_id", "event_type", "event_id",
-                                arrival_bucket("event_id"))
+                                arrival_bucket("event_id"), patterns_rows=2)
 
 
 @query("udtf_split", """
