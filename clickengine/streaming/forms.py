@@ -92,3 +92,32 @@ def late_refinement(df: DataFrame, key: str, ts: str, size: str, delay: str, lat
     wm = f"{_us(delay) + _us(lateness)} microseconds"
     d = df.withWatermark(ts, wm)
     return url_view_count(d, key, ts, size)
+
+
+def rolling_count(df: DataFrame, key: str) -> DataFrame:
+    """Rolling keyed count (AG2, AG3): in ``update`` mode every micro-batch
+    emits the new count of each key it touched (the changelog's +U side)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def window_top_n_batches(df: DataFrame, key: str, ts: str, n: int, size: str, slide: str | None = None,
+                         offset: str | None = None):
+    """Streaming top-N per window (TK1, TK2).  Row-number windows are not
+    allowed on streams, so closed windows come out of the windowed count in
+    ``append`` mode (each window exactly once) and are ranked per
+    micro-batch.  Returns (counts stream, rank function for foreachBatch)."""
+    from clickengine.operators.topn import rank_within
+    counts = url_view_count(df, key, ts, size, slide, offset)
+
+    def rank(batch: DataFrame) -> DataFrame:
+        return rank_within(batch, ["window_start", "window_end"], [F.col("cnt").desc(), F.col(key)], n)
+
+    return counts, rank
+
+
+def top_n_sink(rank, writer):
+    """``foreachBatch`` function applying ``rank`` to a batch and passing the
+    result to ``writer(df, batch_id)``."""
+    def apply(batch: DataFrame, batch_id: int):
+        writer(rank(batch), batch_id)
+    return apply

@@ -74,3 +74,13 @@ def test_distribution(spark):
     assert DP.spread(DP.gather(df), 4).rdd.getNumPartitions() == 4
     assert DP.spread(DP.rebalance(df, 6), 4).rdd.getNumPartitions() == 6
     assert DP.broadcast_all(df).count() == 8
+
+
+def test_console_and_kafka_options(spark, capsys):
+    from clickengine.sinks import to_console
+    from clickengine.sources import kafka_reader_options
+    to_console(events(spark), "clicks", n=3)
+    assert "clicks" in capsys.readouterr().out
+    opts = kafka_reader_options("host:9092", "clicks", "latest", "g1")
+    assert opts == {"kafka.bootstrap.servers": "host:9092", "subscribe": "clicks",
+                    "startingOffsets": "latest", "kafka.group.id": "g1"}

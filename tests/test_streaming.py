@@ -288,3 +288,36 @@ def test_builtin_late_drop_matches_split_late(spark):
     kept = split.where("ms < 10000 AND NOT is_late").count()
     assert counted == kept == 1
     assert split.where("is_late").count() == 2      # the side output
+
+
+def test_window_top_n_stream(spark, ev):
+    """TK1 on a stream: closed windows in append mode, ranked per batch."""
+    from clickengine.operators import topn as TK
+    d = _workdir()
+    r = StreamReplay(spark, ev.schema, d)
+    counts, rank = SF.window_top_n_batches(_wm(r.source()), "event_type", "ts", 2, "6 hours", offset="3 hours")
+    out = os.path.join(d, "top")
+
+    def writer(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    for part in slice_by(ev, "event_id", 3) + [sentinel_row(ev, "event_type", "ts")]:
+        r.push(part)
+        q = (counts.writeStream.outputMode("append").foreachBatch(SF.top_n_sink(rank, writer))
+             .option("checkpointLocation", r.ckpt).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+        q.stop()
+    got = spark.read.parquet(out).drop("batch_id").where(~is_sentinel("event_type"))
+    exp = TK.window_top_n(ev, "event_type", "ts", 2, "6 hours", offset="3 hours")
+    assert rows(got) == rows(exp)
+
+
+def test_rolling_count_update_stream(spark, ev):
+    """AG2 on a stream: update mode re-emits the touched keys' counts; the
+    last update per key is the batch count, every update a rolling value."""
+    got = replay(spark, ev, lambda s: SF.rolling_count(s, "event_type"), mode="update")
+    final = got.groupBy("event_type").agg(F.max("cnt").alias("cnt"))
+    assert rows(final) == rows(AG.count_by(ev, ["event_type"]))
+    roll = AG.rolling_count(ev.select("event_type", "event_id"), ["event_type"], ["event_id"],
+                            arrival_bucket("event_id"))
+    assert got.join(roll, ["event_type", "cnt"], "left_anti").count() == 0
