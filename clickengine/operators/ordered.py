@@ -39,6 +39,10 @@ from clickengine.functions.expressions import as_col, int_div, ts_to_micros
 # rate times the width.  Wide enough that cold keys add few summary rows.
 ARRIVAL_BUCKET_ROWS = 1 << 20
 TIME_BUCKET_SECONDS = 86_400
+# Keys with more rows than this are split into order buckets; every other key
+# is one partition, so no window partition holds more than about this many
+# rows (or one bucket of a hot key).
+HOT_KEY_ROWS = 1 << 20
 
 _COMBINE = {
     "sum": lambda a, b: a + b,
@@ -74,7 +78,7 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
                  running: dict[str, Running] | None = None,
                  recent: tuple[int, list[str]] | None = None,
                  rn: str | None = "rn", descending: bool = False,
-                 recent_name: str = "recent") -> DataFrame:
+                 recent_name: str = "recent", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Add per-key ordered columns to ``df``.
 
     key:        key column names (the scan restarts per key)
@@ -85,6 +89,11 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
                 (structs of ``cols``, oldest first, current row last)
     rn:         name of the 1-based row number within the key (None: skip)
     descending: scan from the last row backwards (suffix aggregates)
+    hot_rows:   only keys with more rows than this are split into buckets;
+                every other key is one partition (at most hot_rows rows).
+                0 / None: every key is bucketed.  The hot-key list has at most rows / hot_rows entries,
+                a bound that makes it safe to broadcast, and the bucket
+                summary shrinks to the hot keys' buckets.
     """
     running = running or {}
     k, rcols = recent if recent else (0, [])
@@ -102,6 +111,11 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
         d = (d.withColumn(f"_oscan_k{i}", F.coalesce(F.col(c), _default(df.schema[c].dataType)))
               .withColumn(f"_oscan_n{i}", F.col(c).isNull()))
         pkeys += [f"_oscan_k{i}", f"_oscan_n{i}"]
+    if hot_rows:
+        counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_oscan_rows"))
+        hot = counts.where(F.col("_oscan_rows") > hot_rows).select(*key, F.lit(True).alias("_oscan_hot"))
+        d = d.join(F.broadcast(hot), on=key, how="left")
+        bucket = F.when(F.col("_oscan_hot"), bucket).otherwise(F.lit(0))
     d = d.withColumn(B, F.coalesce(bucket.cast("bigint"), F.lit(_NULL_BUCKET).cast("bigint")))
 
     w_local = Window.partitionBy(*pkeys, B).orderBy(*ocols)
@@ -137,7 +151,9 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
     if k:
         prev_tails = F.flatten(F.collect_list("_oscan_btail").over(w_b.rowsBetween(-k, -1)))
         carry.append(F.transform(prev_tails, lambda x: x["r"]).alias("_oscan_halo"))
-    carry_df = summary.select(*carry)
+    # A key's first bucket has nothing to carry in: only later buckets are
+    # joined back (for cold keys, nothing at all).
+    carry_df = summary.select(*carry).where(F.col("_oscan_ccnt").isNotNull())
 
     # The big side keeps its (key, bucket) partitioning; only the summary
     # (one row per key and bucket) moves.

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickengine.functions import (event_text, int_div, java_hash, java_split, register_functions,
-                                   seconds_ts, timestamp_text, ts_to_micros, ts_to_millis)
+                                   seconds_ts, ts_to_micros, ts_to_millis)
 from clickengine.operators import aggregates as AG
 from clickengine.operators import joins as JN
 from clickengine.operators import patterns as CE

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from clickengine.operators.ordered import Running, arrival_bucket, lag_of, ordered_scan
 
 
-@pytest.mark.parametrize("width,descending", [(1, False), (5, False), (64, True), (1000, False)])
-def test_matches_plain_window_with_hot_key(spark, width, descending):
+@pytest.mark.parametrize("width,descending,hot_rows", [(1, False, 0), (5, False, 0), (64, True, 0), (1000, False, 0),
+                                                       (5, False, 100), (7, True, 100)])
+def test_matches_plain_window_with_hot_key(spark, width, descending, hot_rows):
     random.seed(width)
     # one key holds most of the rows; a null key and null values included
     keys = ["hot"] * 6 + ["a", "b", None]
@@ -19,7 +20,7 @@ def test_matches_plain_window_with_hot_key(spark, width, descending):
     out = ordered_scan(df, ["k"], ["seq"], arrival_bucket("seq", width),
                        running={"s": Running("sum", F.col("v")), "mx": Running("max", F.col("v")),
                                 "mn": Running("min", F.col("v"))},
-                       recent=(3, ["seq", "v"]), descending=descending)
+                       recent=(3, ["seq", "v"]), descending=descending, hot_rows=hot_rows)
     out = out.select("seq", "rn", "s", "mx", "mn", lag_of("recent", "v", 1).alias("l1"),
                      lag_of("recent", "seq", 3).alias("l3"))
     o = F.col("seq").desc() if descending else F.col("seq")
@@ -32,7 +33,7 @@ def test_matches_plain_window_with_hot_key(spark, width, descending):
 
 def test_no_full_shuffle_in_summary(spark):
     df = spark.range(1000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("k"))
-    out = ordered_scan(df, ["k"], ["seq"], arrival_bucket("seq", 100))
+    out = ordered_scan(df, ["k"], ["seq"], arrival_bucket("seq", 100), hot_rows=0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the per-bucket summary is a partial aggregate before its exchange
     assert "partial_count" in plan
