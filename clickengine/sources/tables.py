@@ -10,7 +10,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a lazy parquet scan: filters and column pruning of the
-    query reach the reader (``PushedFilters`` / ``ReadSchema``)."""
+    query reach the reader (``PushedFilters`` / ``ReadSchema``).  The queries
+    convert timestamps to epoch values, which is only exact with the session
+    time zone pinned to UTC; it is set here because a caller may bring its
+    own session."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

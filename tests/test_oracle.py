@@ -36,3 +36,11 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, entry.queries()[name], entry.oracle_sql().get(name), SF_SMALL, con)
     assert r["status"] == "ok", r
+
+
+def test_caller_session_time_zone(spark, con):
+    """The driver may bring a session in another zone; queries pin UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    for name in ["late_split", "fake_window", "event_time_seconds"]:
+        r = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], SF_SMALL, con)
+        assert r["status"] == "ok", r
