@@ -168,3 +168,11 @@ def test_sessions_match_builtin(spark):
     ours = WN.session_windows(e, ["k"], "et", ["et", "seq"], "2 seconds", F.floor(F.col("ms") / 7000))
     ref = WN.builtin_session_windows(e, ["k"], "et", "2 seconds")
     assert rows(ours) == rows(ref)
+
+
+def test_url_counts_map_sorted(spark):
+    m = AG.url_counts_map(clicks(spark), "url", "et", "10 seconds").orderBy("window_start").collect()
+    first = m[0].counts
+    assert list(first.items())[:2] == [("./home", 4), ("./cart", 3)] and sum(first.values()) == 9
+    ranked = AG.url_counts_ranked(clicks(spark), "url", "et", "10 seconds")
+    assert rows(ranked.where("rank = 1"), "url") == [("./cart",), ("./home",)]

@@ -37,3 +37,31 @@ def test_no_full_shuffle_in_summary(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the per-bucket summary is a partial aggregate before its exchange
     assert "partial_count" in plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(data=st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(-5, 5)), min_size=1, max_size=60),
+       width=st.integers(1, 20), descending=st.booleans(), hot=st.sampled_from([0, 5, 1000]))
+def test_property_running_sum_and_lag(spark, data, width, descending, hot):
+    rows_ = [(i, k, v) for i, (k, v) in enumerate(data)]
+    df = spark.createDataFrame(rows_, "seq long, k string, v long")
+    out = ordered_scan(df, ["k"], ["seq"], arrival_bucket("seq", width), running={"s": Running("sum", F.col("v"))},
+                       recent=(1, ["v"]), descending=descending, hot_rows=hot)
+    got = {r.seq: (r.rn, r.s, lag_of_value(r.recent)) for r in out.collect()}
+    exp = {}
+    for key in {k for _, k, _ in rows_}:
+        seq = sorted((r for r in rows_ if r[1] == key), key=lambda r: r[0], reverse=descending)
+        total, prev = 0, None
+        for i, (s, _, v) in enumerate(seq):
+            total += v
+            exp[s] = (i + 1, total, prev)
+            prev = v
+    assert got == exp
+
+
+def lag_of_value(recent):
+    return recent[-2]["v"] if len(recent) == 2 else None
