@@ -8,7 +8,7 @@ with partial aggregation.  Row-count windows and OVER frames go through
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,13 +89,14 @@ def fixed_tumble(df: DataFrame, ts: str, size: str) -> DataFrame:
 def session_ids(df: DataFrame, key: list[str], ts: str, order: list[str], gap: str,
                 bucket: Column) -> DataFrame:
     """Assign each row its session start (WN4): a session ends when the next
-    row of the key is ``gap`` or more later.  Two skew-safe ordered scans:
+    row of the key is more than ``gap`` later (windows [t, t + gap) that touch
+    are merged, as in the reference library and Spark's session_window).  Two skew-safe ordered scans:
     lag -> session-start flag -> running max of the start times."""
     gap_us = _us(gap)
     d = df.withColumn("_sess_us", ts_to_micros(ts))
     d = ordered_scan(d, key, order, bucket, recent=(1, ["_sess_us"]), rn=None, recent_name="_sess_r")
     prev = F.when(F.size("_sess_r") == 2, F.element_at("_sess_r", 1)["_sess_us"])
-    d = d.withColumn("_sess_new", prev.isNull() | (F.col("_sess_us") - prev >= gap_us)).drop("_sess_r")
+    d = d.withColumn("_sess_new", prev.isNull() | (F.col("_sess_us") - prev > gap_us)).drop("_sess_r")
     # The second scan reads the first one's output twice (rows + bucket
     # summary): materialise it once instead of recomputing its shuffle.
     d = materialize(d)
@@ -105,16 +106,31 @@ def session_ids(df: DataFrame, key: list[str], ts: str, order: list[str], gap: s
 
 
 def session_windows(df: DataFrame, key: list[str], ts: str, order: list[str], gap: str,
-                    bucket: Column) -> DataFrame:
-    """Session windows with a count per session: (key, window_start,
-    window_end, cnt) where ``window_end`` is the last row time + gap."""
+                    bucket: Column | None = None) -> DataFrame:
+    """Session windows with a count per session (WN4): (key, window_start,
+    window_end, cnt), ``window_end`` = last row time + gap.
+
+    Rows in one gap-wide time bucket are less than a gap apart, so a session
+    can only break between a bucket's first row and the last row of the
+    key's previous non-empty bucket.  Sessions therefore follow from
+    per-(key, bucket) first / last / count - a partial aggregate, no row-level
+    shuffle - and a window over that bucket table, whose size per key is
+    bounded by time span / gap however many rows the key has.  (``order``
+    and ``bucket`` are accepted for symmetry with ``session_ids``.)"""
     like = df.schema[ts].dataType
     gap_us = _us(gap)
-    s = session_ids(df, key, ts, order, gap, bucket)
-    return (s.groupBy(*key, "_sess_start")
-             .agg(F.max("_sess_us").alias("_last"), F.count(F.lit(1)).alias("cnt"))
-             .select(*key, from_micros(F.col("_sess_start"), like).alias("window_start"),
-                     from_micros(F.col("_last") + gap_us, like).alias("window_end"), "cnt"))
+    us = ts_to_micros(ts)
+    b = (df.where(F.col(ts).isNotNull())
+           .groupBy(*key, F.floor(us / F.lit(gap_us)).cast("bigint").alias("_sb"))
+           .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n")))
+    w = Window.partitionBy(*key).orderBy("_sb")
+    prev_last = F.lag("_last").over(w)
+    b = b.withColumn("_start", F.when(prev_last.isNull() | (F.col("_first") - prev_last > gap_us), F.col("_first")))
+    b = b.withColumn("_sid", F.max("_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return (b.groupBy(*key, "_sid")
+             .agg(F.max("_last").alias("_end"), F.sum("_n").alias("cnt"))
+             .select(*key, from_micros(F.col("_sid"), like).alias("window_start"),
+                     from_micros(F.col("_end") + gap_us, like).alias("window_end"), "cnt"))
 
 
 def builtin_session_windows(df: DataFrame, key: list[str], ts: str, gap: str) -> DataFrame:

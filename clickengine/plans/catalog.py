@@ -234,7 +234,7 @@ def q_buffered_batches(spark, d):
 
 @query("session_count", f"""
 WITH a AS (SELECT user_id, ts, event_id,
-             CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) >= {H} THEN 1 ELSE 0 END AS s
+             CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > {H} THEN 1 ELSE 0 END AS s
            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 b AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM a)
 SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL '1 hour' AS window_end, count(*) AS cnt

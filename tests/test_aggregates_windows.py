@@ -163,11 +163,18 @@ def test_count_windows_and_every_n(spark):
 def test_sessions_match_builtin(spark):
     import random
     random.seed(3)
-    data = [(i, random.choice("abc"), random.randint(0, 100000)) for i in range(300)]
-    e = spark.createDataFrame(data, "seq long, k string, ms long").withColumn("et", F.timestamp_millis("ms"))
-    ours = WN.session_windows(e, ["k"], "et", ["et", "seq"], "2 seconds", F.floor(F.col("ms") / 7000))
-    ref = WN.builtin_session_windows(e, ["k"], "et", "2 seconds")
-    assert rows(ours) == rows(ref)
+    fine = [(i, random.choice("abc"), random.randint(0, 100000)) for i in range(300)]
+    # whole seconds with a 2 s gap: exact-gap differences and ties
+    coarse = [(i, random.choice("ab"), 1000 * random.randint(0, 60)) for i in range(200)]
+    for data in (fine, coarse):
+        e = spark.createDataFrame(data, "seq long, k string, ms long").withColumn("et", F.timestamp_millis("ms"))
+        ours = WN.session_windows(e, ["k"], "et", ["et", "seq"], "2 seconds")
+        ref = WN.builtin_session_windows(e, ["k"], "et", "2 seconds")
+        assert rows(ours) == rows(ref)
+        # the per-row session assignment agrees with the aggregated form
+        ids = WN.session_ids(e, ["k"], "et", ["et", "seq"], "2 seconds", F.floor(F.col("ms") / 7000))
+        per = ids.groupBy("k", "_sess_start").count()
+        assert rows(per, "k", "count") == rows(ours, "k", "cnt")
 
 
 def test_url_counts_map_sorted(spark):
