@@ -148,6 +148,7 @@ def match_transitions(actions: DataFrame, patterns: DataFrame, user: str, action
     (action1, action2) plus that range."""
     a = ordered_scan(actions, [user], [seq], bucket, recent=(1, [action]), rn=None, recent_name="_prev")
     a = a.withColumn("prev_action", F.when(F.size("_prev") == 2, F.element_at("_prev", 1)[action])).drop("_prev")
+    # One task over the rule table: broadcast state, a handful of rows.
     p = patterns.select(F.col("action1"), F.col("action2"), F.col("seq").alias("_p_from"),
                         F.lead("seq").over(Window.orderBy("seq")).alias("_p_to"))
     p = broadcast_if_small(p, known_rows=patterns_rows)

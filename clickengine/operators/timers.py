@@ -71,6 +71,7 @@ def split_late(df: DataFrame, slice_col: str, ts: str, size: str, delay: str, la
     size_us, delay_us, late_us = _us(size), _us(delay), _us(lateness)
     us = ts_to_micros(ts)
     per_slice = df.groupBy(slice_col).agg(F.max(us).alias("_smax"))
+    # One task over the per-slice table: one row per micro-batch, not per event.
     w = Window.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -lag_slices)
     wm = per_slice.select(slice_col, (F.max("_smax").over(w) - delay_us).alias("_wm"))
     start = us - F.pmod(us, F.lit(size_us))

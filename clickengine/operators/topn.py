@@ -18,7 +18,8 @@ from clickengine.operators.ordered import ordered_scan
 
 def top_n(df: DataFrame, order: list[Column], n: int, name: str = "row_num") -> DataFrame:
     """Global top-N with its position (TK3)."""
-    top = df.orderBy(*order).limit(n)
+    top = df.orderBy(*order).limit(n)   # TakeOrderedAndProject: n rows per task, merged
+    # numbering the n survivors needs one task, over n rows
     return top.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
