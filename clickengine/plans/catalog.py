@@ -673,6 +673,8 @@ def q_periodic_pv(spark, d):
 def _late_input(spark, d):
     e = _ev(spark, d).select("event_id", "ts")
     day = int_div(ts_to_micros("ts"), 86_400_000_000)
+    # arrival slice: 4-day ranges of event time; rows with an odd event_id
+    # (pmod(event_id * 7919, 2)) arrive one slice later.  Every row is kept.
     return e.withColumn("slice", int_div(day, 4) + F.pmod(F.col("event_id") * 7919, F.lit(2)))
 
 

@@ -321,3 +321,17 @@ def test_rolling_count_update_stream(spark, ev):
     roll = AG.rolling_count(ev.select("event_type", "event_id"), ["event_type"], ["event_id"],
                             arrival_bucket("event_id"))
     assert got.join(roll, ["event_type", "cnt"], "left_anti").count() == 0
+
+
+def test_late_refinement_update_mode(spark):
+    """ST3: delay 2 s + allowed lateness 60 s; a late row inside the lateness
+    refines its window (update mode re-emits it), a later one is dropped."""
+    schema = "k string, ms long"
+    r = StreamReplay(spark, spark.createDataFrame([], schema).schema, _workdir())
+    src = r.source().withColumn("et", F.timestamp_millis("ms"))
+    out = SF.late_refinement(src, "k", "et", "10 seconds", "2 seconds", "60 seconds")
+    for part in [[("x", 1000), ("x", 30000)], [("x", 2000)], [("x", 200000)], [("x", 3000)]]:
+        r.push(spark.createDataFrame(part, schema))
+        r.run(out, "update")
+    first = r.results().where("window_start = TIMESTAMP '1970-01-01 00:00:00'")
+    assert sorted(x.cnt for x in first.collect()) == [1, 2]     # emitted, then refined once
