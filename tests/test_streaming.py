@@ -335,3 +335,30 @@ def test_late_refinement_update_mode(spark):
         r.run(out, "update")
     first = r.results().where("window_start = TIMESTAMP '1970-01-01 00:00:00'")
     assert sorted(x.cnt for x in first.collect()) == [1, 2]     # emitted, then refined once
+
+
+def test_streaming_word_count_and_csv(spark, tmp_path):
+    """SC1 + PF3 + AG2 on a stream: text lines -> tokens -> rolling counts
+    (update mode); SC3: the click CSV read as a stream with its schema."""
+    from clickengine.operators.transforms import tokenize
+    from clickengine.sources import read_click_csv, read_lines
+    from tests.fixtures import CLICK_TXT, WORDS
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.txt").write_text("\n".join(WORDS) + "\n")
+    counts = tokenize(read_lines(spark, str(src), streaming=True), "value").groupBy("word").count()
+    q = counts.writeStream.outputMode("update").format("memory").queryName("wc_stream") \
+              .option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.processAllAvailable()
+    q.stop()
+    got = dict((r.word, r["count"]) for r in spark.sql("SELECT word, max(count) AS count FROM wc_stream GROUP BY word").collect())
+    assert got == {"hello": 3, "world": 1, "bigdata": 1, "flink": 1, "hi": 1, "spark": 1}
+
+    csv = tmp_path / "csv"
+    csv.mkdir()
+    (csv / "click.txt").write_text("\n".join(f"{u}, {url}, {ts}" for _, u, url, ts in CLICK_TXT) + "\n")
+    s = read_click_csv(spark, str(csv), streaming=True)
+    q = s.writeStream.format("memory").queryName("csv_stream").option("checkpointLocation", str(tmp_path / "ck2")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert spark.sql("SELECT count(*) FROM csv_stream WHERE user_name = 'Tom'").first()[0] == 5
