@@ -121,3 +121,16 @@ def top_n_sink(rank, writer):
     def apply(batch: DataFrame, batch_id: int):
         writer(rank(batch), batch_id)
     return apply
+
+
+def pv_uv_ratio(df: DataFrame, user: str, ts: str, size: str, slide: str | None = None) -> DataFrame:
+    """Page views, distinct users and their ratio per window on a stream
+    (AG9): (window, user) counts first, then per window the sum of the counts
+    (pv) and the number of users (uv) - two chained append-mode aggregations."""
+    per_user = df.groupBy(window_col(ts, size, slide).alias("w"), F.col(user)).agg(F.count(F.lit(1)).alias("_n"))
+    # the window column keeps its event-time metadata, so the second
+    # aggregation can group by it directly (and is closed by the watermark)
+    agg = (per_user.groupBy(F.col("w"))
+                   .agg(F.sum("_n").alias("pv"), F.count(F.lit(1)).alias("uv")))
+    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "pv", "uv", (F.col("pv") / F.col("uv")).alias("ratio"))

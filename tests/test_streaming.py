@@ -362,3 +362,10 @@ def test_streaming_word_count_and_csv(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT count(*) FROM csv_stream WHERE user_name = 'Tom'").first()[0] == 5
+
+
+def test_pv_uv_ratio_stream(spark, ev):
+    got = replay(spark, ev, lambda s: SF.pv_uv_ratio(_wm(s), "user_id", "ts", "6 hours", "1 hour"),
+                 sentinel_key="user_id")
+    got = got.where(F.col("window_start") < F.lit("2100-01-01").cast("timestamp"))
+    assert rows(got) == rows(AG.pv_uv_ratio(ev, "user_id", "ts", "6 hours", "1 hour"))
