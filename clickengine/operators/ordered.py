@@ -133,8 +133,13 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
     # Catalyst plans as a partial WindowGroupLimit ahead of the exchange.
     aggs = [F.count(F.lit(1)).alias("_oscan_bcnt")]
     aggs += [_AGG[s.kind](s.expr).alias(f"_oscan_b_{n}") for n, s in running.items()]
+    if k == 1:
+        # the last row of a bucket is a max_by / min_by: partial, no sort
+        order_struct = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in rcols]).alias("r"))
+        pick = F.min_by if descending else F.max_by
+        aggs.append(F.array(pick(order_struct, F.struct(*[F.col(c) for c in order]))).alias("_oscan_btail"))
     summary = d.groupBy(*pkeys, B).agg(*aggs)
-    if k:
+    if k > 1:
         rev = [F.col(c).asc() if descending else F.col(c).desc() for c in order]
         order_struct = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in rcols]).alias("r"))
         tails = (d.withColumn("_oscan_rk", F.row_number().over(Window.partitionBy(*pkeys, B).orderBy(*rev)))
