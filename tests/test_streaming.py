@@ -369,3 +369,21 @@ def test_pv_uv_ratio_stream(spark, ev):
                  sentinel_key="user_id")
     got = got.where(F.col("window_start") < F.lit("2100-01-01").cast("timestamp"))
     assert rows(got) == rows(AG.pv_uv_ratio(ev, "user_id", "ts", "6 hours", "1 hour"))
+
+
+def test_text_file_sink_stream(spark, ev, tmp_path):
+    """SK2 on a stream: rows as UTF-8 lines, files rolled by row count."""
+    from clickengine.functions import event_text
+    from clickengine.sinks import to_text_files
+    r = StreamReplay(spark, ev.schema, _workdir())
+    r.push(ev.where("event_id < 50"))
+    s = r.source().withColumn("ms", F.unix_millis("ts"))
+    out = str(tmp_path / "text")
+    q = to_text_files(s, out, event_text(F.col("user_id"), F.col("event_type"), F.col("ms")), max_records=10,
+                      checkpoint=str(tmp_path / "ck"))
+    q.processAllAvailable()
+    q.stop()
+    back = spark.read.text(out)
+    assert back.count() == 50
+    assert all(v.startswith("Event{user='") for v in (x.value for x in back.collect()))
+    assert len([f for f in os.listdir(out) if f.endswith(".txt")]) >= 5
