@@ -78,24 +78,33 @@ def to_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,
 
 
 def upsert_latest(df: DataFrame, key: str, value: str, order: str, path: str,
-                  checkpoint: str | None = None):
-    """Keyed last-write-wins table (SK5, re-aimed hash write): each batch is
-    reduced to the latest value per key and merged into a parquet table
-    keyed by ``key`` (old rows of the touched keys are replaced)."""
+                  checkpoint: str | None = None, buckets: int = 64):
+    """Keyed last-write-wins table (SK5, re-aimed hash write).  The table is
+    hash-partitioned by key into ``buckets`` folders; each batch is reduced
+    to the latest value per key, and only the folders holding touched keys
+    are read (partition pruning), merged and rewritten (dynamic partition
+    overwrite) - a batch costs its touched buckets, not the whole table."""
     spark = df.sparkSession
 
     def merge(batch: DataFrame, batch_id: int = 0):
-        latest = batch.groupBy(key).agg(F.max_by(F.struct(value, order), order).alias("_v")) \
-                      .select(key, F.col(f"_v.{value}").alias(value), F.col(f"_v.{order}").alias(order))
+        bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+        latest = (batch.groupBy(key).agg(F.max_by(F.struct(value, order), order).alias("_v"))
+                       .select(key, F.col(f"_v.{value}").alias(value), F.col(f"_v.{order}").alias(order))
+                       .withColumn("_bucket", bucket))
         try:
             old = spark.read.parquet(path)
-            keep = old.join(latest.select(key), on=key, how="left_anti")
-            merged = keep.unionByName(latest)
         except Exception:  # first batch: no table yet
+            old = None
+        if old is not None:
+            touched = latest.select("_bucket").distinct()
+            # rows of the touched buckets that the batch does not replace
+            keep = (old.join(F.broadcast(touched), "_bucket", "left_semi")
+                       .join(latest.select(key), on=key, how="left_anti"))
+            merged = keep.unionByName(latest).checkpoint(eager=True)   # read before overwrite
+        else:
             merged = latest
-        # Materialise before overwriting the folder it was read from.
-        merged = merged.checkpoint(eager=True)
-        merged.write.mode("overwrite").parquet(path)
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("_bucket").parquet(path))
 
     if df.isStreaming:
         return df.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).start()

@@ -46,6 +46,14 @@ def test_upsert_latest(spark, tmp_path):
     upsert_latest(e.where("seq > 4"), "user", "url", "seq", path)
     got = rows(spark.read.parquet(path).select("user", "url"))
     assert got == [("Alice", "./prod?id=200"), ("Bob", "./prod?id=3"), ("Mary", "./home")]
+    # a later batch touching one key rewrites only that key's bucket folder
+    before = {d: os.path.getmtime(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("_bucket=")}
+    upsert_latest(e.where("seq = 1").withColumn("seq", F.lit(99)).withColumn("url", F.lit("./new")),
+                  "user", "url", "seq", path)
+    after = {d: os.path.getmtime(os.path.join(path, d)) for d in os.listdir(path) if d.startswith("_bucket=")}
+    assert sum(1 for d in before if after.get(d) != before[d]) == 1
+    assert rows(spark.read.parquet(path).where("user = 'Mary'").select("url")) == [("./new",)]
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_documents(spark, tmp_path):
