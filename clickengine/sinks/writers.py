@@ -129,12 +129,18 @@ def to_documents(df: DataFrame, key: str, value: str, index: str, path: str,
     return None
 
 
-def to_batches(df: DataFrame, size: int, writer, checkpoint: str, remainder_path: str) -> StreamingQuery:
+def to_batches(df: DataFrame, size: int, writer, checkpoint: str, remainder_path: str,
+               key: list[str] | None = None, bucket_rows: int = 1 << 20) -> StreamingQuery:
     """Buffered sink (SK7, ST14): rows are flushed to ``writer(batch_df,
-    flush_id)`` in groups of ``size``; the unflushed remainder is kept in a
-    parquet folder keyed by batch id, so a restart from the checkpoint
-    resumes with it (operator list state).  Rows need an ``_order`` column."""
+    batch_id)`` in groups of ``size`` (per ``key`` if given, else over the
+    whole stream in ``_order``); the unflushed remainder is kept in a parquet
+    folder per batch id, so a restart from the checkpoint resumes with it
+    (the operator list state).  Rows need an ``_order`` column.  Numbering
+    uses the skew-safe ordered scan: even the single global buffer is split
+    into arrival buckets instead of one task."""
+    from clickengine.operators.ordered import arrival_bucket, ordered_scan
     spark = df.sparkSession
+    keys = key or ["_buffer"]
 
     def flush(batch: DataFrame, batch_id: int):
         try:
@@ -142,14 +148,19 @@ def to_batches(df: DataFrame, size: int, writer, checkpoint: str, remainder_path
         except Exception:
             prev = None
         rows = batch if prev is None else prev.unionByName(batch)
-        from pyspark.sql import Window
-        numbered = rows.withColumn("_pos", F.row_number().over(Window.orderBy("_order")) - 1)
-        total = numbered.count()
-        full = (total // size) * size
-        if full:
-            writer(numbered.where(F.col("_pos") < full).drop("_pos"), batch_id)
-        numbered.where(F.col("_pos") >= full).drop("_pos") \
-                .write.mode("overwrite").parquet(f"{remainder_path}/batch={batch_id}")
+        if not key:
+            rows = rows.withColumn("_buffer", F.lit(0))
+        numbered = ordered_scan(rows, keys, ["_order"], arrival_bucket("_order", bucket_rows), rn="_pos",
+                                hot_rows=bucket_rows)
+        per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
+        numbered = numbered.join(per_key, on=keys)
+        full = F.floor(F.col("_total") / size) * size
+        done = numbered.where(F.col("_pos") <= full).drop("_pos", "_total")
+        rest = numbered.where(F.col("_pos") > full).drop("_pos", "_total")
+        if not key:
+            done, rest = done.drop("_buffer"), rest.drop("_buffer")
+        writer(done, batch_id)
+        rest.write.mode("overwrite").parquet(f"{remainder_path}/batch={batch_id}")
 
     return df.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).start()
 
