@@ -71,11 +71,23 @@ def ship_package(spark: SparkSession) -> None:
     key = sc.applicationId
     if key in _SHIPPED:
         return
+    import hashlib
     import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))
-    stage = tempfile.mkdtemp(prefix="clickengine-pkg-")
-    archive = shutil.make_archive(os.path.join(stage, "clickengine"), "zip",
+    # one staging folder per package content, reused by later sessions
+    digest = hashlib.sha1()
+    for root, _, files in sorted(os.walk(pkg)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(root, f), "rb") as fh:
+                    digest.update(f.encode() + fh.read())
+    stage = os.path.join(tempfile.gettempdir(), f"clickengine-pkg-{digest.hexdigest()[:16]}")
+    archive = os.path.join(stage, "clickengine.zip")
+    if not os.path.exists(archive):
+        os.makedirs(stage, exist_ok=True)
+        tmp = shutil.make_archive(os.path.join(stage, f"clickengine-{os.getpid()}"), "zip",
                                   root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+        os.replace(tmp, archive)
     sc.addPyFile(archive)
     _SHIPPED.add(key)
 
