@@ -65,3 +65,18 @@ def test_property_running_sum_and_lag(spark, data, width, descending, hot):
 
 def lag_of_value(recent):
     return recent[-2]["v"] if len(recent) == 2 else None
+
+
+def test_rank_all_spans_range_partitions(spark):
+    """One big group ranked across several range partitions equals row_number."""
+    from clickengine.operators.topn import rank_all
+    random.seed(5)
+    data = [(random.choice(["big"] * 8 + ["s1", "s2"]), random.randint(0, 50), f"u{i:04d}") for i in range(800)]
+    df = spark.createDataFrame(data, "g string, neg long, u string")
+    out = rank_all(df, ["g"], ["neg", "u"], partitions=8)
+    ranked = out.select("g", "u", "rank")
+    ref = df.select("g", "u", F.row_number().over(Window.partitionBy("g").orderBy("neg", "u")).cast("bigint").alias("rank"))
+    assert sorted(ranked.collect()) == sorted(ref.collect())
+    # the big group really was spread over several range partitions
+    parts = df.repartitionByRange(8, "g", "neg", "u").where("g = 'big'").select(F.spark_partition_id()).distinct().count()
+    assert parts > 1
