@@ -477,7 +477,7 @@ def q_behavior_pattern(spark, d):
 
 
 @query("udtf_split", """
-SELECT page_id, word, length(word) AS length FROM (
+SELECT page_id, word, length(word)::INTEGER AS length FROM (
   SELECT page_id, unnest(CASE WHEN url = '' THEN ['']
                               WHEN regexp_replace(url, '[?]+\\z', '') = '' THEN []::VARCHAR[]
                               ELSE string_split(regexp_replace(url, '[?]+\\z', ''), '?') END) AS word
@@ -555,7 +555,7 @@ def q_process_expand(spark, d):
         always=[event_text(F.col("event_type"), F.col("props"), F.col("ms"))], keep=["event_id"])
 
 
-@query("map_length", "SELECT page_id, length(url) AS url_length FROM pages")
+@query("map_length", "SELECT page_id, length(url)::INTEGER AS url_length FROM pages")
 def q_map_length(spark, d):
     return PF.project(load_table(spark, d, "pages"), ["page_id", F.length("url").alias("url_length")])
 
