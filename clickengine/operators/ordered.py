@@ -6,20 +6,25 @@ max, or the previous few rows (lag).  A plain ``Window.partitionBy(key)``
 sends every row of a key to one task; if a key holds a third of the data that
 task holds a third of the data.
 
-``ordered_scan`` splits each key into order buckets (ranges of the ordering
-column, monotone with the order) and works in three distributed steps:
+``ordered_scan`` splits each *hot* key (more than ``HOT_KEY_ROWS`` rows,
+found by one partial count; the hot-key list is at most rows / HOT_KEY_ROWS
+long and is broadcast) into order buckets (ranges of the ordering column,
+monotone with the order); every other key is a single bucket.  It then works
+in three distributed steps:
 
 1. local pass: ``Window.partitionBy(key, bucket)`` - row number, running
    aggregates and the last ``k`` rows inside the bucket;
 2. bucket summary: one row per (key, bucket) with its count, aggregates and
    its last ``k`` rows (at most ``k`` per bucket, never a whole bucket),
-   computed from the input by partial aggregation / partial top-k, so only
-   small rows cross the network;
+   computed from the input by partial aggregation (the last row as a partial
+   ``max_by``, k > 1 rows as a partial top-k), so only small rows cross the
+   network;
    a window over the *summary* (``partitionBy(key).orderBy(bucket)``) gives
    the carry-in of every bucket: rows, aggregates and the ``k`` rows before
    it (these come from at most ``k`` previous buckets, each holding >= 1 row);
 3. join the carry-in back on (key, bucket) - the big side is already
-   hash-partitioned on (key, bucket), so only the small summary moves.
+   hash-partitioned on (key, bucket), so only the small summary (buckets
+   that have a predecessor) moves.
 
 The result equals a single window per key (tests check it with tiny buckets).
 """
