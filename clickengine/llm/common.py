@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -154,3 +156,29 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     out[at] = s
     out[at[1:]] -= s[:-1] + n[:-1] - 1
     return np.cumsum(out)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Batches sorted by ``key`` as tables of about ``rows`` rows that hold whole groups, each
+    with the first row of its groups."""
+    def starts(k):
+        return np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+
+    held: list[pa.RecordBatch] = []
+    count, need = 0, rows
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count < need:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        k = np.asarray(table.column(key).combine_chunks())
+        cut = int(np.searchsorted(k, k[-1]))  # the first row of the last group
+        if cut:
+            yield table.slice(0, cut).combine_chunks(), starts(k[:cut])
+        held = table.slice(cut).to_batches()
+        count -= cut
+        need = max(rows, 2 * count)
+    if count:
+        table = pa.Table.from_batches(held).combine_chunks()
+        yield table, starts(np.asarray(table.column(key).combine_chunks()))

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from clickengine.llm import pii, sharding, url_filter
+from clickengine.llm import decontamination, near_dedup, pii, quality_rules, sharding, suffix_dedup, url_filter
 from clickengine.llm.common import read
 
 #: Eight shards of equal weight.
@@ -18,6 +17,24 @@ def op1_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.span_report(read(spark, d, "documents"))
 
 
+def op2_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, d, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents")
+    model = quality_rules.fit(docs, quality_rules.trusted_ids(read(spark, d, "labels")))
+    return quality_rules.judge(docs, model)
+
+
+def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.report(read(spark, d, "documents"), read(spark, d, "benchmark"))
+
+
+def op8_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, d, "documents")).drop("kept")
+
+
 def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_records(read(spark, d, "documents"), SHARD_WEIGHTS)
 
@@ -33,6 +50,10 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_near_dedup": op2_near_dedup,
+    "op4_quality_rules": op4_quality_rules,
+    "op7_decontamination": op7_decontamination,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
 }
