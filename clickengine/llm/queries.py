@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickengine.llm import decontamination, near_dedup, pii, quality_rules, sharding, suffix_dedup, url_filter
+from clickengine.llm import (decontamination, near_dedup, packing, pii, quality_rules, sharding, suffix_dedup, url_filter,
+                             wavelet)
 from clickengine.llm.common import read
 
 #: Eight shards of equal weight.
@@ -27,6 +28,19 @@ def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(docs, model)
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(read(spark, d, "documents"), tokenizer_file())
+
+
+def op6_token_files(spark: SparkSession, d: str) -> DataFrame:
+    return wavelet.encode_documents(read(spark, d, "documents"), tokenizer_file())
+
+
 def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.report(read(spark, d, "documents"), read(spark, d, "benchmark"))
 
@@ -52,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_near_dedup": op2_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_packing": op5_packing,
+    "op6_token_files": op6_token_files,
     "op7_decontamination": op7_decontamination,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
