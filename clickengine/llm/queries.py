@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickengine.llm import (decontamination, near_dedup, packing, pii, quality_rules, sharding, suffix_dedup, url_filter,
-                             wavelet)
+from clickengine.llm import (decontamination, near_dedup, packing, pii, quality_classifier, quality_rules, sharding,
+                             suffix_dedup, url_filter, wavelet)
 from clickengine.llm.common import read
 
 #: Eight shards of equal weight.
@@ -22,6 +22,11 @@ def op2_near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, d, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents")
+    return quality_classifier.score(docs, quality_classifier.fit(docs, read(spark, d, "labels")))
+
+
 def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents")
     model = quality_rules.fit(docs, quality_rules.trusted_ids(read(spark, d, "labels")))
@@ -65,6 +70,7 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_near_dedup": op2_near_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
