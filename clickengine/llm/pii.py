@@ -13,26 +13,37 @@ from pyspark.sql import functions as F
 
 _LOCAL = "A-Za-z0-9._%+-"
 
-#: kind -> (pattern, quick test, score, score with context, context words).
-#: The first four are the contract's patterns.  A quick test only skips texts
-#: that can't hold the kind.
-KINDS: dict[str, tuple[str, str, float, float, str]] = {
-    "email": (rf"(?:\G|(?<![{_LOCAL}]))([{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)",
+_LUHN_FORMS = (r"[0-9]{13,19}(?![0-9])|[0-9]{4}([\x20-])[0-9]{4}\3[0-9]{4}\3[0-9]{4}(?![0-9])"
+               r"|[0-9]{4}([\x20-])[0-9]{6}\4[0-9]{5}(?![0-9])")
+_DIALLED = (r"\+1[\x20.-]?(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])"
+            r"|\+[0-9]{9,15}(?![0-9])|\+[0-9]{1,3}(?:[\x20.-](?:\([0-9]{1,4}\)|[0-9]{1,4})){2,4}(?![0-9])")
+
+#: rule -> (kind, pattern, quick test, score, score with context, context words).
+#: The first four are the contract's patterns: their spans always count.  The others add spans:
+#: a card or a dialled number in one of the usual forms also counts where other digits beside
+#: it spoil the contract's match.  A quick test only skips texts that can't hold the kind.
+#: Group 1 of a pattern is the span; if what follows it may overlap, the rest is a look-ahead.
+RULES: dict[str, tuple[str, str, str, float, float, str]] = {
+    "email": ("email", rf"(?:\G|(?<![{_LOCAL}]))([{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++)()",
               r"@[A-Za-z0-9-]+\.[A-Za-z0-9-]", 0.9, 0.95, "mail|email|e-mail|contact|write|correo|kontakt"),
-    "ip": (r"(?<![0-9])([0-9]++\.[0-9]++\.[0-9]++\.[0-9]++)",
+    "ip": ("ip", r"(?<![0-9])([0-9]++\.[0-9]++\.[0-9]++\.[0-9]++)()",
            r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", 0.7, 0.9, "ip|host|server|address|adresse|login"),
-    "card": (r"([0-9]++(?:[\x20-][0-9]++)*+)",
+    "card": ("card", r"([0-9]++(?:[\x20-][0-9]++)*+)()",
              r"[0-9](?:[\x20-]?[0-9]){12}", 0.8, 0.95, "card|visa|credit|debit|karte|carte|tarjeta"),
-    "phone": (r"(\+[0-9][\x20().0-9-]+[0-9])",
+    "phone": ("phone", r"(\+[0-9][\x20().0-9-]+[0-9])()",
               r"\+[0-9]", 0.7, 0.9, "phone|tel|call|mobile|fax|telefon|appel"),
-    "iban": (r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?))"
-             r"(?![A-Za-z0-9])",
-             r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{3}", 0.7, 0.95, "iban|account|konto|compte|cuenta|bank"),
-    "ssn": (r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])",
+    "card_form": ("card", rf"(?<![0-9])(?=({_LUHN_FORMS}))([0-9]++)",
+                  r"[0-9](?:[\x20-]?[0-9]){12}", 0.7, 0.95, "card|visa|credit|debit|karte|carte|tarjeta"),
+    "phone_form": ("phone", rf"({_DIALLED})()",
+                   r"\+[0-9]", 0.6, 0.9, "phone|tel|call|mobile|fax|telefon|appel"),
+    "iban": ("iban", r"(?<![A-Za-z0-9])([A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?))()"
+             r"(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{3}", 0.7, 0.95, "iban|account|konto|compte|cuenta|bank"),
+    "ssn": ("ssn", r"(?<![0-9-])([0-9]{3}-[0-9]{2}-[0-9]{4})()(?![0-9-])",
             r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, 0.8, "ssn|social security|taxpayer"),
 }
 BASE = ("email", "ip", "card", "phone")
-#: An added span (of a kind outside BASE) counts from this score on.
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+#: An added span counts from this score on.
 THRESHOLD = 0.5
 #: Characters on each side of a span in which context words count.
 NEAR = 40
@@ -79,15 +90,19 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _proposed(kind: str, text: Column) -> Column:
-    """array<struct<gap, value>>: each leftmost non-overlapping match and the text between
-    it and the match before.  ``\\G`` ties every search to the end of the match before, so
+def _proposed(rule: str, text: Column) -> Column:
+    """array<struct<gap, used, value>>: each leftmost match, the text between it and the match
+    before, and what it uses up.  ``\\G`` ties every search to the end of the match before, so
     that the tail after the last match is read once."""
-    pattern, quick = KINDS[kind][:2]
+    _, pattern, quick, *_ = RULES[rule]
+    ahead = rule == "card_form"
     whole = F.lit(rf"(?s)\G(.*?){pattern}")
+    used = F.regexp_extract_all(text, whole, 5 if ahead else 2)
     found = F.zip_with(F.regexp_extract_all(text, whole, 1), F.regexp_extract_all(text, whole, 2),
-                       lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("n"), v.alias("value")))
-    none = F.array().cast("array<struct<gap:int,n:int,value:string>>")
+                       lambda g, v: F.struct(F.length(g).alias("gap"), F.length(v).alias("used"), v.alias("value")))
+    if ahead:
+        found = F.zip_with(found, used, lambda f, u: F.struct(f["gap"].alias("gap"), F.length(u).alias("used"), f["value"].alias("value")))
+    none = F.array().cast("array<struct<gap:int,used:int,value:string>>")
     return F.when(text.rlike(quick), found).otherwise(none)
 
 
@@ -97,15 +112,16 @@ def _placed(proposed: Column) -> Column:
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), (start + x["n"]).alias("end"), x["value"].alias("value"))
-        return F.struct((start + x["n"]).alias("at"), F.array_append(acc["out"], span).alias("out"))
+        span = F.struct(start.alias("start"), (start + F.length(x["value"])).alias("end"), x["value"].alias("value"))
+        return F.struct((start + x["used"]).alias("at"), F.array_append(acc["out"], span).alias("out"))
 
     return F.aggregate(proposed, zero, step, lambda acc: acc["out"])
 
 
-def _scored(kind: str, spans: Column, text: Column) -> Column:
-    """array<struct<kind, start, end, score>> of the spans that hold."""
-    _, _, plain, near, words = KINDS[kind]
+def _scored(rule: str, spans: Column, text: Column) -> Column:
+    """array<struct<kind, start, end, score, base>> of the spans that hold."""
+    kind, _, _, plain, near, words = RULES[rule]
+    base = rule in BASE
 
     def score(s):
         first = F.greatest(s["start"] - NEAR, F.lit(0))
@@ -113,29 +129,41 @@ def _scored(kind: str, spans: Column, text: Column) -> Column:
         after = F.substring(text, s["end"] + 1, F.lit(NEAR))
         context = F.concat(before, F.lit(" "), after).rlike(rf"(?i)(?<![A-Za-z])(?:{words})(?![A-Za-z])")
         return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                        F.when(context, near).otherwise(plain).alias("score"))
+                        F.when(context, near).otherwise(plain).alias("score"), F.lit(base).alias("base"))
 
     scored = F.transform(F.filter(spans, lambda s: _valid(kind, s["value"])), score)
-    return scored if kind in BASE else F.filter(scored, lambda s: s["score"] >= THRESHOLD)
+    return scored if base else F.filter(scored, lambda s: s["score"] >= THRESHOLD)
+
+
+def _of_kind(kind: str) -> Column:
+    """The spans of a kind by start: the base ones, and added ones that none of those touches."""
+    rules = [r for r in RULES if RULES[r][0] == kind]
+    spans = F.col(f"_{rules[0]}")
+    for rule in rules[1:]:
+        free = F.filter(F.col(f"_{rule}"), lambda s: ~F.exists(
+            F.col(f"_{rules[0]}"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        spans = F.array_sort(F.concat(spans, free), lambda a, b: a["start"] - b["start"])
+    return spans
 
 
 def _with_spans(df: DataFrame, text: str) -> DataFrame:
-    """``_text`` (null: empty) and one array ``_<kind>`` of scored spans for each kind.
-    Each step is a projection of its own, so that no step is computed twice."""
+    """``_text`` (null: empty) and ``_spans``, all spans by kind, then start.  Each step is a
+    projection of its own, so that no step is computed twice."""
     df = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    df = df.withColumns({f"_{k}": _proposed(k, F.col("_text")) for k in KINDS})
-    df = df.withColumns({f"_{k}": _placed(F.col(f"_{k}")) for k in KINDS})
-    return df.withColumns({f"_{k}": _scored(k, F.col(f"_{k}"), F.col("_text")) for k in KINDS})
+    df = df.withColumns({f"_{r}": _proposed(r, F.col("_text")) for r in RULES})
+    df = df.withColumns({f"_{r}": _placed(F.col(f"_{r}")) for r in RULES})
+    df = df.withColumns({f"_{r}": _scored(r, F.col(f"_{r}"), F.col("_text")) for r in RULES})
+    return df.withColumn("_spans", F.concat(*[_of_kind(k) for k in KINDS]))
 
 
 def find_spans(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and spans array<struct<kind, start, end, score>>, by kind, then start.
+    """``key`` and spans array<struct<kind, start, end, score, base>>, by kind, then start.
 
     A null text counts as empty; empty texts have no spans; repeated rows are
     judged each; columns other than key and text aren't read.
     """
     out = _with_spans(df.select(F.col(key).alias("_key"), F.col(text).alias("_raw")), "_raw")
-    return out.select(F.col("_key").alias(key), F.concat(*[F.col(f"_{k}") for k in KINDS]).alias("spans"))
+    return out.select(F.col("_key").alias(key), F.col("_spans").alias("spans"))
 
 
 def _digest(spans: Column) -> Column:
@@ -147,14 +175,13 @@ def _count(spans: Column, kind: str) -> Column:
 
 
 def span_report(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts and digests of the spans of ``find_spans``."""
+    """Counts and digests of the spans of ``find_spans``: of the base ones, and all of them."""
     found = find_spans(df, key, text)
-    base = F.filter(F.col("spans"), lambda s: s["kind"].isin(*BASE))
-    found = found.withColumns({"base": base, "added": F.filter(F.col("spans"), lambda s: ~s["kind"].isin(*BASE))})
+    found = found.withColumn("base", F.filter("spans", lambda s: s["base"]))
     found = found.withColumns({"base_text": _digest(F.col("base")), "spans_text": _digest(F.col("spans"))})
     counts = [_count(F.col("base"), k).alias(f"n_{k}") for k in BASE]
     return found.select(key, *counts, F.sha2(F.col("base_text").cast("binary"), 256).alias("base_sha256"),
-                        F.col("spans_text").alias("spans"), F.size("added").cast("long").alias("n_added"))
+                        F.col("spans_text").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
 
 
 def redact(df: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
@@ -165,9 +192,8 @@ def redact(df: DataFrame, text: str = "text", length: str | None = None) -> Data
     inner = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
     at = f"c{columns.index(text)}"
     out = _with_spans(inner, at)
-    spans = F.concat(*[F.col(f"_{k}") for k in KINDS])
     out = out.withColumn("_all", F.array_sort(F.transform(
-        spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
+        "_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
 
     def step(acc, s):
         gap = F.substring(F.col("_text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
