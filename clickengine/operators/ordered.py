@@ -6,27 +6,26 @@ max, or the previous few rows (lag).  A plain ``Window.partitionBy(key)``
 sends every row of a key to one task; if a key holds a third of the data that
 task holds a third of the data.
 
-``ordered_scan`` splits each *hot* key (more than ``HOT_KEY_ROWS`` rows,
-found by one partial count; the hot-key list is at most rows / HOT_KEY_ROWS
-long and is broadcast) into order buckets (ranges of the ordering column,
-monotone with the order); every other key is a single bucket.  It then works
-in three distributed steps:
+``ordered_scan`` takes two branches.  Keys of up to ``HOT_KEY_ROWS`` rows go
+through that plain window.  The *hot* keys (found by one partial count; at
+most ``HOT_KEYS`` of them, the largest ones, so their list may be broadcast)
+are split into order buckets, monotone with the order, in three distributed
+steps:
 
 1. local pass: ``Window.partitionBy(key, bucket)`` - row number, running
    aggregates and the last ``k`` rows inside the bucket;
 2. bucket summary: one row per (key, bucket) with its count, aggregates and
-   its last ``k`` rows (at most ``k`` per bucket, never a whole bucket),
-   computed from the input by partial aggregation (the last row as a partial
-   ``max_by``, k > 1 rows as a partial top-k), so only small rows cross the
-   network;
-   a window over the *summary* (``partitionBy(key).orderBy(bucket)``) gives
-   the carry-in of every bucket: rows, aggregates and the ``k`` rows before
-   it (these come from at most ``k`` previous buckets, each holding >= 1 row);
-3. join the carry-in back on (key, bucket) - the big side is already
-   hash-partitioned on (key, bucket), so only the small summary (buckets
-   that have a predecessor) moves.
-
-The result equals a single window per key (tests check it with tiny buckets).
+   its last ``k`` rows, computed from the hot rows by partial aggregation
+   (the last row as a partial ``max_by``, k > 1 rows as a partial top-k);
+   a window over the *summary* gives the carry-in of every bucket: rows,
+   aggregates and the ``k`` rows before it;
+3. join the carry-in back on (key, bucket).
+
+Buckets of a hot key are quantiles of its own first order column, so they
+follow the key's own row rate; a caller's bucket expression serves where that
+column isn't a number or a time.  Without hot keys the adaptive plan drops the
+second branch.  The result equals a single window per key (tests check it with
+tiny buckets).
 """
 
 from __future__ import annotations
@@ -44,10 +43,12 @@ from clickengine.functions.expressions import as_col, int_div, ts_to_micros
 # rate times the width.  Wide enough that cold keys add few summary rows.
 ARRIVAL_BUCKET_ROWS = 1 << 20
 TIME_BUCKET_SECONDS = 86_400
-# Keys with more rows than this are split into order buckets; every other key
-# is one partition, so no window partition holds more than about this many
-# rows (or one bucket of a hot key).
+# Keys with more rows than this are split into order buckets.
 HOT_KEY_ROWS = 1 << 20
+# At most so many keys are split, the largest ones: the bound of the broadcast.
+HOT_KEYS = 10_000
+# Buckets of a hot key, by quantiles of its order column.
+QUANTILES = 256
 
 _COMBINE = {
     "sum": lambda a, b: a + b,
@@ -67,120 +68,163 @@ def time_bucket(ts, seconds: int = TIME_BUCKET_SECONDS) -> Column:
     return F.floor(ts_to_micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
-def millis_bucket(ms, seconds: int = TIME_BUCKET_SECONDS) -> Column:
-    """Bucket of an epoch-milliseconds column."""
-    return F.floor(as_col(ms) / F.lit(seconds * 1000)).cast("bigint")
-
-
 @dataclass(frozen=True)
 class Running:
-    """A running aggregate from the key's first row up to the current row."""
+    """A running aggregate from the key's first row up to the current row,
+    or up to the row before it (``exclusive``)."""
     kind: str   # "sum" | "max" | "min"
     expr: Column
+    exclusive: bool = False
 
 
 def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column,
                  running: dict[str, Running] | None = None,
                  recent: tuple[int, list[str]] | None = None,
                  rn: str | None = "rn", descending: bool = False,
-                 recent_name: str = "recent", hot_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                 recent_name: str = "recent", hot_rows: int | None = HOT_KEY_ROWS,
+                 quantiles: bool = True) -> DataFrame:
     """Add per-key ordered columns to ``df``.
 
     key:        key column names (the scan restarts per key)
     order:      column names giving a total order within a key
     bucket:     expression monotone (non-decreasing) along ``order``
-    running:    name -> Running(kind, expr): inclusive running aggregate
+    running:    name -> Running(kind, expr): running aggregate
     recent:     (k, cols): array ``recent_name`` of the last k+1 rows
                 (structs of ``cols``, oldest first, current row last)
     rn:         name of the 1-based row number within the key (None: skip)
     descending: scan from the last row backwards (suffix aggregates)
-    hot_rows:   only keys with more rows than this are split into buckets;
-                every other key is one partition (at most hot_rows rows).
-                0 / None: every key is bucketed.  The hot-key list has at most rows / hot_rows entries,
-                a bound that makes it safe to broadcast, and the bucket
-                summary shrinks to the hot keys' buckets.
+    hot_rows:   only keys with more rows than this are split into buckets.
+                0 / None: every key is, by ``bucket``
+    quantiles:  split hot keys by quantiles of ``order[0]`` where it is a
+                number or a time, else (or if False) by ``bucket``
     """
     running = running or {}
-    k, rcols = recent if recent else (0, [])
-    B = "_oscan_bkt"
-    ocols = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    # Partition / join keys are non-nullable surrogates: (coalesce(key,
-    # default), key is null) and the bucket with nulls mapped to the bucket
-    # that sorts first (null order values sort first ascending, last
-    # descending).  Null keys and null order values are thus handled in the
-    # same plan, plain equality joins work, and the two branches below carry
-    # no inferred null filters, so they are one plan and share one exchange.
+    # Null keys are a group like any other: partition and join keys are the
+    # non-nullable pair (coalesce(key, default), key is null).
     d = df
     pkeys = []
     for i, c in enumerate(key):
         d = (d.withColumn(f"_oscan_k{i}", F.coalesce(F.col(c), _default(df.schema[c].dataType)))
               .withColumn(f"_oscan_n{i}", F.col(c).isNull()))
         pkeys += [f"_oscan_k{i}", f"_oscan_n{i}"]
-    if hot_rows:
-        counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_oscan_rows"))
-        hot = counts.where(F.col("_oscan_rows") > hot_rows).select(*key, F.lit(True).alias("_oscan_hot"))
-        d = d.join(F.broadcast(hot), on=key, how="left")
-        bucket = F.when(F.col("_oscan_hot"), bucket).otherwise(F.lit(0))
-    d = d.withColumn(B, F.coalesce(bucket.cast("bigint"), F.lit(_NULL_BUCKET).cast("bigint")))
-
-    w_local = Window.partitionBy(*pkeys, B).orderBy(*ocols)
-    upto = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = d.withColumn("_oscan_lrn", F.row_number().over(w_local).cast("bigint"))
-    for name, spec in running.items():
-        local = local.withColumn(f"_oscan_l_{name}", _AGG[spec.kind](spec.expr).over(upto))
-    if k:
-        row = F.struct(*[F.col(c) for c in rcols])
-        local = local.withColumn("_oscan_lrecent", F.collect_list(row).over(w_local.rowsBetween(-k, 0)))
-
-    # Bucket summary, one row per (key, bucket), computed from the input so
-    # that only small rows are shuffled: counts and totals by partial
-    # (map-side) aggregation; the last k rows by `row_number() <= k`, which
-    # Catalyst plans as a partial WindowGroupLimit ahead of the exchange.
-    aggs = [F.count(F.lit(1)).alias("_oscan_bcnt")]
-    aggs += [_AGG[s.kind](s.expr).alias(f"_oscan_b_{n}") for n, s in running.items()]
-    if k == 1:
-        # the last row of a bucket is a max_by / min_by: partial, no sort
-        order_struct = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in rcols]).alias("r"))
-        pick = F.min_by if descending else F.max_by
-        aggs.append(F.array(pick(order_struct, F.struct(*[F.col(c) for c in order]))).alias("_oscan_btail"))
-    summary = d.groupBy(*pkeys, B).agg(*aggs)
-    if k > 1:
-        rev = [F.col(c).asc() if descending else F.col(c).desc() for c in order]
-        order_struct = F.struct(*[F.col(c) for c in order], F.struct(*[F.col(c) for c in rcols]).alias("r"))
-        tails = (d.withColumn("_oscan_rk", F.row_number().over(Window.partitionBy(*pkeys, B).orderBy(*rev)))
-                  .where(F.col("_oscan_rk") <= k)
-                  .groupBy(*pkeys, B)
-                  .agg(F.sort_array(F.collect_list(order_struct), asc=not descending).alias("_oscan_btail")))
-        summary = summary.join(tails, on=[*pkeys, B], how="inner")
-
-    w_b = Window.partitionBy(*pkeys).orderBy(F.col(B).desc() if descending else F.col(B).asc())
-    before = w_b.rowsBetween(Window.unboundedPreceding, -1)
-    carry = [*pkeys, B, F.sum("_oscan_bcnt").over(before).alias("_oscan_ccnt")]
-    for n, s in running.items():
-        carry.append(_AGG[s.kind](F.col(f"_oscan_b_{n}")).over(before).alias(f"_oscan_c_{n}"))
-    if k:
-        prev_tails = F.flatten(F.collect_list("_oscan_btail").over(w_b.rowsBetween(-k, -1)))
-        carry.append(F.transform(prev_tails, lambda x: x["r"]).alias("_oscan_halo"))
-    # A key's first bucket has nothing to carry in: only later buckets are
-    # joined back (for cold keys, nothing at all).
-    carry_df = summary.select(*carry).where(F.col("_oscan_ccnt").isNotNull())
-
-    # The big side keeps its (key, bucket) partitioning; only the summary
-    # (one row per key and bucket) moves.
-    out = local.join(carry_df, on=[*pkeys, B], how="left")
-    if rn:
-        out = out.withColumn(rn, F.col("_oscan_lrn") + F.coalesce(F.col("_oscan_ccnt"), F.lit(0)))
+    # Each row's value for the aggregates and the last rows, under fixed names.
     for n, s in running.items():
-        lv, cv = F.col(f"_oscan_l_{n}"), F.col(f"_oscan_c_{n}")
-        out = out.withColumn(n, F.when(cv.isNull(), lv).when(lv.isNull(), cv).otherwise(_COMBINE[s.kind](cv, lv)))
-    if k:
-        both = F.concat(F.when(F.size("_oscan_lrecent") <= k, F.col("_oscan_halo")), F.col("_oscan_lrecent"))
-        both = F.coalesce(both, F.col("_oscan_lrecent"))
-        keep = F.slice(both, F.greatest(F.size(both) - (k + 1), F.lit(0)) + 1, k + 1)
-        out = out.withColumn(recent_name, keep)
+        d = d.withColumn(f"_oscan_v_{n}", s.expr)
+    scan = _Scan(pkeys, order, running, recent, rn, descending, recent_name)
+    d = d.withColumn(_B, F.coalesce(bucket.cast("bigint"), F.lit(_NULL_BUCKET).cast("bigint")))
+    if not hot_rows:
+        out = scan.split(d)
+    else:
+        counts = d.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_oscan_rows")).where(F.col("_oscan_rows") > hot_rows)
+        hot = F.broadcast(counts.orderBy(F.desc("_oscan_rows"), *pkeys).limit(HOT_KEYS).select(*pkeys))
+        cold = scan.plain(d.join(hot, pkeys, "left_anti"))
+        warm = d.join(hot, pkeys)
+        value = _number(df.schema[order[0]].dataType, order[0]) if quantiles else None
+        if value is not None:
+            cuts = [i / QUANTILES for i in range(1, QUANTILES)]
+            bounds = warm.groupBy(*pkeys).agg(F.percentile_approx(value, cuts, 10 * QUANTILES).alias("_oscan_q"))
+            of_value = F.size(F.filter(F.array_distinct("_oscan_q"), lambda b: b < value)).cast("bigint")
+            warm = warm.join(F.broadcast(bounds), pkeys)   # one row per hot key
+            warm = warm.withColumn(_B, F.when(value.isNull(), F.lit(_NULL_BUCKET).cast("bigint")).otherwise(of_value))
+        out = cold.unionByName(scan.split(warm).select(*cold.columns))
     return out.drop(*[c for c in out.columns if c.startswith("_oscan_")])
 
 
+_B = "_oscan_bkt"
+
+
+def _number(kind: T.DataType, name: str) -> Column | None:
+    """A column as a long in the same order, if it is a time or a whole number."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return ts_to_micros(name)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.col(name).cast("bigint")
+    return None
+
+
+@dataclass(frozen=True)
+class _Scan:
+    """What an ordered scan computes, as a plain window or split by buckets."""
+    pkeys: list[str]
+    order: list[str]
+    running: dict[str, Running]
+    recent: tuple[int, list[str]] | None
+    rn: str | None
+    descending: bool
+    recent_name: str
+
+    def _local(self, d: DataFrame, by: list[str], prefix: str = "") -> DataFrame:
+        """Row number, running aggregates and last rows within ``by``."""
+        w = Window.partitionBy(*by).orderBy(*[F.col(c).desc() if self.descending else F.col(c).asc() for c in self.order])
+        out = d
+        if self.rn or prefix:
+            out = out.withColumn(f"{prefix}{self.rn or 'rn'}", F.row_number().over(w).cast("bigint"))
+        for n, s in self.running.items():
+            frame = w.rowsBetween(Window.unboundedPreceding, -1 if s.exclusive else Window.currentRow)
+            out = out.withColumn(f"{prefix}{n}", _AGG[s.kind](F.col(f"_oscan_v_{n}")).over(frame))
+        if self.recent:
+            k, cols = self.recent
+            row = F.struct(*[F.col(c) for c in cols])
+            if k <= 8:
+                rows = F.array(*[F.lag(row, i).over(w) for i in range(k, 0, -1)], row)
+                rows = F.filter(rows, lambda x: x.isNotNull())
+            else:
+                rows = F.collect_list(row).over(w.rowsBetween(-k, 0))
+            out = out.withColumn(f"{prefix}{self.recent_name}", rows)
+        return out
+
+    def plain(self, d: DataFrame) -> DataFrame:
+        return self._local(d, self.pkeys)
+
+    def split(self, d: DataFrame) -> DataFrame:
+        k, cols = self.recent if self.recent else (0, [])
+        pkeys, lp = self.pkeys, "_oscan_l_"
+        local = self._local(d, [*pkeys, _B], lp)
+
+        # Bucket summary, one row per (key, bucket): counts and totals by
+        # partial (map-side) aggregation; the last k rows by `row_number() <=
+        # k`, which Catalyst plans as a partial WindowGroupLimit.
+        aggs = [F.count(F.lit(1)).alias("_oscan_bcnt")]
+        aggs += [_AGG[s.kind](F.col(f"_oscan_v_{n}")).alias(f"_oscan_b_{n}") for n, s in self.running.items()]
+        last = F.struct(*[F.col(c) for c in self.order], F.struct(*[F.col(c) for c in cols]).alias("r")) if k else None
+        if k == 1:
+            pick = F.min_by if self.descending else F.max_by
+            aggs.append(F.array(pick(last, F.struct(*[F.col(c) for c in self.order]))).alias("_oscan_btail"))
+        summary = d.groupBy(*pkeys, _B).agg(*aggs)
+        if k > 1:
+            rev = [F.col(c).asc() if self.descending else F.col(c).desc() for c in self.order]
+            tails = (d.withColumn("_oscan_rk", F.row_number().over(Window.partitionBy(*pkeys, _B).orderBy(*rev)))
+                      .where(F.col("_oscan_rk") <= k)
+                      .groupBy(*pkeys, _B)
+                      .agg(F.sort_array(F.collect_list(last), asc=not self.descending).alias("_oscan_btail")))
+            summary = summary.join(tails, on=[*pkeys, _B], how="inner")
+
+        w_b = Window.partitionBy(*pkeys).orderBy(F.col(_B).desc() if self.descending else F.col(_B).asc())
+        before = w_b.rowsBetween(Window.unboundedPreceding, -1)
+        carry = [*pkeys, _B, F.sum("_oscan_bcnt").over(before).alias("_oscan_ccnt")]
+        for n, s in self.running.items():
+            carry.append(_AGG[s.kind](F.col(f"_oscan_b_{n}")).over(before).alias(f"_oscan_c_{n}"))
+        if k:
+            tails = F.flatten(F.collect_list("_oscan_btail").over(w_b.rowsBetween(-k, -1)))
+            carry.append(F.transform(tails, lambda x: x["r"]).alias("_oscan_halo"))
+        # A key's first bucket has nothing to carry in.
+        carried = summary.select(*carry).where(F.col("_oscan_ccnt").isNotNull())
+
+        out = local.join(carried, on=[*pkeys, _B], how="left")
+        if self.rn:
+            out = out.withColumn(self.rn, F.col(lp + self.rn) + F.coalesce(F.col("_oscan_ccnt"), F.lit(0)))
+        for n, s in self.running.items():
+            lv, cv = F.col(lp + n), F.col(f"_oscan_c_{n}")
+            out = out.withColumn(n, F.when(cv.isNull(), lv).when(lv.isNull(), cv).otherwise(_COMBINE[s.kind](cv, lv)))
+        if k:
+            mine = F.col(lp + self.recent_name)
+            both = F.coalesce(F.concat(F.when(F.size(mine) <= k, F.col("_oscan_halo")), mine), mine)
+            out = out.withColumn(self.recent_name, F.slice(both, F.greatest(F.size(both) - (k + 1), F.lit(0)) + 1, k + 1))
+        elif self.recent:
+            out = out.withColumn(self.recent_name, F.col(lp + self.recent_name))
+        return out
+
+
 _NULL_BUCKET = -(1 << 63)
 
 

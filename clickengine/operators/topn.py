@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickengine.operators.aggregates import url_view_count
-from clickengine.operators.ordered import ordered_scan
+from clickengine.operators.ordered import HOT_KEY_ROWS, ordered_scan
+from clickengine.session import materialize
 
 
 def top_n(df: DataFrame, order: list[Column], n: int, name: str = "row_num") -> DataFrame:
@@ -51,12 +52,17 @@ def top_values(df: DataFrame, group: list[str], value: str, n: int) -> DataFrame
 
 
 def rank_all(df: DataFrame, group: list[str], order: list[str], name: str = "rank",
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Position of every row within its group by ascending ``order`` (a
     total order), without putting a whole group into one task: the rows are
     range-partitioned on (group, order), so one large group spans several
     range partitions; the range partition id is then monotone along the
-    order and serves as the bucket of a skew-safe ordered scan."""
+    order and serves as the bucket of a skew-safe ordered scan.
+
+    Range bounds are sampled anew by every execution, so the ranged rows and
+    their partition ids are materialized once, before the scan reads them
+    more than once."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *group, *order).withColumn("_rank_pid", F.spark_partition_id())
-    return ordered_scan(ranged, group, order, F.col("_rank_pid"), rn=name).drop("_rank_pid")
+    ranged = materialize(df.repartitionByRange(n, *group, *order).withColumn("_rank_pid", F.spark_partition_id()))
+    return ordered_scan(ranged, group, order, F.col("_rank_pid"), rn=name, hot_rows=hot_rows,
+                        quantiles=False).drop("_rank_pid")

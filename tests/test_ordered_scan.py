@@ -80,3 +80,33 @@ def test_rank_all_spans_range_partitions(spark):
     # the big group really was spread over several range partitions
     parts = df.repartitionByRange(8, "g", "neg", "u").where("g = 'big'").select(F.spark_partition_id()).distinct().count()
     assert parts > 1
+
+
+def test_rank_all_of_a_large_group_keeps_its_payload(spark):
+    """More rows than the range sampler reads and than a hot key holds, with a payload column."""
+    from clickengine.operators.topn import rank_all
+    n = 60_000
+    df = spark.range(n, numPartitions=8).select(
+        F.lit("w").alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("v"), "id", F.sha2(F.col("id").cast("string"), 256).alias("pay"))
+    got = rank_all(df, ["g"], ["v", "id"], hot_rows=1000, partitions=8)
+    w = Window.partitionBy("g").orderBy("v", "id")
+    want = df.withColumn("want", F.row_number().over(w)).select("id", "want")
+    assert got.join(want, "id").where("rank = want and pay is not null").count() == n
+
+
+def test_hot_null_key_is_split(spark):
+    """Two thirds of the rows on a null key: no window task gets them all, and the numbers hold."""
+    df = spark.range(30_000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.col("id") % 50).alias("k"), F.col("id").alias("o"))
+    got = ordered_scan(df, ["k"], ["o"], F.lit(0), hot_rows=1000, recent=(2, ["o"]),
+                       running={"s": Running("sum", F.col("o")), "b": Running("max", F.col("o"), exclusive=True)})
+    w = Window.partitionBy("k").orderBy("o")
+    want = df.select("o", F.row_number().over(w).alias("n"), F.sum("o").over(w).alias("t"), F.lag("o", 2).over(w).alias("l"),
+                     F.lag("o", 1).over(w).alias("p"))
+    both = got.join(want, "o")
+    assert both.count() == 30_000
+    first = F.when(F.size("recent") == 3, F.col("recent")[0]["o"])
+    assert both.where(~((F.col("rn") == F.col("n")) & (F.col("s") == F.col("t")) & first.eqNullSafe(F.col("l"))
+                        & F.col("b").eqNullSafe(F.col("p")))).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_oscan_bkt" in plan
