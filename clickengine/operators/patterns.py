@@ -71,8 +71,8 @@ def fail_state_machine(df: DataFrame, key: list[str], order: list[str], event_ty
 def followed_within(df: DataFrame, key: list[str], order: list[str], ts: str, first: Column,
                     then: Column, within: str, bucket: Column) -> DataFrame:
     """``begin(first).followedBy(then).within(w)`` with timeout output (CE4,
-    CE5): for each ``first`` row the first later ``then`` row of the key
-    (relaxed contiguity); ``matched`` if it comes strictly less than ``w``
+    CE5): for each ``first`` row the first ``then`` row of the key after it
+    (relaxed contiguity; a row never follows itself); ``matched`` if it comes strictly less than ``w``
     later, else ``timeout`` (bounded input: every pending match is flushed).
     Output: key, order columns, ``first_ts``, ``then_ts`` (null on timeout),
     ``status``."""
@@ -81,7 +81,7 @@ def followed_within(df: DataFrame, key: list[str], order: list[str], ts: str, fi
           .withColumn("_fw_then_us", F.when(then, ts_to_micros(ts)))
     d = d.withColumn("_fw_then_ts", F.when(then, F.col(ts)))
     d = ordered_scan(d, key, order, bucket, rn=None, descending=True,
-                     running={"_fw_next_us": Running("min", F.col("_fw_then_us"))})
+                     running={"_fw_next_us": Running("min", F.col("_fw_then_us"), exclusive=True)})
     d = d.where(F.col("_fw_first"))
     gap = F.col("_fw_next_us") - ts_to_micros(ts)
     ok = F.col("_fw_next_us").isNotNull() & (gap < w)

@@ -599,10 +599,10 @@ def q_event_time_seconds(spark, d):
 
 @query("union_streams", """
 SELECT user_id, event_type, ts FROM events WHERE event_type = 'click'
-UNION ALL SELECT user_id, event_type, ts FROM events WHERE event_type = 'view'""")
+UNION ALL SELECT user_id, event_type, ts FROM events WHERE event_type <> 'click'""")
 def q_union_streams(spark, d):
     e = _ev(spark, d).select("user_id", "event_type", "ts")
-    return PF.union_streams(e.where(F.col("event_type") == "click"), e.where(F.col("event_type") == "view"))
+    return PF.union_streams(e.where(F.col("event_type") == "click"), e.where(F.col("event_type") != "click"))
 
 
 @query("connect_map", """
@@ -736,7 +736,7 @@ def q_fail_state_machine(spark, d):
 @query("order_timeout", """
 WITH a AS (SELECT user_id, event_id, ts, event_type,
                   min(CASE WHEN event_type = 'purchase' THEN ts END) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nxt FROM events)
+                      ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM events)
 SELECT user_id, ts, event_id, ts AS first_ts,
        CASE WHEN nxt IS NOT NULL AND epoch_us(nxt) - epoch_us(ts) < 86400000000 THEN nxt END AS then_ts,
        CASE WHEN nxt IS NOT NULL AND epoch_us(nxt) - epoch_us(ts) < 86400000000 THEN 'matched' ELSE 'timeout' END AS status

@@ -134,3 +134,20 @@ def pv_uv_ratio(df: DataFrame, user: str, ts: str, size: str, slide: str | None
                    .agg(F.sum("_n").alias("pv"), F.count(F.lit(1)).alias("uv")))
     return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       "pv", "uv", (F.col("pv") / F.col("uv")).alias("ratio"))
+
+
+def match_transitions(events: DataFrame, patterns: DataFrame, key: str, action: str, seq: str) -> DataFrame:
+    """Live rule matching (JN6, ST13): each row with the key's previous action,
+    joined inside the streaming query with the rule table (action1, action2, seq:
+    the rule holds for rows after ``seq`` up to the next rule's).  The rule table is
+    a static side; Spark broadcasts it if it is small."""
+    from pyspark.sql import Window
+
+    from clickengine.streaming import processors
+    since = patterns.select("action1", "action2", F.col("seq").alias("_from"),
+                            F.lead("seq").over(Window.orderBy("seq")).alias("_to"))
+    rows = processors.run(events, key, processors.PreviousAction(seq, action), processors.PreviousAction.OUTPUT,
+                          time_mode="None")
+    return rows.join(since, (rows.prev_action == since.action1) & (rows.action == since.action2)
+                     & (rows.seq > since["_from"]) & (since["_to"].isNull() | (rows.seq <= since["_to"]))) \
+               .select("key", "seq", "prev_action", "action")

@@ -1,5 +1,5 @@
 """Stateful processors for ``groupBy(key).transformWithStateInPandas`` (ST4-ST12,
-WN6, WN7, CE3, CE4, JN6).
+WN6, CE1-CE4, JN6).
 
 Each processor keeps per-key state in Spark's state store (RocksDB provider,
 checkpointed with the query) and registers event-time timers; Spark runs
@@ -26,6 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import (ExpiredTimerInfo, StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
 
+from clickengine.streaming.replay import SENTINEL_ID, SENTINEL_KEY
+
+#: Rows of one output frame: a processor that makes many yields them in parts.
+FRAME_ROWS = 10_000
+
 
 def run(df: DataFrame, key: str, processor: StatefulProcessor, schema: str,
         output_mode: str = "Append", time_mode: str = "EventTime") -> DataFrame:
@@ -33,13 +38,17 @@ def run(df: DataFrame, key: str, processor: StatefulProcessor, schema: str,
         statefulProcessor=processor, outputStructType=schema, outputMode=output_mode, timeMode=time_mode)
 
 
-def _sorted(rows: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
-    """The key's rows of this micro-batch in processing order; rows without
-    an ordering value (e.g. an end-of-input marker) carry no event."""
+def _sorted(rows: Iterator[pd.DataFrame], by: list[str], key=None) -> pd.DataFrame:
+    """The key's rows of this micro-batch in processing order.  The end-of-input
+    marker, known by its reserved key, carries no event; a row without an
+    ordering value has no place in the order and is an error."""
     frames = [r for r in rows if len(r)]
-    if not frames:
+    if not frames or (key is not None and str(key[0]) in (SENTINEL_KEY, str(SENTINEL_ID))):
         return pd.DataFrame()
-    return pd.concat(frames, ignore_index=True).dropna(subset=by).sort_values(by, kind="stable")
+    pdf = pd.concat(frames, ignore_index=True)
+    if pdf[by].isna().any(axis=None):
+        raise ValueError(f"a row of key {key} has no {' or '.join(by)}")
+    return pdf.sort_values(by, kind="stable")
 
 
 def _ms(series: pd.Series) -> pd.Series:
@@ -63,7 +72,7 @@ class EventTimers(StatefulProcessor):
         self.handle = handle
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.ts])
+        pdf = _sorted(rows, [self.ts], key)
         ms = _ms(pdf[self.ts]) if len(pdf) else pd.Series([], dtype="int64")
         for t in ms:
             self.handle.registerTimer(int(t) + self.delay + 1)
@@ -97,7 +106,7 @@ class PeriodicCount(StatefulProcessor):
         self.pending = handle.getMapState("pending", "k long", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.ts])
+        pdf = _sorted(rows, [self.ts], key)
         if not len(pdf):
             return iter([])
         ms = _ms(pdf[self.ts])
@@ -106,10 +115,10 @@ class PeriodicCount(StatefulProcessor):
         else:
             t0, total = int(ms.iloc[0]), 0
             self.handle.registerTimer(t0 + self.p + 1)
-        for t in ms:
-            k = max(1, -(-(int(t) - t0) // self.p))
+        for k, n in (-(-(ms - t0) // self.p)).clip(lower=1).value_counts().items():
+            k = int(k)
             cur = self.pending.getValue((k,))[0] if self.pending.containsKey((k,)) else 0
-            self.pending.updateValue((k,), (cur + 1,))
+            self.pending.updateValue((k,), (cur + int(n),))
         self.meta.update((t0, total))
         return iter([])
 
@@ -130,6 +139,9 @@ class PeriodicCount(StatefulProcessor):
             tick += self.p
             if tick + 1 > wm:
                 break
+            if len(out) == FRAME_ROWS:
+                yield pd.DataFrame(out, columns=["key", "tick_ms", "cnt"])
+                out = []
         self.meta.update((t0, total))
         self.handle.registerTimer(tick + 1)
         yield pd.DataFrame(out, columns=["key", "tick_ms", "cnt"])
@@ -154,7 +166,7 @@ class AvgEveryN(StatefulProcessor):
         self.acc = handle.getValueState("acc", "cnt long, total long, batches long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.seq])
+        pdf = _sorted(rows, [self.seq], key)
         cnt, total, batches = self.acc.get() if self.acc.exists() else (0, 0, 0)
         out = []
         for t in (_ms(pdf[self.ts]) if len(pdf) else []):
@@ -188,7 +200,7 @@ class FailStateMachine(StatefulProcessor):
         self.run_len = handle.getValueState("run", "n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.seq])
+        pdf = _sorted(rows, [self.seq], key)
         run = self.run_len.get()[0] if self.run_len.exists() else 0
         out = []
         for s, t in zip(pdf.get(self.seq, []), pdf.get(self.type, [])):
@@ -205,150 +217,154 @@ class FailStateMachine(StatefulProcessor):
         pass
 
 
-# ------------------------------------------------------------------ CE4
+# ------------------------------------------------------------------ CE1, CE2, CE4
 
-class FollowedWithin(StatefulProcessor):
-    """``first`` followed by ``then`` within ``within_ms`` (relaxed).  Pending
-    ``first`` rows live in list state with an event-time timer each; a
-    ``then`` row matches every pending row less than ``within`` before it; the
-    timer emits a timeout for rows still pending.
-    Output: ``key, seq, first_ms, then_ms, status``."""
+class _EventTimeOrder(StatefulProcessor):
+    """Rows of a key are kept until the watermark has passed them, then handled in
+    (event time, sequence) order, whatever the order of arrival.  One timer
+    stands at the earliest kept row."""
 
-    OUTPUT = "key string, seq long, first_ms long, then_ms long, status string"
-
-    def __init__(self, seq: str, ts: str, event_type: str, first: str, then: str, within_ms: int):
+    def __init__(self, seq: str, ts: str, event_type: str):
         self.seq, self.ts, self.type = seq, ts, event_type
-        self.first, self.then, self.w = first, then, within_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "seq long, ms long")
+        self.kept = handle.getListState("kept", "ms long, seq long, type string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.ts, self.seq])
-        pend = list(self.pending.get()) if self.pending.exists() else []
-        out = []
-        if len(pdf):
-            for s, t, typ in zip(pdf[self.seq], _ms(pdf[self.ts]), pdf[self.type]):
-                s, t = int(s), int(t)
-                if typ == self.first:
-                    pend.append((s, t))
-                    self.handle.registerTimer(t + self.w)
-                elif typ == self.then:
-                    keep = []
-                    for ps, pt in pend:
-                        if t - pt < self.w:
-                            out.append((str(key[0]), ps, pt, t, "matched"))
-                        else:
-                            keep.append((ps, pt))
-                    pend = keep
-        self.pending.clear()
-        if pend:
-            self.pending.put(pend)
-        yield pd.DataFrame(out, columns=["key", "seq", "first_ms", "then_ms", "status"])
+        pdf = _sorted(rows, [self.ts, self.seq], key)
+        new = [(int(t), int(s), e) for t, s, e in zip(_ms(pdf[self.ts]), pdf[self.seq], pdf[self.type])] if len(pdf) else []
+        yield from self._release(key, new, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due = expiredTimerInfo.getExpiryTimeInMs()
-        pend = list(self.pending.get()) if self.pending.exists() else []
-        out = [(str(key[0]), ps, pt, None, "timeout") for ps, pt in pend if pt + self.w <= due]
-        rest = [(ps, pt) for ps, pt in pend if pt + self.w > due]
-        self.pending.clear()
+        yield from self._release(key, [], timerValues)
+
+    def _release(self, key, new: list, timerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        kept = sorted([tuple(r) for r in self.kept.get()] + new if self.kept.exists() else new)
+        ready = [r for r in kept if r[0] < wm]
+        rest = kept[len(ready):]
+        self.kept.clear()
         if rest:
-            self.pending.put(rest)
-        yield pd.DataFrame(out, columns=["key", "seq", "first_ms", "then_ms", "status"]).astype({"then_ms": "Int64"})
+            self.kept.put(rest)
+            self.handle.registerTimer(rest[0][0] + 1)
+        yield self._handle(str(key[0]), ready, wm)
+
+    def _handle(self, key: str, ready: list, wm: int) -> pd.DataFrame:
+        raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
-# ------------------------------------------------------------------ WN7
+class StrictSequence(_EventTimeOrder):
+    """The key's last rows in event-time order have the types ``steps``, one
+    after the other (CE1); the same type n times is CE2.  Matches overlap.
+    Output: ``key, seq`` (of the last row), ``times_ms`` of the rows."""
 
-class FixedWindowCount(StatefulProcessor):
-    """Hand-made tumbling window by map state + timers (WN7): window start ->
-    count, a timer at the window end emits and removes it.  Rows whose window
-    already fired are dropped (S17).  Output: ``key, start_ms, end_ms, cnt``."""
+    OUTPUT = "key string, seq long, times_ms array<long>"
 
-    OUTPUT = "key string, start_ms long, end_ms long, cnt long"
-
-    def __init__(self, ts: str, size_ms: int):
-        self.ts, self.size = ts, size_ms
+    def __init__(self, seq: str, ts: str, event_type: str, steps: list[str]):
+        super().__init__(seq, ts, event_type)
+        self.steps = steps
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.windows = handle.getMapState("windows", "start long", "cnt long")
+        super().init(handle)
+        self.last = handle.getListState("last", "ms long, seq long, type string")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.ts])
-        wm = timerValues.getCurrentWatermarkInMs()
-        for t in (_ms(pdf[self.ts]) if len(pdf) else []):
-            start = int(t) - int(t) % self.size
-            if start + self.size - 1 < wm:      # window already fired
-                continue
-            cur = self.windows.getValue((start,))[0] if self.windows.containsKey((start,)) else 0
-            if cur == 0:
-                self.handle.registerTimer(start + self.size)
-            self.windows.updateValue((start,), (cur + 1,))
-        return iter([])
+    def _handle(self, key, ready, wm) -> pd.DataFrame:
+        n = len(self.steps)
+        before = [tuple(r) for r in self.last.get()] if self.last.exists() else []
+        rows = before + ready
+        out = []
+        for end in range(max(len(before) + 1, n), len(rows) + 1):
+            part = rows[end - n:end]
+            if [r[2] for r in part] == self.steps:
+                out.append((key, part[-1][1], [r[0] for r in part]))
+        if ready and n > 1:
+            self.last.clear()
+            self.last.put(rows[-(n - 1):])
+        return pd.DataFrame(out, columns=["key", "seq", "times_ms"])
+
+
+class FollowedWithin(_EventTimeOrder):
+    """``first`` followed by ``then`` within ``within_ms`` (relaxed, CE4) in
+    event-time order: a ``then`` row matches every pending ``first`` row before
+    it that is less than ``within`` older; a pending row times out when the
+    watermark has passed its time.
+    Output: ``key, seq, first_ms, then_ms, status``."""
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        start = expiredTimerInfo.getExpiryTimeInMs() - self.size
-        if not self.windows.containsKey((start,)):
-            return iter([])
-        cnt = self.windows.getValue((start,))[0]
-        self.windows.removeKey((start,))
-        return iter([pd.DataFrame({"key": [str(key[0])], "start_ms": [start], "end_ms": [start + self.size],
-                                   "cnt": [cnt]})])
+    OUTPUT = "key string, seq long, first_ms long, then_ms long, status string"
 
-    def close(self) -> None:
-        pass
+    def __init__(self, seq: str, ts: str, event_type: str, first: str, then: str, within_ms: int):
+        super().__init__(seq, ts, event_type)
+        self.first, self.then, self.w = first, then, within_ms
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.pending = handle.getListState("pending", "ms long, seq long")
+
+    def _handle(self, key, ready, wm) -> pd.DataFrame:
+        pending = [tuple(r) for r in self.pending.get()] if self.pending.exists() else []
+        out = []
+        for t, seq, kind in ready:
+            if kind == self.then:
+                out += [(key, s, p, t, "matched") for p, s in pending if t - p < self.w]
+                pending = [(p, s) for p, s in pending if t - p >= self.w]
+            if kind == self.first:
+                pending.append((t, seq))
+        out += [(key, s, p, None, "timeout") for p, s in pending if p + self.w <= wm]
+        pending = [(p, s) for p, s in pending if p + self.w > wm]
+        self.pending.clear()
+        if pending:
+            self.pending.put(pending)
+            self.handle.registerTimer(min(pending)[0] + self.w)
+        return pd.DataFrame(out, columns=["key", "seq", "first_ms", "then_ms", "status"]).astype({"then_ms": "Int64"})
 
 
 # ------------------------------------------------------------------ ST7-ST12
 
 class KeyedStateSummary(StatefulProcessor):
     """The state kinds of the keyed-state program in one processor:
-    value state (count, with TTL), list state (last ``keep`` urls), map state
+    value state (count, with TTL), list state (all urls, with TTL), map state
     (url -> count), a reducing state (first url, last time) and an
     aggregating state (sum, count -> average).  Emits the key's summary after
-    every batch.  State TTL is processing-time based in Spark: run it with
+    every batch; each state is written once a batch and distinct url.  State
+    TTL is processing-time based in Spark: run it with
     ``time_mode="ProcessingTime"``.
-    Output: ``key, cnt, first_url, last_ms, avg_ms, n_urls``."""
+    Output: ``key, cnt, first_url, last_ms, avg_ms, n_urls, urls``."""
 
-    OUTPUT = "key string, cnt long, first_url string, last_ms long, avg_ms long, n_urls long"
+    OUTPUT = "key string, cnt long, first_url string, last_ms long, avg_ms long, n_urls long, urls array<string>"
 
-    def __init__(self, seq: str, url: str, ts: str, ttl_ms: int | None = 3_600_000, keep: int = 5):
-        self.seq, self.url, self.ts, self.ttl, self.keep = seq, url, ts, ttl_ms, keep
+    def __init__(self, seq: str, url: str, ts: str, ttl_ms: int | None = 3_600_000):
+        self.seq, self.url, self.ts, self.ttl = seq, url, ts, ttl_ms
 
     def init(self, handle) -> None:
         self.count = handle.getValueState("count", "n long", self.ttl)
-        self.recent = handle.getListState("recent", "url string")
+        self.visited = handle.getListState("visited", "url string", self.ttl)
         self.urls = handle.getMapState("urls", "url string", "n long")
         self.reduced = handle.getValueState("reduced", "first_url string, last_ms long")
         self.agg = handle.getValueState("agg", "total long, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.seq])
-        n = self.count.get()[0] if self.count.exists() else 0
-        first, last = self.reduced.get() if self.reduced.exists() else (None, None)
+        pdf = _sorted(rows, [self.seq], key)
+        if not len(pdf):
+            return
+        times = _ms(pdf[self.ts])
+        n = (self.count.get()[0] if self.count.exists() else 0) + len(pdf)
+        first = self.reduced.get()[0] if self.reduced.exists() else pdf[self.url].iloc[0]
         total, m = self.agg.get() if self.agg.exists() else (0, 0)
-        recent = [r[0] for r in self.recent.get()] if self.recent.exists() else []
-        for u, t in zip(pdf[self.url], _ms(pdf[self.ts])):
-            n += 1
-            first = first if first is not None else u
-            last = int(t)
-            total, m = total + int(t), m + 1
-            c = self.urls.getValue((u,))[0] if self.urls.containsKey((u,)) else 0
-            self.urls.updateValue((u,), (c + 1,))
-            recent = (recent + [u])[-self.keep:]
+        total, m = total + int(times.sum()), m + len(pdf)
+        for u, c in pdf[self.url].value_counts().items():
+            old = self.urls.getValue((u,))[0] if self.urls.containsKey((u,)) else 0
+            self.urls.updateValue((u,), (old + int(c),))
         self.count.update((n,))          # a write refreshes the TTL
-        self.reduced.update((first, last))
+        self.reduced.update((first, int(times.iloc[-1])))
         self.agg.update((total, m))
-        self.recent.clear()
-        if recent:
-            self.recent.put([(u,) for u in recent])
-        n_urls = len(list(self.urls.keys()))
-        yield pd.DataFrame({"key": [str(key[0])], "cnt": [n], "first_url": [first], "last_ms": [last],
-                            "avg_ms": [total // m if m else None], "n_urls": [n_urls]})
+        self.visited.appendList([(u,) for u in pdf[self.url]])
+        yield pd.DataFrame({"key": [str(key[0])], "cnt": [n], "first_url": [first], "last_ms": [int(times.iloc[-1])],
+                            "avg_ms": [total // m], "n_urls": [sum(1 for _ in self.urls.keys())],
+                            "urls": [[r[0] for r in self.visited.get()]]})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         return iter([])
@@ -373,7 +389,7 @@ class PreviousAction(StatefulProcessor):
         self.prev = handle.getValueState("prev", "action string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _sorted(rows, [self.seq])
+        pdf = _sorted(rows, [self.seq], key)
         prev = self.prev.get()[0] if self.prev.exists() else None
         out = []
         for s, a in zip(pdf.get(self.seq, []), pdf.get(self.action, [])):

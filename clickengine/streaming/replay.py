@@ -1,5 +1,6 @@
 """Replay of a stored event table as a stream (SC9) and a small driver for
-running a streaming query slice by slice.
+running a streaming query slice by slice: the harness of the batch = stream
+tests, and a way to run a streaming form over a stored table.
 
 Each pushed slice is appended to a parquet folder that a file stream source
 reads; ``run`` then starts the query from its checkpoint with
@@ -30,15 +31,18 @@ SENTINEL_ID = -(1 << 62)
 
 def slice_by(df: DataFrame, order_col: str, slices: int) -> list[DataFrame]:
     """Split a table into ``slices`` arrival ranges of ``order_col`` (the
-    bounds come from one aggregate; the slices are lazy filters)."""
+    bounds come from one aggregate; the slices are lazy filters).  Rows without
+    an order value come first."""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     step = (hi - lo) / slices if hi is not None and hi > lo else 1
     out = []
     for i in range(slices):
-        a = lo + step * i
-        cond = F.col(order_col) >= a if i == 0 else F.col(order_col) > a
-        if i < slices - 1:
-            cond = cond & (F.col(order_col) <= lo + step * (i + 1))
+        a = lo + step * i if hi is not None else None
+        cond = F.col(order_col).isNull() if hi is None and i == 0 else F.lit(False)
+        if hi is not None:
+            cond = F.col(order_col).isNull() | (F.col(order_col) >= a) if i == 0 else F.col(order_col) > a
+            if i < slices - 1:
+                cond = cond & (F.col(order_col).isNull() | (F.col(order_col) <= lo + step * (i + 1)))
         out.append(df.where(cond))
     return out
 
@@ -69,7 +73,9 @@ class StreamReplay:
         """Process everything pushed so far, then stop.  ``availableNow``
         ends by itself for event-time queries; processing-time stateful
         queries keep issuing empty batches, so the query is also stopped once
-        it is idle (no data left and its last batches read no rows)."""
+        it is idle (no data left and its last batches read no rows).  A query
+        that fails raises its error, one that isn't done in time a TimeoutError:
+        part of the data never passes for all of it."""
         import time
         out = self.out
         seen = self.batches
@@ -82,7 +88,9 @@ class StreamReplay:
              .option("checkpointLocation", self.ckpt).trigger(availableNow=True).start())
         try:
             deadline = time.time() + timeout
-            while q.isActive and time.time() < deadline:
+            while q.isActive:
+                if time.time() > deadline:
+                    raise TimeoutError(f"the replay wasn't done after {timeout} s")
                 q.awaitTermination(0.5)
                 prog = q.recentProgress
                 idle = len(prog) >= 3 and all(p.get("numInputRows", 0) == 0 for p in prog[-2:])
@@ -90,12 +98,12 @@ class StreamReplay:
                     break
         finally:
             q.stop()
+        if q.exception() is not None:
+            raise q.exception()
 
-    def results(self) -> DataFrame:
-        try:
-            return self.spark.read.parquet(self.out)
-        except Exception:  # no batch wrote output
-            return None
+    def results(self) -> DataFrame | None:
+        """What the batches wrote, None before the first one."""
+        return self.spark.read.parquet(self.out) if self.batches else None
 
 
 def sentinel_row(df: DataFrame, key: str, ts: str, far: str = "2200-01-01 00:00:00") -> DataFrame:

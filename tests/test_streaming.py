@@ -34,10 +34,10 @@ def _workdir():
     return tempfile.mkdtemp(prefix="ce-stream-", dir="/tmp")
 
 
-def replay(spark, ev, build, mode="append", slices=3, sentinel_key=None):
+def replay(spark, ev, build, mode="append", slices=3, sentinel_key=None, order="event_id"):
     r = StreamReplay(spark, ev.schema, _workdir())
     out = build(r.source())
-    parts = slice_by(ev, "event_id", slices)
+    parts = slice_by(ev, order, slices)
     if sentinel_key:
         parts.append(sentinel_row(ev, sentinel_key, "ts"))
     for part in parts:
@@ -144,34 +144,104 @@ def test_followed_within_processor(spark, ev):
     assert rows(got, "key", "seq", "status") == rows(exp, "user_id", "event_id", "status")
 
 
-def test_fixed_window_processor(spark, ev):
-    got = replay(spark, ev, lambda s: P.run(_wm(s), "event_type", P.FixedWindowCount("ts", 6 * H),
-                                            P.FixedWindowCount.OUTPUT), sentinel_key="event_type")
-    exp = WN.fixed_tumble(ev, "ts", "6 hours").groupBy("event_type", "window_start").count()
-    assert rows(got, "key", "cnt") == rows(exp, "event_type", "count")
+def _shuffled(df, spark):
+    """The rows in three slices, out of order: every third row, by hash."""
+    return [df.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == i) for i in range(3)]
+
+
+def _event_time(spark, ev, processor):
+    """A processor over out-of-order slices; the watermark only moves at the end."""
+    r = StreamReplay(spark, ev.schema, _workdir())
+    out = P.run(r.source().withWatermark("ts", "400 days"), "user_id", processor, processor.OUTPUT)
+    for part in _shuffled(ev, spark):
+        r.push(part)
+        r.run(out)
+    r.push(sentinel_row(ev, "user_id", "ts"))
+    r.run(out)
+    r.run(out)
+    return r.results()
+
+
+def test_strict_sequence_out_of_order(spark, ev):
+    e = ev.select("user_id", "event_id", "ts", "event_type")
+    got = _event_time(spark, e, P.StrictSequence("event_id", "ts", "event_type", ["error"] * 3))
+    exp = CE.strict_sequence(e, ["user_id"], ["ts", "event_id"], [F.col("event_type") == "error"] * 3, time_bucket("ts"),
+                             "ts", ["a", "b", "c"])
+    ms = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
+    assert exp.count() > 0
+    assert rows(got.select("key", "times_ms")) == rows(exp.select(F.col("user_id").cast("string").alias("key"),
+                                                                F.array(ms("a"), ms("b"), ms("c")).alias("times_ms")))
+
+
+def test_consecutive_two_types_out_of_order(spark, ev):
+    e = ev.select("user_id", "event_id", "ts", "event_type")
+    got = _event_time(spark, e, P.StrictSequence("event_id", "ts", "event_type", ["view", "click"]))
+    exp = CE.strict_sequence(e, ["user_id"], ["ts", "event_id"], [F.col("event_type") == "view", F.col("event_type") == "click"],
+                             time_bucket("ts"), "ts", ["a", "b"])
+    assert got.count() == exp.count() > 0
+
+
+@pytest.mark.parametrize("first,then", [("signup", "purchase"), ("view", "view")])
+def test_followed_within_out_of_order(spark, ev, first, then):
+    """Also with overlapping conditions: no row follows itself."""
+    e = ev.select("user_id", "event_id", "ts", "event_type")
+    got = _event_time(spark, e, P.FollowedWithin("event_id", "ts", "event_type", first, then, 24 * H))
+    exp = CE.followed_within(e, ["user_id"], ["ts", "event_id"], "ts", F.col("event_type") == first,
+                             F.col("event_type") == then, "24 hours", time_bucket("ts"))
+    got = got.select(F.col("key"), "seq", "then_ms", "status")
+    exp = exp.select(F.col("user_id").cast("string").alias("key"), F.col("event_id").alias("seq"),
+                     F.unix_millis(F.col("then_ts").cast("timestamp")).alias("then_ms"), "status")
+    assert sorted(map(str, got.collect())) == sorted(map(str, exp.collect()))
 
 
 def test_keyed_state_processor(spark, ev):
     got = replay(spark, ev, lambda s: P.run(s, "user_id", P.KeyedStateSummary("event_id", "event_type", "ts"),
                                             P.KeyedStateSummary.OUTPUT, time_mode="ProcessingTime"))
-    last = got.groupBy("key").agg(F.max_by(F.struct("cnt", "first_url", "last_ms"), "cnt").alias("s"))
-    exp = AG.keyed_summary(ev, "user_id", "event_id", "event_type", "ts")
-    assert rows(last.select("key", "s.cnt", "s.first_url")) == rows(exp.select("user_id", "cnt", "first_url"))
+    last = got.groupBy("key").agg(F.max_by(F.struct(*got.columns), "cnt").alias("s")).select("s.*")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    exp = ev.groupBy("user_id").agg(
+        F.count("*").alias("cnt"), F.min_by("event_type", "event_id").alias("first_url"),
+        F.expr("sum(unix_micros(cast(ts as timestamp)) div 1000) div count(*)").alias("avg_ms"),
+        F.max_by((us / 1000).cast("long"), "event_id").alias("last_ms"), F.countDistinct("event_type").alias("n_urls"),
+        F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda x: x["event_type"]).alias("urls"))
+    cols = ["cnt", "first_url", "avg_ms", "last_ms", "n_urls", "urls"]
+    assert rows(last.select("key", *cols)) == rows(exp.select(F.col("user_id").cast("string").alias("key"), *cols))
+
+
+def test_row_without_order_value_is_an_error(spark, ev):
+    bad = ev.limit(5).withColumn("event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_id")))
+    with pytest.raises(Exception, match="has no event_id"):
+        replay(spark, bad.union(ev.limit(0)), lambda s: P.run(s, "user_id", P.FailStateMachine("event_id", "event_type", "error"),
+                                                              P.FailStateMachine.OUTPUT, time_mode="None"), slices=1, order="ts")
+
+
+def test_replay_reports_failure_and_timeout(spark, ev):
+    r = StreamReplay(spark, ev.schema, _workdir())
+    r.push(ev)
+    with pytest.raises(Exception, match="boom"):
+        r.run(r.source().withColumn("x", F.raise_error(F.lit("boom"))))
+    r = StreamReplay(spark, ev.schema, _workdir())
+    r.push(ev)
+    with pytest.raises(TimeoutError):
+        r.run(r.source(), timeout=0)
+
+
+def test_slices_hold_every_row(spark, ev):
+    from clickengine.streaming.replay import slice_by
+    some = ev.withColumn("event_id", F.when(F.col("event_id") % 3 > 0, F.col("event_id")))
+    assert sum(p.count() for p in slice_by(some, "event_id", 4)) == ev.count()
+    assert sum(p.count() for p in slice_by(some.where("event_id is null"), "event_id", 4)) == some.where("event_id is null").count()
 
 
 def test_previous_action_then_patterns(spark, ev):
+    """The rules are joined inside the streaming query."""
     mid = ev.agg(F.max("event_id")).first()[0] // 2
     pats = spark.createDataFrame([("view", "click", -1), ("click", "purchase", mid)],
                                  "action1 string, action2 string, seq long")
-    got = replay(spark, ev, lambda s: P.run(s, "user_id", P.PreviousAction("event_id", "event_type"),
-                                            P.PreviousAction.OUTPUT, time_mode="None"))
-    valid = pats.select("action1", "action2", F.col("seq").alias("p_from"),
-                        F.lead("seq").over(__import__("pyspark.sql").sql.Window.orderBy("seq")).alias("p_to"))
-    m = got.join(F.broadcast(valid), (got.prev_action == valid.action1) & (got.action == valid.action2)
-                 & (got.seq > valid.p_from) & (valid.p_to.isNull() | (got.seq <= valid.p_to)))
+    got = replay(spark, ev, lambda s: SF.match_transitions(s, pats, "user_id", "event_type", "event_id"))
     exp = JN.match_transitions(ev.select("user_id", "event_id", "event_type"), pats, "user_id", "event_type",
                                "event_id", arrival_bucket("event_id"))
-    assert rows(m, "key", "seq") == rows(exp, "user_id", "event_id")
+    assert rows(got, "key", "seq") == rows(exp, "user_id", "event_id")
 
 
 def test_reconcile_stream(spark):
