@@ -68,11 +68,9 @@ def seconds_ts(ms) -> Column:
 
 
 def int_div(c, n) -> Column:
-    """Exact integer division truncating toward zero (SQL ``div``), done in
-    decimal so it never goes through a double and never overflows."""
-    c = as_col(c).cast("decimal(38,0)")
-    n = as_col(n).cast("decimal(38,0)") if not isinstance(n, int) else F.lit(n).cast("decimal(38,0)")
-    return ((c - c % n) / n).cast("bigint")
+    """Exact integer division truncating toward zero: SQL ``div``, whole-number
+    arithmetic for bigint operands and exact for decimal ones."""
+    return F.call_function("div", as_col(c), as_col(n) if not isinstance(n, int) else F.lit(n)).cast("bigint")
 
 
 def ts_to_millis(ts) -> Column:

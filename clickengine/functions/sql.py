@@ -22,8 +22,8 @@ _FUNCTIONS = [
        RETURNS TABLE (word STRING, length INT) RETURN
        SELECT w, length(w) FROM (SELECT explode(
            CASE WHEN s = '' THEN array('')
-                WHEN regexp_replace(s, '[?]+$', '') = '' THEN CAST(array() AS ARRAY<STRING>)
-                ELSE split(regexp_replace(s, '[?]+$', ''), '[?]') END) AS w)""",
+                WHEN regexp_replace(s, '[?]+\\\\z', '') = '' THEN CAST(array() AS ARRAY<STRING>)
+                ELSE split(regexp_replace(s, '[?]+\\\\z', ''), '[?]') END) AS w)""",
 ]
 
 

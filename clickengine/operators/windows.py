@@ -155,11 +155,13 @@ def count_window(df: DataFrame, key: list[str], order: list[str], size: int,
     d = d.where(F.pmod(F.col("end_rn"), F.lit(every)) == 0)
     if not slide:
         d = d.where(F.size("_cw") == size)
-    vals = F.transform("_cw", lambda x: x[value])
+    # Nulls don't count, as in SQL; a window of nulls has a null sum.
+    vals = F.filter(F.transform("_cw", lambda x: x[value]), lambda x: x.isNotNull())
+    total = F.aggregate(vals, F.lit(0).cast(df.schema[value].dataType), lambda a, x: a + x)
     return d.select(*key, "end_rn",
                     F.size("_cw").cast("bigint").alias("n_rows"),
                     F.element_at("_cw", 1)[first].alias(f"first_{first}"),
-                    F.aggregate(vals, F.lit(0).cast(df.schema[value].dataType), lambda a, x: a + x).alias(f"sum_{value}"),
+                    F.when(F.size(vals) > 0, total).alias(f"sum_{value}"),
                     F.array_max(vals).alias(f"max_{value}"))
 
 
@@ -182,8 +184,9 @@ def over_rows_avg(df: DataFrame, key: list[str], order: list[str], value: str,
                   preceding: int, bucket: Column, name: str = "avg_value") -> DataFrame:
     """``AVG(value) OVER (PARTITION BY key ORDER BY order ROWS BETWEEN p
     PRECEDING AND CURRENT ROW)`` on a bigint, kept bigint (truncating), as
-    the reference SQL engine does (WN13)."""
+    the reference SQL engine does (WN13).  Nulls don't count; a frame of nulls
+    has a null average."""
     d = ordered_scan(df, key, order, bucket, recent=(preceding, [value]), rn=None, recent_name="_orw")
-    vals = F.transform("_orw", lambda x: x[value].cast("decimal(38,0)"))
+    vals = F.filter(F.transform("_orw", lambda x: x[value].cast("decimal(38,0)")), lambda x: x.isNotNull())
     total = F.aggregate(vals, F.lit(0).cast("decimal(38,0)"), lambda a, x: a + x)
-    return d.withColumn(name, int_div(total, F.size("_orw"))).drop("_orw")
+    return d.withColumn(name, F.when(F.size(vals) > 0, int_div(total, F.size(vals)))).drop("_orw")

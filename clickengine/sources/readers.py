@@ -41,9 +41,8 @@ def parse_click_lines(df: DataFrame, col: str = "value", on_error: str = "fail")
     ``Long.valueOf``); "reject": keep every line, with ``parse_error`` set
     (and the click fields null) for lines that do not parse."""
     parts = F.split(F.col(col), ",")
-    user = F.trim(F.element_at(parts, 1))
-    url = F.trim(F.element_at(parts, 2))
-    ts_txt = F.trim(F.element_at(parts, 3))
+    at = F.element_at if on_error == "fail" else F.try_element_at
+    user, url, ts_txt = (F.trim(at(parts, F.lit(i))) for i in (1, 2, 3))
     if on_error == "fail":
         return df.select(user.alias("user"), url.alias("url"), ts_txt.cast("bigint").alias("timestamp"))
     ts = ts_txt.try_cast("bigint")
@@ -72,9 +71,14 @@ def read_kafka_lines(spark: SparkSession, servers: str, topic: str, starting: st
     return r.load().select(F.col("value").cast("string").alias("value"))
 
 
-def register_view(df: DataFrame, name: str, rename: dict | None = None) -> DataFrame:
+def register_view(df: DataFrame, name: str, rename: dict | None = None, event_time: str | None = None,
+                  time_name: str = "et", delay: str | None = None) -> DataFrame:
     """Stream/table to a named view with optional column renames (SC6, SC7);
-    ``spark.table(name)`` / SQL read it back."""
+    ``spark.table(name)`` / SQL read it back.  ``event_time`` names a column of
+    epoch milliseconds from which the view gets a row-time column ``time_name``,
+    on a stream with a watermark of ``delay``."""
+    if event_time:
+        df = with_event_time(df, event_time, time_name, delay)
     for old, new in (rename or {}).items():
         df = df.withColumnRenamed(old, new)
     df.createOrReplaceTempView(name)

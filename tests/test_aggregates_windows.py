@@ -184,3 +184,12 @@ def test_url_counts_map_sorted(spark):
     assert first.k[:2] == ["./home", "./cart"] and first.v[:2] == [4, 3] and sum(first.v) == 9
     ranked = AG.url_counts_ranked(clicks(spark), "url", "et", "10 seconds")
     assert rows(ranked.where("rank = 1"), "url") == [("./cart",), ("./home",)]
+
+
+def test_nulls_do_not_count_in_frames(spark):
+    df = spark.createDataFrame([("u", 1, 10), ("u", 2, None), ("u", 3, 30), ("v", 1, None)], "k string, o long, v long")
+    got = WN.over_rows_avg(df, ["k"], ["o"], "v", 2, F.lit(0))
+    assert sorted((r.k, r.o, r.avg_value) for r in got.collect()) == [("u", 1, 10), ("u", 2, 10), ("u", 3, 20), ("v", 1, None)]
+    got = WN.count_window(df, ["k"], ["o"], 3, 1, F.lit(0), "v")
+    assert sorted((r.k, r.end_rn, r.sum_v, r.max_v) for r in got.collect()) == [
+        ("u", 1, 10, 10), ("u", 2, 10, 10), ("u", 3, 40, 30), ("v", 1, None, None)]

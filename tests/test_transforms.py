@@ -99,3 +99,18 @@ def test_csv_source_trims(spark, tmp_path):
     p.write_text("Jack, ./home, 1000\nLisa, ./cart, 2000\n")
     df = read_click_csv(spark, str(p))
     assert rows(df) == [("Jack", "./home", 1000), ("Lisa", "./cart", 2000)]
+
+
+def test_rejected_lines_and_trailing_newlines(spark):
+    from clickengine.functions import java_split
+    from clickengine.functions.sql import register_functions
+    from clickengine.sources import parse_click_lines, register_view
+    lines = spark.createDataFrame([("a, ./x, 5",), ("short",), ("a,b",), ("a,b,no",), ("",)], "value string")
+    got = {r.parse_error: (r.user, r.url, r.timestamp) for r in parse_click_lines(lines, on_error="reject").collect()}
+    assert got == {None: ("a", "./x", 5), "short": (None,) * 3, "a,b": (None,) * 3, "a,b,no": (None,) * 3, "": (None,) * 3}
+    register_functions(spark)
+    by_sql = [r.word for r in spark.sql("SELECT word FROM my_split('a?b??\\n')").collect()]
+    by_column = spark.createDataFrame([("a?b??\n",)], "s string").select(F.explode(java_split("s", "?")).alias("w"))
+    assert by_sql == [r.w for r in by_column.collect()] == ["a", "b", "", "\n"]
+    view = register_view(spark.createDataFrame([(1500,)], "ms long"), "timed", event_time="ms", time_name="rt")
+    assert spark.table("timed").select(F.unix_millis("rt")).first()[0] == 1500 and "rt" in view.columns
