@@ -10,24 +10,42 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickengine.functions.expressions import as_col
+from clickengine.session import materialize
 
 
-def to_console(df: DataFrame, label: str, checkpoint: str | None = None, n: int = 20):
-    """Labelled print (SK1, SK9): a ``label`` column in front of the rows."""
+def table_exists(spark, path: str) -> bool:
+    """True if a written folder is there.  Any other trouble with it (listing,
+    credentials, damaged files) is an error of the read that follows."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop)
+
+
+def to_console(df: DataFrame, label: str, checkpoint: str | None = None, n: int | None = None):
+    """Labelled print (SK1, SK9): a ``label`` column in front of the rows; all
+    rows, fetched one partition at a time, or the first ``n``."""
     out = df.select(F.lit(label).alias("label"), *df.columns)
     if df.isStreaming:
         w = out.writeStream.format("console").option("truncate", "false")
         if checkpoint:
             w = w.option("checkpointLocation", checkpoint)
         return w.start()
-    out.show(n, truncate=False)
+    if n is not None:
+        out.show(n, truncate=False)
+    else:
+        for row in out.toLocalIterator():
+            print(*row)
     return None
 
 
 def to_text_files(df: DataFrame, path: str, value: Column, max_records: int | None = None,
-                  checkpoint: str | None = None, trigger: str | None = None):
-    """Rolling UTF-8 text files (SK2): one line per row; ``max_records``
-    rolls files by size in rows, the trigger interval rolls them by time."""
+                  checkpoint: str | None = None, trigger: str | None = None, max_bytes: int | None = None,
+                  line_bytes: int = 64):
+    """Rolling UTF-8 text files (SK2): one line per row.  Files roll by rows
+    (``max_records``), by size (``max_bytes``, at ``line_bytes`` a line), and
+    on a stream by time: every trigger closes its files, and an idle stream
+    leaves none open."""
+    if max_bytes:
+        max_records = min(max_records or 1 << 62, max(1, max_bytes // line_bytes))
     out = df.select(as_col(value).cast("string").alias("value"))
     if df.isStreaming:
         w = out.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint)
@@ -62,13 +80,17 @@ def to_kafka(df: DataFrame, servers: str, topic: str, value: Column, checkpoint:
 def to_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,
             checkpoint: str | None = None, properties: dict | None = None):
     """JDBC insert (SK4).  Streams write each micro-batch with
-    ``foreachBatch``; the JDBC write of one batch is one transaction per
-    partition."""
+    ``foreachBatch``; rows carry their batch id in the column ``batch_id`` (the
+    target table needs it), and a batch that is replayed first deletes what
+    an earlier try has left of it, so no row is inserted twice."""
     props = dict(properties or {})
     if driver:
         props["driver"] = driver
 
-    def write(batch: DataFrame, _batch_id: int = 0):
+    def write(batch: DataFrame, batch_id: int | None = None):
+        if batch_id is not None:
+            _delete_batch(batch.sparkSession, url, table, batch_id, props)
+            batch = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         batch.write.jdbc(url, table, mode="append", properties=props)
 
     if df.isStreaming:
@@ -77,32 +99,47 @@ def to_jdbc(df: DataFrame, url: str, table: str, driver: str | None = None,
     return None
 
 
+def _delete_batch(spark, url: str, table: str, batch_id: int, props: dict) -> None:
+    """Remove the rows of a batch, if the table is there."""
+    jvm = spark.sparkContext._jvm
+    if props.get("driver"):
+        jvm.java.lang.Class.forName(props["driver"], True, jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    own = jvm.java.util.Properties()
+    for k, v in props.items():
+        own.setProperty(k, str(v))
+    connection = jvm.java.sql.DriverManager.getConnection(url, own)
+    try:
+        found = connection.getMetaData().getTables(None, None, table.split(".")[-1].upper(), None).next() or \
+            connection.getMetaData().getTables(None, None, table.split(".")[-1], None).next()
+        if found:
+            quote = connection.getMetaData().getIdentifierQuoteString().strip()   # the writer quotes column names
+            statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {quote}batch_id{quote} = ?")
+            statement.setLong(1, batch_id)
+            statement.executeUpdate()
+    finally:
+        connection.close()
+
+
 def upsert_latest(df: DataFrame, key: str, value: str, order: str, path: str,
                   checkpoint: str | None = None, buckets: int = 64):
-    """Keyed last-write-wins table (SK5, re-aimed hash write).  The table is
-    hash-partitioned by key into ``buckets`` folders; each batch is reduced
-    to the latest value per key, and only the folders holding touched keys
-    are read (partition pruning), merged and rewritten (dynamic partition
-    overwrite) - a batch costs its touched buckets, not the whole table."""
+    """Keyed last-write-wins table (SK5, re-aimed hash write): the value of a
+    key's row with the largest ``order`` over all batches, so a late batch never
+    replaces a newer value.  The table is hash-partitioned by key into
+    ``buckets`` folders (choose them so that one folder is a comfortable file);
+    a batch reads, merges and rewrites only the folders of its keys (partition
+    pruning, dynamic partition overwrite)."""
     spark = df.sparkSession
 
     def merge(batch: DataFrame, batch_id: int = 0):
         bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-        latest = (batch.groupBy(key).agg(F.max_by(F.struct(value, order), order).alias("_v"))
-                       .select(key, F.col(f"_v.{value}").alias(value), F.col(f"_v.{order}").alias(order))
-                       .withColumn("_bucket", bucket))
-        try:
+        rows = batch.select(key, value, order).withColumn("_bucket", bucket)
+        merged = _latest(rows, key, value, order)
+        if table_exists(spark, path):
             old = spark.read.parquet(path)
-        except Exception:  # first batch: no table yet
-            old = None
-        if old is not None:
-            touched = latest.select("_bucket").distinct()
-            # rows of the touched buckets that the batch does not replace
-            keep = (old.join(F.broadcast(touched), "_bucket", "left_semi")
-                       .join(latest.select(key), on=key, how="left_anti"))
-            merged = keep.unionByName(latest).checkpoint(eager=True)   # read before overwrite
-        else:
-            merged = latest
+            touched = rows.select("_bucket").distinct()     # at most ``buckets`` rows
+            same = old.join(F.broadcast(touched), "_bucket", "left_semi")
+            # materialized: the folders are read before they are overwritten
+            merged = materialize(_latest(rows.unionByName(same), key, value, order))
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("_bucket").parquet(path))
 
@@ -112,6 +149,12 @@ def upsert_latest(df: DataFrame, key: str, value: str, order: str, path: str,
     return None
 
 
+def _latest(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
+    last = F.max_by(F.struct(value, order), F.struct(F.col(order).isNotNull(), order))
+    return (rows.groupBy("_bucket", key).agg(last.alias("_v"))
+                .select(key, F.col(f"_v.{value}").alias(value), F.col(f"_v.{order}").alias(order), "_bucket"))
+
+
 def as_documents(df: DataFrame, key: str, value: str, index: str, keep: list[str] | None = None) -> DataFrame:
     """Rows as one-field JSON documents ``{key: value}`` for an index (SK6)."""
     doc = F.to_json(F.create_map(F.col(key).cast("string"), F.col(value).cast("string")))
@@ -143,17 +186,19 @@ def to_batches(df: DataFrame, size: int, writer, checkpoint: str, remainder_path
     keys = key or ["_buffer"]
 
     def flush(batch: DataFrame, batch_id: int):
-        try:
-            prev = spark.read.parquet(f"{remainder_path}/batch={batch_id - 1}")
-        except Exception:
-            prev = None
-        rows = batch if prev is None else prev.unionByName(batch)
+        before = f"{remainder_path}/batch={batch_id - 1}"
+        rows = batch
+        if batch_id > 0:   # every earlier batch has left a remainder, if only an empty one
+            rows = spark.read.schema(batch.schema).parquet(before).unionByName(batch)
         if not key:
             rows = rows.withColumn("_buffer", F.lit(0))
         numbered = ordered_scan(rows, keys, ["_order"], arrival_bucket("_order", bucket_rows), rn="_pos",
                                 hot_rows=bucket_rows)
         per_key = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"))
-        numbered = numbered.join(per_key, on=keys)
+        if key:
+            numbered = numbered.join(per_key, on=keys)
+        else:   # one buffer: its size is one number, not a join on its only key
+            numbered = numbered.withColumn("_total", per_key.select("_total").scalar())
         full = F.floor(F.col("_total") / size) * size
         done = numbered.where(F.col("_pos") <= full).drop("_pos", "_total")
         rest = numbered.where(F.col("_pos") > full).drop("_pos", "_total")

@@ -2,12 +2,13 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickengine.functions import event_text
 from clickengine.operators import distribution as DP
-from clickengine.sinks import (as_documents, kafka_frame, to_csv, to_documents, to_jdbc, to_text_files,
-                               upsert_latest)
+from clickengine.sinks import (as_documents, kafka_frame, to_console, to_csv, to_documents, to_jdbc, to_text_files,
+                               upsert_latest, write_stream)
 from clickengine.sources import read_lines
 from tests.conftest import rows
 from tests.fixtures import EVENTS_A, events
@@ -92,3 +93,62 @@ def test_console_and_kafka_options(spark, capsys):
     opts = kafka_reader_options("host:9092", "clicks", "latest", "g1")
     assert opts == {"kafka.bootstrap.servers": "host:9092", "subscribe": "clicks",
                     "startingOffsets": "latest", "kafka.group.id": "g1"}
+
+
+def test_upsert_keeps_the_newer_row(spark, tmp_path):
+    """A late batch, a replayed batch and a null order never replace a newer value."""
+    path = str(tmp_path / "latest")
+    for batch in ([("a", "new", 5), ("b", "x", 1)], [("a", "old", 3), ("c", "y", None)], [("a", "new", 5), ("c", "z", 2)]):
+        upsert_latest(spark.createDataFrame(batch, "k string, v string, o long"), "k", "v", "o", path)
+    assert rows(spark.read.parquet(path).select("k", "v", "o")) == [("a", "new", 5), ("b", "x", 1), ("c", "z", 2)]
+
+
+def test_upsert_reports_an_unreadable_table(spark, tmp_path):
+    path = tmp_path / "latest"
+    path.mkdir()
+    (path / "part-0.parquet").write_text("no parquet file")
+    with pytest.raises(Exception):
+        upsert_latest(spark.createDataFrame([("a", "v", 1)], "k string, v string, o long"), "k", "v", "o", str(path))
+    assert (path / "part-0.parquet").exists()
+
+
+def test_streaming_jdbc_does_not_insert_twice(spark, tmp_path):
+    driver = "org.apache.derby.jdbc.EmbeddedDriver"
+    url = f"jdbc:derby:memory:stream{os.getpid()};create=true"
+    src = str(tmp_path / "src")
+    events(spark).select("user", "url").write.parquet(src)
+    stream = lambda: spark.readStream.schema("user string, url string").parquet(src)
+    for checkpoint in ("a", "b"):   # the second run replays batch 0 after a lost checkpoint
+        to_jdbc(stream(), url, "seen", driver=driver, checkpoint=str(tmp_path / checkpoint)).processAllAvailable()
+    for q in spark.streams.active:
+        q.stop()
+    assert spark.read.jdbc(url, "seen", properties={"driver": driver}).count() == 8
+
+
+def test_streaming_upsert_documents_and_changelog(spark, tmp_path):
+    src = str(tmp_path / "src")
+    e = events(spark, EVENTS_A)
+    e.write.parquet(src)
+    stream = lambda: spark.readStream.schema(e.schema).parquet(src)
+    queries = [upsert_latest(stream(), "user", "url", "seq", str(tmp_path / "up"), checkpoint=str(tmp_path / "c1")),
+               to_documents(stream(), "user", "url", "clicks", str(tmp_path / "docs"), checkpoint=str(tmp_path / "c2")),
+               write_stream(stream().groupBy("user").count(), "update", name="changes", checkpoint=str(tmp_path / "c3"))]
+    for q in queries:
+        q.processAllAvailable()
+        q.stop()
+    assert rows(spark.read.parquet(str(tmp_path / "up")).select("user", "url")) == [
+        ("Alice", "./prod?id=200"), ("Bob", "./prod?id=3"), ("Mary", "./home")]
+    assert spark.read.text(str(tmp_path / "docs")).count() == e.count()
+    assert rows(spark.table("changes")) == rows(e.groupBy("user").count())
+
+
+def test_console_prints_every_row(spark, capsys):
+    to_console(spark.range(45), "label")
+    assert len(capsys.readouterr().out.splitlines()) == 45
+
+
+def test_text_files_roll_by_size(spark, tmp_path):
+    to_text_files(spark.range(100).coalesce(1), str(tmp_path / "out"), F.lpad(F.col("id").cast("string"), 9, "0"),
+                  max_bytes=250, line_bytes=10)
+    sizes = [os.path.getsize(tmp_path / "out" / f) for f in os.listdir(tmp_path / "out") if f.endswith(".txt")]
+    assert len(sizes) == 4 and max(sizes) <= 250
