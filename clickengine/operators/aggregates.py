@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clickengine.functions.expressions import int_div, ts_to_micros
 from clickengine.operators.ordered import ordered_scan
 from clickengine.operators.transforms import tokenize
-from clickengine.operators.windows import from_micros, window_col
+from clickengine.operators.windows import _us, from_micros, window_col
 
 
 def count_by(df: DataFrame, keys: list[str], name: str = "cnt", col: str | None = None) -> DataFrame:
@@ -23,13 +23,12 @@ def count_by(df: DataFrame, keys: list[str], name: str = "cnt", col: str | None
     return df.groupBy(*keys).agg(c.alias(name))
 
 
-def word_count(df: DataFrame, col: str, sep: str = " ") -> DataFrame:
-    """Batch word count (PF3 + AG1): tokenise on one separator, count.
-    Tokenising is the CPU-heavy step, so the text is spread over the
-    cluster's cores first if it arrives in fewer partitions; counting is a
-    partial aggregate per task, then one exchange of (word, partial count)."""
+def word_count(df: DataFrame, col: str, sep: str = " ", partitions: int | None = None) -> DataFrame:
+    """Batch word count (PF3 + AG1): tokenise on one separator, count by a
+    partial aggregate per task, then one exchange of (word, partial count).
+    ``partitions`` spreads a text that arrives in too few (``spread``)."""
     from clickengine.operators.distribution import spread
-    return count_by(tokenize(spread(df.select(col)), col, sep), ["word"])
+    return count_by(tokenize(spread(df.select(col), partitions), col, sep), ["word"])
 
 
 def rolling_count(df: DataFrame, key: list[str], order: list[str], bucket: Column,
@@ -81,13 +80,31 @@ def window_avg_ts(df: DataFrame, key: str, ts: str, size: str) -> DataFrame:
 
 def url_view_count(df: DataFrame, key: str, ts: str, size: str, slide: str | None = None,
                    offset: str | None = None) -> DataFrame:
-    """Views per key and window with the window bounds (AG14, WN1-WN3)."""
+    """Views per key and window with the window bounds (AG14, WN1-WN3).  A
+    sliding window first counts per pane of one slide, then spreads the small
+    pane counts over their windows."""
+    if slide and not offset and _panes_fit(size, slide):
+        panes = (df.where(F.col(ts).isNotNull()).groupBy(F.col(key), _pane(df, ts, slide).alias("_p"))
+                   .agg(F.count(F.lit(1)).alias("_n")))
+        return (panes.groupBy(F.col(key), window_col("_p", size, slide).alias("_w")).agg(F.sum("_n").alias("cnt"))
+                     .select(key, "cnt", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end")))
     return (df.groupBy(F.col(key), window_col(ts, size, slide, offset).alias("_w"))
               .agg(F.count(F.lit(1)).alias("cnt"))
               .select(key, "cnt", F.col("_w.start").alias("window_start"),
                       F.col("_w.end").alias("window_end")))
 
 
+def _panes_fit(size: str, slide: str) -> bool:
+    """True if windows start and end on multiples of the slide."""
+    return _us(size) % _us(slide) == 0
+
+
+def _pane(df: DataFrame, ts: str, slide: str) -> Column:
+    """Start of the row's pane, of one slide."""
+    us = ts_to_micros(ts)
+    return from_micros(us - F.pmod(us, F.lit(_us(slide))), df.schema[ts].dataType)
+
+
 def uv_count(df: DataFrame, user: str, ts: str, size: str, slide: str | None = None) -> DataFrame:
     """Exact distinct users per window (AG10, AG11).  Spark plans the
     distinct as (window, user) partial aggregation, then a count per window."""
@@ -97,9 +114,15 @@ def uv_count(df: DataFrame, user: str, ts: str, size: str, slide: str | None = N
 
 
 def pv_uv_ratio(df: DataFrame, user: str, ts: str, size: str, slide: str | None = None) -> DataFrame:
-    """Page views, distinct users and their ratio per window (AG9)."""
+    """Page views, distinct users and their ratio per window (AG9).  A sliding
+    window first counts per (pane, user), then spreads those rows over their windows."""
+    views = F.count(F.lit(1))
+    if slide and _panes_fit(size, slide):
+        df = (df.where(F.col(ts).isNotNull()).groupBy(_pane(df, ts, slide).alias("_p"), F.col(user))
+                .agg(F.count(F.lit(1)).alias("_n")))
+        ts, views = "_p", F.sum("_n")
     return (df.groupBy(window_col(ts, size, slide).alias("_w"))
-              .agg(F.count(F.lit(1)).alias("pv"), F.count_distinct(user).alias("uv"))
+              .agg(views.alias("pv"), F.count_distinct(user).alias("uv"))
               .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                       "pv", "uv", (F.col("pv") / F.col("uv")).alias("ratio")))
 

@@ -17,10 +17,11 @@ def rebalance(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
-def rescale(df: DataFrame, n: int) -> DataFrame:
-    """Local redistribution (DP3): merge partitions without a shuffle when
-    going down, round-robin when going up."""
-    return df.coalesce(n) if n <= df.rdd.getNumPartitions() else df.repartition(n)
+def rescale(df: DataFrame, n: int, up: bool = False) -> DataFrame:
+    """Local redistribution (DP3): merge partitions without a shuffle, or with
+    ``up`` spread them round-robin over more.  The caller says which, as counting
+    the partitions of a plan with shuffles would run them."""
+    return df.repartition(n) if up else df.coalesce(n)
 
 
 def broadcast_all(df: DataFrame) -> DataFrame:
@@ -45,11 +46,8 @@ def by_key(df: DataFrame, key, n: int | None = None) -> DataFrame:
     return df.repartition(n, *keys) if n else df.repartition(*keys)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks (default:
-    the cluster's default parallelism) *only* when the input has fewer
-    partitions, e.g. one large unsplittable file.  Used ahead of CPU-heavy
-    row expansion (tokenising text); a no-op on inputs that are already
-    split across the cluster."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``partitions`` tasks ahead of CPU-heavy row
+    expansion, for inputs that come in fewer, such as one large unsplittable
+    file.  Without a number the rows stay where the reader's split size has put them."""
+    return df.repartition(partitions) if partitions else df

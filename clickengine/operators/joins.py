@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from clickengine.functions.expressions import ts_to_micros
 from clickengine.operators.ordered import ordered_scan
-from clickengine.operators.windows import _us, window_col
+from clickengine.operators.windows import _us, with_window
 
 BROADCAST_MAX_ROWS = 1_000_000
 
@@ -37,18 +37,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if small else df
 
 
-def _with_window(df: DataFrame, ts: str, size: str) -> DataFrame:
-    w = window_col(ts, size).alias("_w")
-    return df.withColumn("_w", w).withColumn("window_start", F.col("_w.start")) \
-             .withColumn("window_end", F.col("_w.end")).drop("_w")
-
-
 def window_join(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts: str, size: str) -> DataFrame:
     """Tumbling-window inner join (JN1): every (left, right) pair with the
     same key in the same window.  Column names other than ``key`` must not
     clash (rename first)."""
-    lw = _with_window(left, l_ts, size)
-    rw = _with_window(right, r_ts, size)
+    lw = with_window(left, l_ts, size)
+    rw = with_window(right, r_ts, size)
     return lw.join(rw, on=[key, "window_start", "window_end"], how="inner")
 
 
@@ -56,8 +50,8 @@ def window_join_counts(left: DataFrame, right: DataFrame, key: str, l_ts: str, r
                        size: str) -> DataFrame:
     """Pair counts of the window join per (key, window), from per-side counts:
     the pairs themselves are never built."""
-    lc = _with_window(left, l_ts, size).groupBy(key, "window_start", "window_end").agg(F.count(F.lit(1)).alias("n_left"))
-    rc = _with_window(right, r_ts, size).groupBy(key, "window_start", "window_end").agg(F.count(F.lit(1)).alias("n_right"))
+    lc = with_window(left, l_ts, size).groupBy(key, "window_start", "window_end").agg(F.count(F.lit(1)).alias("n_left"))
+    rc = with_window(right, r_ts, size).groupBy(key, "window_start", "window_end").agg(F.count(F.lit(1)).alias("n_right"))
     return (lc.join(rc, on=[key, "window_start", "window_end"], how="inner")
               .withColumn("n_pairs", F.col("n_left") * F.col("n_right")))
 
@@ -69,8 +63,8 @@ def window_cogroup(left: DataFrame, right: DataFrame, key: str, l_ts: str, r_ts:
     ``sort_array(collect_list(...))`` gives the reference's lists where a
     group is known to be small).  A side with no rows has null aggregates."""
     keys = [key, "window_start", "window_end"]
-    la = _with_window(left, l_ts, size).groupBy(*keys).agg(*left_aggs)
-    ra = _with_window(right, r_ts, size).groupBy(*keys).agg(*right_aggs)
+    la = with_window(left, l_ts, size).groupBy(*keys).agg(*left_aggs)
+    ra = with_window(right, r_ts, size).groupBy(*keys).agg(*right_aggs)
     return la.join(ra, on=keys, how="full_outer")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickengine.functions.expressions import int_div, ts_to_micros
+from clickengine.operators.joins import broadcast_if_small
 from clickengine.operators.windows import _us, from_micros
 
 
@@ -60,13 +61,18 @@ def periodic_count(df: DataFrame, key: str, ts: str, every: str) -> DataFrame:
 
 
 def split_late(df: DataFrame, slice_col: str, ts: str, size: str, delay: str, lateness: str,
-               lag_slices: int = 1) -> DataFrame:
+               lag_slices: int = 1, watermark: str | None = None, max_slices: int = 1_000_000) -> DataFrame:
     """Late-data split (ST3, S3).  Rows arrive in slices (micro-batches); the
     watermark at slice i is max(ts over slices <= i - lag_slices) - delay.
     A row is too late for its tumbling window of ``size`` iff
     window end + allowed lateness <= that watermark.  Adds ``window_start``,
     ``window_end`` and ``is_late``.  ``lag_slices=2`` predicts what Spark's
-    built-in streaming drop does (its late filter lags one more batch)."""
+    built-in streaming drop does (its late filter lags one more batch).
+    ``watermark`` names a column for the watermark each row was judged by (ST16).
+
+    The slice table has a row per micro-batch.  It goes to every task if it has
+    at most ``max_slices`` rows, which is checked; beyond, the events are joined
+    with it on the slice."""
     like = df.schema[ts].dataType
     size_us, delay_us, late_us = _us(size), _us(delay), _us(lateness)
     us = ts_to_micros(ts)
@@ -75,9 +81,9 @@ def split_late(df: DataFrame, slice_col: str, ts: str, size: str, delay: str, la
     w = Window.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -lag_slices)
     wm = per_slice.select(slice_col, (F.max("_smax").over(w) - delay_us).alias("_wm"))
     start = us - F.pmod(us, F.lit(size_us))
-    # one row per slice; AQE broadcasts it at run time when it is small
-    d = df.withColumn("_ws", start).join(wm, on=slice_col, how="left")
+    d = df.withColumn("_ws", start).join(broadcast_if_small(wm, max_slices), on=slice_col, how="left")
     late = F.coalesce(F.col("_ws") + size_us + late_us <= F.col("_wm"), F.lit(False))
     return (d.withColumn("window_start", from_micros(F.col("_ws"), like))
              .withColumn("window_end", from_micros(F.col("_ws") + size_us, like))
-             .withColumn("is_late", late).drop("_ws", "_wm"))
+             .withColumn("is_late", late)
+             .withColumns({watermark: from_micros(F.col("_wm"), like)} if watermark else {}).drop("_ws", "_wm"))

@@ -75,6 +75,16 @@ def cumulate(df: DataFrame, ts: str, step: str, max_size: str) -> DataFrame:
               .drop("_cum_base", "_cum_end"))
 
 
+def cumulate_counts(df: DataFrame, keys: list[str], ts: str, step: str, max_size: str, name: str = "cnt") -> DataFrame:
+    """Rows per key and cumulating window (WN12): first counted per pane of one
+    step, then the small pane counts are spread over their windows."""
+    us = ts_to_micros(ts)
+    pane = from_micros(us - F.pmod(us, F.lit(_us(step))), df.schema[ts].dataType)
+    panes = (df.where(F.col(ts).isNotNull()).groupBy(*keys, pane.alias("_pane")).agg(F.count(F.lit(1)).alias("_n")))
+    return (cumulate(panes, "_pane", step, max_size).groupBy(*keys, "window_start", "window_end")
+            .agg(F.sum("_n").alias(name)))
+
+
 def fixed_tumble(df: DataFrame, ts: str, size: str) -> DataFrame:
     """Hand-made tumbling window (WN7): ``start = floor(t / size) * size``
     in plain arithmetic, ``end = start + size``."""

@@ -294,8 +294,10 @@ FROM (SELECT user_id, event_type, {_tb('3 hours', _ET_SQL)} - to_hours((k * 3)::
 def q_sql_hop(spark, d):
     _clicks_view(spark, d)
     return spark.sql("""
-        SELECT user_name, window.start AS window_start, window.end AS window_end, COUNT(url) AS cnt
-        FROM clicks GROUP BY user_name, window(et, '6 hours', '3 hours')""")
+        SELECT user_name, window.start AS window_start, window.end AS window_end, SUM(n) AS cnt
+        FROM (SELECT user_name, window.start AS pane, COUNT(url) AS n
+              FROM clicks GROUP BY user_name, window(et, '3 hours'))
+        GROUP BY user_name, window(pane, '6 hours', '3 hours')""")
 
 
 @query("sql_cumulate", f"""
@@ -305,8 +307,7 @@ FROM (SELECT user_id, et, {_tb('6 hours', 'et')} AS ws FROM (SELECT user_id, {_E
 WHERE et < ws + to_hours((k * 3)::BIGINT) GROUP BY user_id, ws, k""")
 def q_sql_cumulate(spark, d):
     c = _clicks_view(spark, d)
-    w = WN.cumulate(c, "et", "3 hours", "6 hours")
-    return w.groupBy("user_name", "window_start", "window_end").agg(F.count(F.lit(1)).alias("cnt"))
+    return WN.cumulate_counts(c, ["user_name"], "et", "3 hours", "6 hours")
 
 
 @query("over_rows_avg", """
@@ -397,6 +398,16 @@ def q_window_join(spark, d):
                                  "user_id", "l_ts", "r_ts", "1 day")
 
 
+@query("window_join_pairs", f"""
+SELECT l.user_id, l.ws AS window_start, l.ws + INTERVAL '1 day' AS window_end, l.event_id AS l_id, r.event_id AS r_id
+FROM {_day_sides_sql()}""")
+def q_window_join_pairs(spark, d):
+    """The pairs themselves: as many as a day of one user holds."""
+    pairs = JN.window_join(_side(spark, d, "view", "l"), _side(spark, d, "click", "r"), "user_id", "l_ts", "r_ts", "1 day")
+    return pairs.select("user_id", "window_start", "window_end", F.col("l_event_id").alias("l_id"),
+                        F.col("r_event_id").alias("r_id"))
+
+
 @query("window_cogroup", f"""
 WITH l AS (SELECT user_id, {_tb('1 day')} AS ws, count(*) AS n_left, min(ts) AS first_left_ts
            FROM events WHERE event_type = 'view' GROUP BY 1, 2),
@@ -629,7 +640,8 @@ SELECT event_id,
        (epoch_us(ts) // 1000) // 1000 AS secs,
        event_id % 2 AS parity,
        value / 2 AS half_value,
-       '{{"' || user_id || '":"' || event_type || '"}}' AS doc
+       '{{"' || user_id || '":"' || event_type || '"}}' AS doc,
+       {_ET_SQL} - INTERVAL 5 SECOND AS before_et
 FROM events""")
 def q_scalar_functions(spark, d):
     e = _ev(spark, d).withColumn("ms", _ms())
@@ -647,7 +659,8 @@ def q_scalar_functions(spark, d):
         int_div(F.col("ms"), 1000).alias("secs"),
         F.pmod(F.col("event_id"), F.lit(2)).alias("parity"),
         (F.col("value") / 2).alias("half_value"),
-        F.to_json(F.create_map(F.col("user_id").cast("string"), F.col("event_type"))).alias("doc"))
+        F.to_json(F.create_map(F.col("user_id").cast("string"), F.col("event_type"))).alias("doc"),
+        (seconds_ts(F.col("ms")).cast("timestamp_ntz") - F.expr("INTERVAL 5 SECONDS")).alias("before_et"))
 
 
 # ============================================================ ST3, ST4, ST6

@@ -54,7 +54,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 spark.conf.set(k, v)
             except Exception:  # static conf on a live session
                 pass
-    checkpoint_dir(spark)
     ship_package(spark)
     return spark
 
@@ -95,11 +94,15 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system path set by the deployment; it
-    is only filled in here when unset (local tests), never overridden.
+    On a cluster the deployment must set it to a path that the driver and all
+    executors share; without it this raises.  Only for a local master (tests),
+    where one machine does all the work, is an unset path filled in.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="clickengine-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -107,12 +110,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{abs(hash(os.urandom(8))) % 10**9}"
-
-
 def materialize(df):
     """Cut lineage: write ``df`` to the shared checkpoint folder and read it
     back (reliable ``checkpoint``, never a local one).  Used between chained

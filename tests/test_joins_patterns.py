@@ -1,5 +1,6 @@
 """JN, CE and timer fixtures (FIXTURES.md F6-F13)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickengine.operators import joins as JN
@@ -194,3 +195,29 @@ def test_match_sequence_entry(spark):
     c = CE.match_sequence(df, ["user_id"], ["et", "seq"], [fail, F.col("event_type") == "success"], F.lit(0), "ts",
                           contiguity="relaxed", within="10 seconds")
     assert rows(c, "user_id", "status")[0][0] == "user_1"
+
+
+def test_split_late_shows_the_watermark(spark):
+    from clickengine.operators import timers as TM
+    df = spark.createDataFrame([(0, 0), (0, 50), (1, 10), (2, 120)], "slice long, s long") \
+              .select("slice", F.timestamp_seconds("s").alias("ts"))
+    for most in (1_000_000, 1):   # broadcast, and joined on the slice
+        got = TM.split_late(df, "slice", "ts", "10 seconds", "5 seconds", "0 seconds", watermark="wm", max_slices=most)
+        rows_ = sorted((r.slice, r.ts.second + 60 * r.ts.minute, r.wm and r.wm.second, r.is_late) for r in got.collect())
+        assert rows_ == [(0, 0, None, False), (0, 50, None, False), (1, 10, 45, True), (2, 120, 45, False)]
+
+
+def test_followed_within_never_matches_itself(spark):
+    df = spark.createDataFrame([("u", 1, 0, "a"), ("u", 2, 10, "a"), ("u", 3, 500, "a")], "k string, o long, s long, t string") \
+              .withColumn("ts", F.timestamp_seconds("s"))
+    got = CE.followed_within(df, ["k"], ["ts", "o"], "ts", F.col("t") == "a", F.col("t") == "a", "100 seconds", F.lit(0))
+    assert sorted((r.o, r.status) for r in got.collect()) == [(1, "matched"), (2, "timeout"), (3, "timeout")]
+
+
+def test_checkpoint_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from clickengine.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)

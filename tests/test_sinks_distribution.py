@@ -81,7 +81,7 @@ def test_distribution(spark):
     assert DP.rescale(DP.rebalance(df, 4), 2).rdd.getNumPartitions() == 2
     assert DP.by_key(df, "v", 5).rdd.getNumPartitions() == 5
     assert DP.spread(DP.gather(df), 4).rdd.getNumPartitions() == 4
-    assert DP.spread(DP.rebalance(df, 6), 4).rdd.getNumPartitions() == 6
+    assert DP.spread(DP.rebalance(df, 6)).rdd.getNumPartitions() == 6
     assert DP.broadcast_all(df).count() == 8
 
 
