@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickengine.llm import (decontamination, near_dedup, packing, pii, quality_classifier, quality_rules, sharding,
+from clickengine.llm import (decontamination, near_dedup, oracles, packing, pii, quality_classifier, quality_rules, sharding,
                              suffix_dedup, url_filter, wavelet)
 from clickengine.llm.common import read
 
@@ -47,7 +47,7 @@ def op6_token_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, d: str) -> DataFrame:
-    return decontamination.report(read(spark, d, "documents"), read(spark, d, "benchmark"))
+    return decontamination.report(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("longest_match")
 
 
 def op8_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -81,4 +81,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.SQL
