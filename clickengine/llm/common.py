@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -33,10 +34,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: later steps read the written
-    files, and a lost executor costs no more than their re-reading."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows as a table in the shared checkpoint folder and read it.
+    Later steps read only the columns they need, and a lost executor costs a re-reading."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ranked(df: DataFrame, group: str, bucket: Column, order: list, name: str) -> DataFrame:
