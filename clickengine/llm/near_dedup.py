@@ -37,14 +37,14 @@ CANDIDATE = 76
 #: Independent trees.  A pair at the threshold meets in a node of depth 2 of one tree with
 #: chance 0.69, of depth 6 with 0.44: twelve trees miss it with chance 1e-6 and 1e-3.
 TREES = 12
-#: Classes of a node that are compared exhaustively.
-NODE = 512
+#: Classes of a node that are compared exhaustively (two million pairs of short sketches).
+NODE = 2048
 #: Each round goes two steps down.  What so many rounds can't split is alike all through.
 ROUNDS = 6
 #: Of a node that stays large, so many classes are compared with all the others.
 HUBS = 32
 #: Classes of a candidate component whose texts are compared in one go.
-GROUP = 1024
+GROUP = 2048
 
 _LAST = 2**63 - 1  # stands for a null id
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -208,10 +208,14 @@ def _linked(value: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.
         has = np.zeros((n, min(width, total - c)), np.float32)
         has[owner[a:b], token[a:b] - c] = 1
         both += has @ has.T
-    both = both.astype(np.int64)
-    union = size[:, None] + size[None, :] - both
-    i, j = np.nonzero(np.triu((100 * both >= PERCENT * union) & (union > 0), 1))
-    return rows[i], rows[j]
+    left, right = [], []
+    for a in range(0, n, 256):  # float32 holds the counts exactly up to 2**24 shingles
+        part = both[a:a + 256].astype(np.int64)
+        union = size[a:a + 256, None] + size[None, :] - part
+        i, j = np.nonzero((100 * part >= PERCENT * union) & (union > 0))
+        left.append(rows[a + i[j > a + i]])
+        right.append(rows[j[j > a + i]])
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
