@@ -9,16 +9,20 @@ tokenizer's model; all others go through the whole tokenizer.
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import string
+from itertools import chain
 
 import numpy as np
 import regex
 
 from clickengine.llm.common import ragged
 
-#: Pieces that a worker process remembers; then it starts anew.
-CACHE = 300_000
+#: Pieces in a generation of the cache.  A full generation becomes the old one, from which pieces
+#: that come up again move to the new one; the rest is forgotten with the next change.
+CACHE = 150_000
 
 #: The pattern of the pre-tokenizer (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -39,10 +43,12 @@ _RAW = "\0"  # marks a piece that isn't led by a space
 
 
 class _Pieces(dict):
-    """Piece -> number; an unknown piece gets the next one and waits to be encoded."""
+    """Piece -> number; an unknown piece gets the next one, and waits to be copied from the
+    old generation or to be encoded."""
 
-    def __init__(self):
+    def __init__(self, old: dict[str, int]):
         super().__init__()
+        self.old = old
         self.waiting: list[str] = []
 
     def __missing__(self, piece: str) -> int:
@@ -50,6 +56,15 @@ class _Pieces(dict):
         self[piece] = n = len(self)
         return n
 
+    def take(self) -> tuple[list[str], np.ndarray]:
+        """The waiting pieces, and their old numbers (-1: none)."""
+        out, self.waiting = self.waiting, []
+        return out, np.array([self.old.get(p, -1) for p in out], np.int64)
+
+
+#: A space that may not start a piece.
+_ODD = re.compile(r" (?![\w!-/:-@\[-`{-~])")
+
 
 def _starts(piece: str) -> bool:
     """True if the space before the piece starts a new piece."""
@@ -70,7 +85,10 @@ class Encoder:
         self.model = self.tokenizer.model
         self.words = regex.compile(PATTERN)
         self.letters = _byte_letters()
-        self._clear()
+        self.word_ids: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Pieces({})
+        self.start, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self._next_generation()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -79,16 +97,16 @@ class Encoder:
             cls._own[path] = cls(path)
         return cls._own[path]
 
-    def _clear(self) -> None:
-        self.pieces = _Pieces()
-        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+    def _next_generation(self) -> None:
+        self.old = self.start, self.count, self.flat
+        self.pieces = _Pieces(dict(self.pieces))
+        self.start, self.count, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _numbers(self, text: str) -> list[int]:
         """The numbers of the pieces of a text."""
         parts = text.split(" ")
         parts[0] = _RAW + parts[0]
-        if all(map(_starts, parts[1:])):
+        if not _ODD.search(text):
             return list(map(self.pieces.__getitem__, parts))
         out, now = [], [parts[0]]
         raw = True
@@ -106,38 +124,48 @@ class Encoder:
             return self.pieces[parts[0]]
         return self.pieces[" ".join(parts) if raw else _RAW + " " + " ".join(parts)]
 
+    def _word(self, word: str) -> tuple[int, ...]:
+        if len(self.word_ids) > CACHE:
+            self.word_ids.clear()
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        self.word_ids[word] = out = tuple([t.id for t in tokens])
+        return out
+
     def _split(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts) of pieces that are each led by a space."""
-        text = " " + " ".join(pieces)
-        words = self.words.findall(text)
+        words = self.words.findall(" " + " ".join(pieces))
         known = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        ids = [[t.id for t in self.model.tokenize(w.encode().decode("latin-1").translate(self.letters))] for w in known]
-        count = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([t for x in ids for t in x], np.uint32)
-        number = np.array([known[w] for w in words], np.int64)
+        ids = [self.word_ids.get(w) or self._word(w) for w in known]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))
+        number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         start = (np.cumsum(count) - count)[number]
         per_word = count[number]
         # A piece ends where as many characters are read as it and those before have.
-        ends = np.searchsorted(np.cumsum([len(w) for w in words]), np.cumsum([len(p) + 1 for p in pieces])) + 1
+        read = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        ends = np.searchsorted(read, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)) + 1
         total = np.concatenate(([0], np.cumsum(per_word)))[np.concatenate(([0], ends))]
         return flat[ragged(start, per_word)], np.diff(total)
 
     def _encode_waiting(self) -> None:
-        waiting, self.pieces.waiting = self.pieces.waiting, []
-        latin = np.array([p[:1] != _RAW and (p.isascii() or max(p) < LATIN_END) for p in waiting], bool)
+        waiting, old = self.pieces.take()
         counts = np.zeros(len(waiting), np.int64)
-        flat: list[np.ndarray] = []
+        known = np.flatnonzero(old >= 0)
+        start, count, ids = self.old
+        counts[known] = count[old[known]]
+        flat = [ids[ragged(start[old[known]], counts[known])]]
+        latin = np.array([p[:1] != _RAW and (p.isascii() or max(p) < LATIN_END) for p in waiting], bool) & (old < 0)
         at = np.flatnonzero(latin)
         if len(at):
             ids, counts[at] = self._split([waiting[i] for i in at])
             flat.append(ids)
-        others = np.flatnonzero(~latin)
+        others = np.flatnonzero(~latin & (old < 0))
         texts = [p[1:] if p[:1] == _RAW else " " + p for p in (waiting[i] for i in others)]
         for a in range(0, len(texts), 500):
             part = [e.ids for e in self.tokenizer.encode_batch(texts[a:a + 500], add_special_tokens=False)]
             counts[others[a:a + 500]] = [len(x) for x in part]
             flat.extend(np.array(x, np.uint32) for x in part)
-        order = np.concatenate((at, others))  # as the ids stand in ``flat``
+        order = np.concatenate((known, at, others))  # as the ids stand in ``flat``
         start = np.zeros(len(waiting), np.int64)
         start[order] = len(self.flat) + np.cumsum(counts[order]) - counts[order]
         self.start = np.concatenate((self.start, start))
@@ -148,7 +176,16 @@ class Encoder:
         """(ids, first): the ids of all texts, and where each text's begin (one more entry).
         None counts as an empty text."""
         if len(self.pieces) > CACHE:
-            self._clear()
+            self._next_generation()
+        collecting = gc.isenabled()
+        gc.disable()  # the many small tuples below form no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         numbers, sizes = [], []
         for t in texts:
             n = self._numbers(t) if t else []
@@ -156,7 +193,7 @@ class Encoder:
             sizes.append(len(n))
         if self.pieces.waiting:
             self._encode_waiting()
-        at = np.array(numbers, np.int64)
+        at = np.fromiter(numbers, np.int64, len(numbers))
         count = self.count[at]
         ids = self.flat[ragged(self.start[at], count)]
         total = np.concatenate(([0], np.cumsum(count)))
