@@ -23,8 +23,8 @@ steps:
 
 Buckets of a hot key are quantiles of its own first order column, so they
 follow the key's own row rate; a caller's bucket expression serves where that
-column isn't a number or a time.  Without hot keys the adaptive plan drops the
-second branch.  The result equals a single window per key (tests check it with
+column isn't a number or a time.  The count runs when the scan is built: without
+hot keys, the usual case, the plan is the plain window alone.  The result equals a single window per key (tests check it with
 tiny buckets).
 """
 
@@ -101,33 +101,34 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
     running = running or {}
     # Null keys are a group like any other: partition and join keys are the
     # non-nullable pair (coalesce(key, default), key is null).
-    d = df
-    pkeys = []
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    pkeys, extra = [], {}
     for i, c in enumerate(key):
-        d = (d.withColumn(f"_oscan_k{i}", F.coalesce(F.col(c), _default(df.schema[c].dataType)))
-              .withColumn(f"_oscan_n{i}", F.col(c).isNull()))
+        extra |= {f"_oscan_k{i}": F.coalesce(F.col(c), _default(kinds[c])), f"_oscan_n{i}": F.col(c).isNull()}
         pkeys += [f"_oscan_k{i}", f"_oscan_n{i}"]
-    # Each row's value for the aggregates and the last rows, under fixed names.
-    for n, s in running.items():
-        d = d.withColumn(f"_oscan_v_{n}", s.expr)
+    # Each row's value for the aggregates, under fixed names.
+    extra |= {f"_oscan_v_{n}": s.expr for n, s in running.items()}
+    extra[_B] = F.coalesce(bucket.cast("bigint"), F.lit(_NULL_BUCKET).cast("bigint"))
+    d = df.withColumns(extra)
     scan = _Scan(pkeys, order, running, recent, rn, descending, recent_name)
-    d = d.withColumn(_B, F.coalesce(bucket.cast("bigint"), F.lit(_NULL_BUCKET).cast("bigint")))
     if not hot_rows:
         out = scan.split(d)
     else:
         counts = d.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_oscan_rows")).where(F.col("_oscan_rows") > hot_rows)
+        if counts.isEmpty():   # one partial count decides; nothing else to plan
+            return scan.plain(d).select(*df.columns, *scan.added())
         hot = F.broadcast(counts.orderBy(F.desc("_oscan_rows"), *pkeys).limit(HOT_KEYS).select(*pkeys))
         cold = scan.plain(d.join(hot, pkeys, "left_anti"))
         warm = d.join(hot, pkeys)
-        value = _number(df.schema[order[0]].dataType, order[0]) if quantiles else None
+        value = _number(kinds[order[0]], order[0]) if quantiles else None
         if value is not None:
-            cuts = [i / QUANTILES for i in range(1, QUANTILES)]
-            bounds = warm.groupBy(*pkeys).agg(F.percentile_approx(value, cuts, 10 * QUANTILES).alias("_oscan_q"))
-            of_value = F.size(F.filter(F.array_distinct("_oscan_q"), lambda b: b < value)).cast("bigint")
+            cuts = ", ".join(f"{i / QUANTILES}D" for i in range(1, QUANTILES))
+            warm = warm.withColumn("_oscan_num", value)
+            bounds = warm.groupBy(*pkeys).agg(F.expr(f"percentile_approx(_oscan_num, array({cuts}), {10 * QUANTILES})").alias("_oscan_q"))
             warm = warm.join(F.broadcast(bounds), pkeys)   # one row per hot key
-            warm = warm.withColumn(_B, F.when(value.isNull(), F.lit(_NULL_BUCKET).cast("bigint")).otherwise(of_value))
+            warm = warm.withColumn(_B, F.expr(f"if(_oscan_num is null, {_B}, cast(size(filter(_oscan_q, b -> b < _oscan_num)) as bigint))"))
         out = cold.unionByName(scan.split(warm).select(*cold.columns))
-    return out.drop(*[c for c in out.columns if c.startswith("_oscan_")])
+    return out.select(*df.columns, *scan.added())
 
 
 _B = "_oscan_bkt"
@@ -156,12 +157,12 @@ class _Scan:
     def _local(self, d: DataFrame, by: list[str], prefix: str = "") -> DataFrame:
         """Row number, running aggregates and last rows within ``by``."""
         w = Window.partitionBy(*by).orderBy(*[F.col(c).desc() if self.descending else F.col(c).asc() for c in self.order])
-        out = d
-        if self.rn or prefix:
-            out = out.withColumn(f"{prefix}{self.rn or 'rn'}", F.row_number().over(w).cast("bigint"))
+        out = {}
+        if self.rn:
+            out[prefix + self.rn] = F.row_number().over(w).cast("bigint")
         for n, s in self.running.items():
             frame = w.rowsBetween(Window.unboundedPreceding, -1 if s.exclusive else Window.currentRow)
-            out = out.withColumn(f"{prefix}{n}", _AGG[s.kind](F.col(f"_oscan_v_{n}")).over(frame))
+            out[prefix + n] = _AGG[s.kind](F.col(f"_oscan_v_{n}")).over(frame)
         if self.recent:
             k, cols = self.recent
             row = F.struct(*[F.col(c) for c in cols])
@@ -170,8 +171,12 @@ class _Scan:
                 rows = F.filter(rows, lambda x: x.isNotNull())
             else:
                 rows = F.collect_list(row).over(w.rowsBetween(-k, 0))
-            out = out.withColumn(f"{prefix}{self.recent_name}", rows)
-        return out
+            out[prefix + self.recent_name] = rows
+        return d.withColumns(out)
+
+    def added(self) -> list[str]:
+        """The columns that the scan adds."""
+        return [*([self.rn] if self.rn else []), *self.running, *([self.recent_name] if self.recent else [])]
 
     def plain(self, d: DataFrame) -> DataFrame:
         return self._local(d, self.pkeys)
@@ -210,19 +215,19 @@ class _Scan:
         # A key's first bucket has nothing to carry in.
         carried = summary.select(*carry).where(F.col("_oscan_ccnt").isNotNull())
 
-        out = local.join(carried, on=[*pkeys, _B], how="left")
+        out = {}
         if self.rn:
-            out = out.withColumn(self.rn, F.col(lp + self.rn) + F.coalesce(F.col("_oscan_ccnt"), F.lit(0)))
+            out[self.rn] = F.col(lp + self.rn) + F.coalesce(F.col("_oscan_ccnt"), F.lit(0))
         for n, s in self.running.items():
             lv, cv = F.col(lp + n), F.col(f"_oscan_c_{n}")
-            out = out.withColumn(n, F.when(cv.isNull(), lv).when(lv.isNull(), cv).otherwise(_COMBINE[s.kind](cv, lv)))
+            out[n] = F.when(cv.isNull(), lv).when(lv.isNull(), cv).otherwise(_COMBINE[s.kind](cv, lv))
         if k:
             mine = F.col(lp + self.recent_name)
             both = F.coalesce(F.concat(F.when(F.size(mine) <= k, F.col("_oscan_halo")), mine), mine)
-            out = out.withColumn(self.recent_name, F.slice(both, F.greatest(F.size(both) - (k + 1), F.lit(0)) + 1, k + 1))
+            out[self.recent_name] = F.slice(both, F.greatest(F.size(both) - (k + 1), F.lit(0)) + 1, k + 1)
         elif self.recent:
-            out = out.withColumn(self.recent_name, F.col(lp + self.recent_name))
-        return out
+            out[self.recent_name] = F.col(lp + self.recent_name)
+        return local.join(carried, on=[*pkeys, _B], how="left").withColumns(out)
 
 
 _NULL_BUCKET = -(1 << 63)

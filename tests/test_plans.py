@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
@@ -28,10 +30,15 @@ def test_group_counts_are_partial_aggregates(spark):
         assert "partial_count" in _plan(spark, name), name
 
 
-def test_per_key_scans_partition_by_key_and_bucket(spark):
-    p = _plan(spark, "rolling_count")
-    # the row window is partitioned by the key surrogate *and* the bucket
-    assert re.search(r"windowspecdefinition\(_oscan_k0#\d+, _oscan_n0#\d+, _oscan_bkt#\d+L", p)
+def test_per_key_scans_split_hot_keys_only(spark):
+    from clickengine.operators.ordered import ordered_scan
+    by_key = r"windowspecdefinition\(_oscan_k0#\d+L?, _oscan_n0#\d+, "
+    p = _plan(spark, "rolling_count")   # no hot key: one plain window
+    assert re.search(by_key + "event_id", p) and "_oscan_bkt" not in p
+    df = spark.range(3000).selectExpr("id % 2 AS k", "id")
+    p = ordered_scan(df, ["k"], ["id"], F.lit(0), hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+    # the row window of hot keys is partitioned by the key surrogate *and* the bucket
+    assert re.search(by_key + r"_oscan_bkt#\d+L", p)
 
 
 def test_no_cartesian_products(spark):
