@@ -41,9 +41,9 @@ LENGTH = 100
 SPAN = 64
 GRAM = LENGTH - SPAN + 1
 #: Window starts that are handled together.
-STEP = (1 << 20) - 256
+STEP = (1 << 19) - 256
 #: Runs that a task gathers before it settles and ships them.
-GATHER = 400_000
+GATHER = 200_000
 #: One of so many documents is looked at to find crowded anchors ...
 SAMPLE = 16
 #: ... which have so many runs or more there, and one of 20,000 at least: 20,000 anchors at most.
@@ -61,7 +61,6 @@ def _i64(x: np.ndarray) -> np.ndarray:
 def _find_runs(data: np.ndarray, offsets: np.ndarray):
     """Arrays of the runs of some texts: text, start (in its text), left (anchor - start),
     right (last window - start), anchor hash, run hash; and whole-window hashes on demand."""
-    text_end = np.repeat(offsets[1:], np.diff(offsets))
     for c in range(0, len(data), STEP):
         d = data[c:c + STEP + LENGTH]
         n = min(STEP, len(d) - LENGTH + 1)
@@ -76,7 +75,9 @@ def _find_runs(data: np.ndarray, offsets: np.ndarray):
             best = np.minimum(best[:-width], best[width:])
             width *= 2
         anchor = _i64(best[:n] & np.uint64((1 << 20) - 1))
-        start = np.flatnonzero(text_end[c:c + n] - np.arange(c, c + n) >= LENGTH)
+        i, j = np.searchsorted(offsets, (c, c + n - 1), "right")  # texts i - 1 .. j - 1 reach into the step
+        edge = np.clip(offsets[i - 1:j + 1], c, c + n)
+        start = np.flatnonzero(np.repeat(offsets[i:j + 1], np.diff(edge)) - np.arange(c, c + n) >= LENGTH)
         if not len(start):
             continue
         new = np.ones(len(start), bool)
@@ -405,8 +406,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     their own, in the order of a hash of the text, and fully repeated rows are one document, whose
     result each of them gets.  Other columns aren't read.
     """
-    source = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    source = source.withColumn("doc", F.coalesce(F.col("_key").cast("long"), F.lit(_MIN)))
+    source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_MIN)).alias("doc"),
+                         F.coalesce(F.col(text), F.lit("")).alias("text"))
     digest = F.xxhash64("text")
     many = source.groupBy("doc").agg(F.min(digest).alias("x"), F.max(digest).alias("y")).where("x <> y").limit(1).count()
     source = source.withColumn("tie", digest if many else F.lit(0).cast("long"))
@@ -415,16 +416,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     runs = texts.mapInArrow(_runs(_crowded(texts)), _RUN)
     settled = materialize(runs.repartition("k").sortWithinPartitions("k").mapInArrow(_settle, _RANGE))
 
-    # The documents are dealt out by key once: both joins below read the same exchange.
+    # The documents are dealt out by key once: both joins below read the same exchange.  Rows of
+    # one key are told apart after the join, which keeps the exchange to the key alone.
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = source.select("doc", "tie", "_key", F.col("text").cast("binary").alias("text")).repartition(n, "doc", "tie")
-    left = settled.where("u >= 0")
-    pieces = dealt.join(left, ["doc", "tie"]).select(
+    dealt = source.select("doc", "tie", F.col("text").cast("binary").alias("text")).repartition(n, "doc")
+    left = settled.where("u >= 0").withColumnRenamed("tie", "own")
+    pieces = dealt.join(left, "doc").where("tie ^ own = 0").select(
         "k", "doc", "tie", "a", "u", F.substring("text", (F.col("a") + 1).cast("int"), (F.col("b") - F.col("a")).cast("int")).alias("piece"))
     compared = pieces.repartition("k").sortWithinPartitions("k").mapInArrow(_compare, _RANGE)
-    ranges = (settled.where("u < 0").unionByName(compared).groupBy("doc", "tie")
-              .agg(F.collect_list(F.struct("a", "b")).alias("ranges")))
+    ranges = (settled.where("u < 0").unionByName(compared).groupBy("doc")
+              .agg(F.collect_list(F.struct("tie", "a", "b")).alias("ranges")))
+    own = F.filter("ranges", lambda r: r["tie"] == F.col("tie"))
     kind = docs.select(key).schema[0].dataType.simpleString()
-    out = dealt.join(ranges, ["doc", "tie"], "left").select("_key", "text", "ranges").mapInArrow(
+    name = F.when(F.col("doc") != _MIN, F.col("doc")).cast(kind)
+    out = dealt.join(ranges, "doc", "left").select(name, "text", own.alias("ranges")).mapInArrow(
         _removed, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.withColumnRenamed("doc_id", key)
