@@ -75,9 +75,10 @@ class Encoder:
     """Encodes texts as the tokenizer file does, without special tokens; their strings in a
     text are ordinary text."""
 
-    _own: dict[str, "Encoder"] = {}
+    _own: dict[tuple[str, int], "Encoder"] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
+        self.cache = cache
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -91,11 +92,11 @@ class Encoder:
         self._next_generation()
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
-        """One encoder a file and worker process."""
-        if path not in cls._own:
-            cls._own[path] = cls(path)
-        return cls._own[path]
+    def of(cls, path: str, cache: int = CACHE) -> Encoder:
+        """One encoder a file, cache size and worker process."""
+        if (path, cache) not in cls._own:
+            cls._own[path, cache] = cls(path, cache)
+        return cls._own[path, cache]
 
     def _next_generation(self) -> None:
         self.old = self.start, self.count, self.flat
@@ -125,7 +126,7 @@ class Encoder:
         return self.pieces[" ".join(parts) if raw else _RAW + " " + " ".join(parts)]
 
     def _word(self, word: str) -> tuple[int, ...]:
-        if len(self.word_ids) > CACHE:
+        if len(self.word_ids) > self.cache:
             self.word_ids.clear()
         tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
         self.word_ids[word] = out = tuple([t.id for t in tokens])
@@ -175,7 +176,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): the ids of all texts, and where each text's begin (one more entry).
         None counts as an empty text."""
-        if len(self.pieces) > CACHE:
+        if len(self.pieces) > self.cache:
             self._next_generation()
         collecting = gc.isenabled()
         gc.disable()  # the many small tuples below form no cycles

@@ -9,12 +9,13 @@ access, rank, select, counts and occurrences without the token list.
 from __future__ import annotations
 
 import struct
-import zlib
+import zlib  # for checksums
 from collections.abc import Iterator
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,15 +28,15 @@ END = 0
 SHARD_TOKENS = 1 << 20
 #: Bits to a count of the rank directory.
 BLOCK = 512
-#: Texts that are encoded together.
-TEXTS = 256
+#: Texts that are encoded together, and pieces of a generation of the encoder's cache.
+TEXTS, CACHE = 256, 300_000
 
 _HEAD = struct.Struct("<4sBxxxQQ")
 _MAGIC = b"WMX1"
 
 
 def _packed(data: bytes) -> bytes:
-    return struct.pack("<Q", len(body := zlib.compress(data, 1))) + body
+    return struct.pack("<Q", len(body := zstandard.compress(data, 1))) + body
 
 
 class WaveletMatrix:
@@ -59,7 +60,11 @@ class WaveletMatrix:
         for shift in range(bits - 1, -1, -1):
             one = (ids >> shift & 1).astype(bool)
             planes.append(np.packbits(one))
-            ids = np.concatenate((ids[~one], ids[one]))
+            ones, zeros = np.flatnonzero(one), np.flatnonzero(~one)
+            split = np.empty_like(ids)
+            np.take(ids, zeros, out=split[:len(zeros)])
+            np.take(ids, ones, out=split[len(zeros):])
+            ids = split
         return cls(len(ids), planes, np.asarray(documents, np.int64))
 
     def to_bytes(self) -> bytes:
@@ -74,7 +79,7 @@ class WaveletMatrix:
         at, parts = _HEAD.size, []
         for _ in range(bits + 1):
             size, = struct.unpack_from("<Q", data, at)
-            parts.append(zlib.decompress(data[at + 8:at + 8 + size]))
+            parts.append(zstandard.decompress(data[at + 8:at + 8 + size]))
             at += 8 + size
         lengths = np.frombuffer(parts[0], "<i8")
         if len(lengths) != documents:
@@ -158,8 +163,8 @@ class WaveletMatrix:
         for shift, (p, zeros) in enumerate(zip(self.planes[::-1], self.zeros[::-1])):
             one = np.unpackbits(p)[:self.n].view(bool)
             before = np.empty_like(out)
-            before[~one] = out[:zeros]
-            before[one] = out[zeros:] | kind(1 << shift)
+            before[np.flatnonzero(~one)] = out[:zeros]
+            before[np.flatnonzero(one)] = out[zeros:] | kind(1 << shift)
             out = before
         return out
 
@@ -176,7 +181,7 @@ def _write_task(path: str, end: int, shard_tokens: int):
             ["part", "shard", "tokens_before", "n_tokens", "doc_ids", "file"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
+        encoder = Encoder.of(path, CACHE)
         part = TaskContext.get().partitionId()
         held, count, number, before = [], 0, 0, 0
         for batch in batches:
