@@ -10,8 +10,10 @@ independent trees bring the recall to the target.
 Node comparisons on sketches, with a margin of four deviations, only say which classes may be
 linked; candidate components of bounded size, or the tree nodes of larger ones, then get the
 whole texts once, and links are confirmed on the full sets.  Groups of any size are thus met
-in nodes, never as all their pairs, and what is emitted is a star for each component found in a
-node: connected documents stay connected by at most one row each.
+in nodes, and what is emitted is a star for each component found in a node: connected documents
+stay connected by at most one row each.  Nodes that branching can't bring down are first met in
+parts with common hubs; classes that this leaves unconnected are compared with all classes of
+those nodes, block by block.
 """
 
 from __future__ import annotations
@@ -39,9 +41,9 @@ CANDIDATE = 76
 TREES = 12
 #: Classes of a node that are compared exhaustively (two million pairs of short sketches).
 NODE = 2048
-#: Each round goes two steps down.  What so many rounds can't split is alike all through.
+#: Each round goes two steps down.  What so many rounds can't split is mostly alike all through.
 ROUNDS = 6
-#: Of a node that stays large, so many classes are compared with all the others.
+#: Of a node that stays large, so many classes are first compared with all the others.
 HUBS = 32
 #: Classes of a candidate component whose texts are compared in one go.
 GROUP = 2048
@@ -233,9 +235,31 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _star(rep, i, j)
 
 
-def _leaves(classes: DataFrame) -> DataFrame:
-    """(node, rep): the nodes of all trees that are compared, with two classes or more each."""
-    leaves = []
+def _compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: (node, rep, part, bytes) sorted by node to (grp, rep): what candidate links between
+    classes of different parts connect in a node."""
+    for table, first in whole_groups(batches, "node", 1000):
+        node, rep, part = (np.asarray(table.column(c).combine_chunks()) for c in ("node", "rep", "part"))
+        sketch = _matrix(table.column("bytes"), np.uint8)
+        for a, b in zip(first.tolist(), np.append(first[1:], len(rep)).tolist()):
+            own, of = sketch[a:b], part[a:b]
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for x in range(0, b - a, 64):
+                same = (own[x:x + 64, None, :] == own[None, x:, :]).sum(2) >= CANDIDATE
+                p, q = np.nonzero(same & (of[x:x + 64, None] != of[None, x:]))
+                up = q > p
+                left.append(x + p[up])
+                right.append(x + q[up])
+            label = local_components(b - a, np.concatenate(left), np.concatenate(right))
+            some = np.flatnonzero(np.bincount(label, minlength=b - a)[label] > 1)
+            grp = mix(mix(node[a:b].view(np.uint64)[some]) + label[some].astype(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(grp.view(np.int64)), pa.array(rep[a:b][some])], ["grp", "rep"])
+
+
+def _leaves(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(node, rep): the nodes of all trees that are compared, with two classes or more each, and
+    the nodes that stay large (None without any), of which the first hold only parts."""
+    leaves, large = [], None
     level = classes.select("rep", "sketch").mapInArrow(_branch, "node long, rep long")
     for depth in range(ROUNDS):
         sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -248,7 +272,8 @@ def _leaves(classes: DataFrame) -> DataFrame:
             level = (level.join(classes.select("rep", "sketch"), "rep").select("rep", "sketch", "node")
                      .mapInArrow(_branch, "node long, rep long"))
     else:
-        # Alike all through: parts of a node, each with the node's hubs, picked anew by every tree.
+        # Mostly alike all through: parts of a node, each with the node's hubs, picked anew by every tree.
+        large = level.select("node", "rep")
         rank = F.xxhash64("rep", "node")
         parts = F.ceil(F.col("size") / (NODE - HUBS)).cast("long")
         hubs = level.withColumn("_r", F.row_number().over(Window.partitionBy("node").orderBy(rank))).where(F.col("_r") <= HUBS)
@@ -258,7 +283,7 @@ def _leaves(classes: DataFrame) -> DataFrame:
     out = leaves[0]
     for more in leaves[1:]:
         out = out.unionByName(more)
-    return out
+    return out, large
 
 
 def _comparisons(leaves: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -274,6 +299,36 @@ def _comparisons(leaves: DataFrame, candidates: DataFrame) -> DataFrame:
     return small.unionByName(in_nodes)
 
 
+def _unconnected(large: DataFrame, links: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(grp, rep): whose texts are compared for the pairs of large nodes that ``links`` don't connect.
+
+    Large nodes that share a class are one clump, so that a pair is met once and not in every
+    tree.  The classes outside of a clump's largest component are compared with all of the
+    clump by pairs of blocks: of one that is alike all through nothing is left, and what is left
+    costs its share of the clump's pairs, in tasks of about ``NODE`` classes.
+    """
+    low = large.groupBy("node").agg(F.min("rep").alias("v"))
+    clumps = components(large.join(low, "node").where("rep <> v").select(F.col("rep").alias("u"), "v"))
+    found = components(links).select("u", F.col("c").alias("part"))
+    members = materialize(clumps.join(found, "u", "left").select(
+        F.col("u").alias("rep"), F.col("c").alias("clump"), F.coalesce("part", "u").alias("part")))
+    block = NODE // 2
+    sizes = members.groupBy("clump", "part").agg(F.count(F.lit(1)).alias("n")).groupBy("clump").agg(
+        F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("all"))
+    sizes = sizes.where(F.col("all") > F.col("m.n")).select(
+        "clump", F.col("m.part").alias("main"), F.ceil((F.col("all") - F.col("m.n")) / block).alias("others"),
+        F.ceil(F.col("m.n") / block).alias("mains"))
+    # Blocks 0 .. others - 1 lie outside of the largest component, the next ones in it.
+    rank, is_main = F.xxhash64("rep", "clump"), F.col("part") == F.col("main")
+    rows = members.join(sizes, "clump").withColumn("block", F.when(
+        is_main, F.col("others") + F.pmod(rank, F.col("mains"))).otherwise(F.pmod(rank, F.col("others"))))
+    last = F.col("others") + F.when(is_main, F.lit(0)).otherwise(F.col("mains")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).where("block <> other")
+    node = F.xxhash64("clump", F.least("block", "other"), F.greatest("block", "other"))
+    rows = rows.select(node.alias("node"), "rep", "part").join(sketches, "rep").select("node", "rep", "part", "bytes")
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_compare_blocks, "grp long, rep long")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_shingles, component_id (smallest id reachable by links) and kept of every row.
 
@@ -286,15 +341,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     sets = materialize(source.mapInArrow(_sketch_task, "doc long, n long, set binary, sketch binary"))
     classes = materialize(sets.where("n > 0").groupBy("set").agg(F.min(F.struct("doc", "sketch")).alias("m"))
                           .select("set", F.col("m.doc").alias("rep"), F.col("m.sketch").alias("sketch")))
-    leaves = materialize(_leaves(classes))
+    leaves, large = _leaves(classes)
+    leaves = materialize(leaves)
     # The low byte of every minwise token.
     small = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda i: F.substring(
         F.hex("sketch"), i * 8 + 1, F.lit(2))), ""))
-    rows = leaves.join(classes.select("rep", small.alias("bytes")), "rep").select("node", "rep", "bytes")
+    sketches = classes.select("rep", small.alias("bytes"))
+    rows = leaves.join(sketches, "rep").select("node", "rep", "bytes")
     candidates = rows.repartition("node").sortWithinPartitions("node").mapInArrow(_compare_sketches, "u long, v long")
-    groups = _comparisons(leaves, candidates)
-    whole = groups.join(source.withColumnRenamed("doc", "rep"), "rep").select("grp", "rep", "text")
-    links = whole.repartition("grp").sortWithinPartitions("grp").mapInArrow(_confirm, "u long, v long")
+
+    def confirmed(groups: DataFrame) -> DataFrame:
+        whole = groups.join(source.withColumnRenamed("doc", "rep"), "rep").select("grp", "rep", "text")
+        return whole.repartition("grp").sortWithinPartitions("grp").mapInArrow(_confirm, "u long, v long")
+
+    links = confirmed(_comparisons(leaves, candidates))
+    if large is not None:
+        links = materialize(links)
+        links = links.unionByName(confirmed(materialize(_unconnected(large, links, sketches))))
     found = components(links)
 
     out = (sets.select("doc", "n", "set").join(classes.select("set", "rep"), "set", "left")

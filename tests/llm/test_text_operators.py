@@ -98,6 +98,20 @@ def test_near_duplicates_in_small_nodes_and_groups(spark, monkeypatch):
     assert _near(df) == _near_plain(df)
 
 
+def test_near_duplicates_linked_to_a_centre_only(spark, monkeypatch):
+    """Copies with two edited words each: near the template (0.81), not near each other (0.73 at most)."""
+    for name, value in (("NODE", 8), ("GROUP", 6), ("HUBS", 1), ("ROUNDS", 1)):
+        monkeypatch.setattr(near_dedup, name, value)
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words)]
+    for a in range(5, 95, 5):
+        for b in range(a + 5, 95, 5):
+            texts.append(" ".join(f"u{len(texts)}" if k in (a, b) else w for k, w in enumerate(words)))
+    df = spark.createDataFrame([(900 - i, t) for i, t in enumerate(texts)] + [(1, "other words here " * 9)], cases.SCHEMA)
+    got = _near(df)
+    assert got == _near_plain(df) and len({c for _, _, c, _ in got}) == 2
+
+
 def test_near_duplicates_threshold_is_exact(spark):
     words = [f"w{i}" for i in range(300)]
     base = " ".join(words[:104])  # 100 shingles
