@@ -1,7 +1,7 @@
 """Near-duplicate documents by a chosen-path similarity join of shingle sets.
 
-A document is the set of its 5-word shingles.  Texts with the same set are one class.  Each
-class gets a sketch of ``COORDINATES`` minwise tokens.  In a tree, the path to a node names
+A document is a row: the set of its 5-word shingles.  Texts with the same set are one class,
+which a hash of the set names, whatever the ids of its rows.  Each class gets a sketch of ``COORDINATES`` minwise tokens.  In a tree, the path to a node names
 one or, with chance 1 / threshold - 1, two coordinates, and a class goes on to the children
 that its tokens there name; two sets of similarity J part ways at a step with chance 1 - J.
 Nodes with few classes are compared exhaustively, larger ones branch on, and ``TREES``
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickengine.llm.common import LOWER, SPACE, PrefixHash, blocks, materialize, mix, ragged, text_buffer, whole_groups, word_bounds
@@ -48,7 +48,7 @@ HUBS = 32
 #: Classes of a candidate component whose texts are compared in one go.
 GROUP = 2048
 
-_LAST = 2**63 - 1  # stands for a null id
+_LAST = 2**63 - 1
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -103,8 +103,9 @@ def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [hashlib.blake2b(value[a:b].tobytes(), digest_size=16).digest()
                     for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array(np.diff(first)), pa.array(sets, pa.binary()),
-                 pa.array([row.tobytes() for row in sketch], pa.binary())], ["doc", "n", "set", "sketch"])
+                [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(np.diff(first)),
+                 pa.array(sets, pa.binary()), pa.array([row.tobytes() for row in sketch], pa.binary())],
+                ["doc", "mark", "n", "set", "sketch"])
 
 
 def _matrix(column: pa.Array, kind) -> np.ndarray:
@@ -329,18 +330,19 @@ def _unconnected(large: DataFrame, links: DataFrame, sketches: DataFrame) -> Dat
     return rows.repartition("node").sortWithinPartitions("node").mapInArrow(_compare_blocks, "grp long, rep long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, n_shingles, component_id (smallest id reachable by links) and kept of every row.
+def _mark(text: Column) -> Column:
+    """Tells texts apart."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit(""))))
 
-    A document of fewer words than a shingle is one shingle; a null or empty text has none and
-    is linked with nothing.  Rows of the same id are one document of the graph.  A null id comes
-    after all others: its component is null only if it reaches no id.  Other columns aren't read.
-    """
-    kind = docs.select(key).schema[0].dataType
-    source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("doc"), F.col(text).cast("string").alias("text"))
-    sets = materialize(source.mapInArrow(_sketch_task, "doc long, n long, set binary, sketch binary"))
-    classes = materialize(sets.where("n > 0").groupBy("set").agg(F.min(F.struct("doc", "sketch")).alias("m"))
-                          .select("set", F.col("m.doc").alias("rep"), F.col("m.sketch").alias("sketch")))
+
+def _report(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc (the id), mark (of the text), n, low (smallest id of the component) and kept of every row."""
+    source = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), _mark(F.col(text)).alias("mark"))
+    sets = materialize(source.mapInArrow(_sketch_task, "doc long, mark binary, n long, set binary, sketch binary"))
+    # A null id comes after all others.
+    row = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark")
+    classes = materialize(sets.where("n > 0").groupBy("set").agg(F.min(F.struct(row.alias("first"), "sketch")).alias("m"))
+                          .select("set", F.xxhash64("set").alias("rep"), "m.first", "m.sketch"))
     leaves, large = _leaves(classes)
     leaves = materialize(leaves)
     # The low byte of every minwise token.
@@ -351,31 +353,51 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     candidates = rows.repartition("node").sortWithinPartitions("node").mapInArrow(_compare_sketches, "u long, v long")
 
     def confirmed(groups: DataFrame) -> DataFrame:
-        whole = groups.join(source.withColumnRenamed("doc", "rep"), "rep").select("grp", "rep", "text")
+        groups = materialize(groups)
+        want = groups.select("rep").distinct().join(classes, "rep").select(
+            "rep", F.col("first.doc").alias("_doc"), F.col("first.mark").alias("_mark"))
+        texts = source.join(want, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("rep", "text")
+        whole = groups.join(texts.dropDuplicates(["rep"]), "rep").select("grp", "rep", "text")  # rows repeat
         return whole.repartition("grp").sortWithinPartitions("grp").mapInArrow(_confirm, "u long, v long")
 
     links = confirmed(_comparisons(leaves, candidates))
     if large is not None:
         links = materialize(links)
-        links = links.unionByName(confirmed(materialize(_unconnected(large, links, sketches))))
-    found = components(links)
+        links = links.unionByName(confirmed(_unconnected(large, links, sketches)))
+    found = materialize(components(links).withColumnRenamed("u", "rep").join(classes.select("rep", "first"), "rep"))
+    lowest = found.groupBy("c").agg(F.min("first").alias("lowest"))
+    found = found.join(lowest, "c").select("rep", "lowest")
+    out = (sets.select("doc", "mark", "n", "set").join(classes.select("set", "rep", "first"), "set", "left")
+           .join(found, "rep", "left").withColumn("of", F.coalesce("lowest", "first", row)))
+    return out.select("doc", "mark", "n", F.col("of.doc").alias("low"),
+                      (F.col("of.doc").eqNullSafe(F.col("doc")) & (F.col("of.mark") == F.col("mark"))).alias("kept"))
+
 
-    out = (sets.select("doc", "n", "set").join(classes.select("set", "rep"), "set", "left")
-           .join(found.select(F.col("u").alias("rep"), "c"), "rep", "left"))
-    low = F.coalesce(F.least("c", "rep"), F.col("doc"))
-    back = [F.when(x != _LAST, x).cast(kind) for x in (F.col("doc"), low)]
-    return out.select(back[0].alias(key), F.col("n").alias("n_shingles"), back[1].alias("component_id"),
-                      (low == F.col("doc")).alias("kept"))
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, n_shingles, component_id (smallest id reachable by links) and kept of every row.
+
+    A document of fewer words than a shingle is one shingle; a null or empty text has none and
+    is linked with nothing.  Links are those of the texts: rows of one id, or of a null id, with
+    different texts are different documents.  A component is null only if it reaches no id.  Kept
+    is the text of the smallest id (the first of several by a hash), in all its repeated rows.
+    Other columns aren't read.
+    """
+    kind = docs.select(key).schema[0].dataType
+    return _report(docs, key, text).select(F.col("doc").cast(kind).alias(key), F.col("n").alias("n_shingles"),
+                                           F.col("low").cast(kind).alias("component_id"), "kept")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their component, with all their columns; of rows
-    with the same id, one stays."""
-    gone = near_duplicates(docs, key, text).where(~F.col("kept") & F.col(key).isNotNull())
-    gone = gone.select(F.col(key).alias("_gone")).distinct()
+    """The documents that are kept of their component, with all their columns; of repeated rows
+    (the same id and text), one stays.  Rows without an id and a word are no copies of each other."""
+    gone = _report(docs, key, text).where(~F.col("kept")).select(F.col("doc").alias("_doc"), F.col("mark").alias("_gone")).distinct()
     columns = docs.columns
     one = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
     k, t = f"c{columns.index(key)}", f"c{columns.index(text)}"
-    first = F.row_number().over(Window.partitionBy(k).orderBy(F.xxhash64(t)))
-    one = one.join(gone, F.col(k) == F.col("_gone"), "left_anti").withColumn("_n", first).where("_n = 1")
+    one = one.withColumns({"_id": F.col(k).cast("long"), "_mark": _mark(F.col(t))})
+    one = one.join(gone, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_mark") == F.col("_gone")), "left_anti")
+    lone = F.col("_id").isNull() & F.coalesce(F.col(t).cast("string"), F.lit("")).rlike(r"\A[ \t\n\x0B\f\r]*\z")
+    one = one.withColumn("_lone", F.when(lone, F.monotonically_increasing_id()))
+    first = F.row_number().over(Window.partitionBy("_id", "_mark", "_lone").orderBy("_mark"))
+    one = one.withColumn("_n", first).where("_n = 1")
     return one.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])

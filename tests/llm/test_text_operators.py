@@ -130,6 +130,23 @@ def test_keep_first(spark):
     assert sorted(str(r.doc_id) for r in out.collect()) == want
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    """Links are those of the texts; only copies and linked rows go."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcde")
+    rows = [(None, a), (None, b), (None, b + " more"), (None, c), (None, c), (1, a + " more"), (2, d), (2, e), (2, e),
+            (3, e + " more"), (None, ""), (None, None), (4, ""), (4, "")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], cases.SCHEMA + ", n long")
+    got = near_dedup.near_duplicates(df.where("n not in (2, 4)")).collect()
+    want = [(None, 56, 1, False), (None, 56, None, True), (None, 56, None, True), (1, 57, 1, True), (2, 56, 2, True),
+            (2, 56, 2, True), (2, 56, 2, True), (3, 57, 2, False), (None, 0, None, True), (None, 0, None, True),
+            (4, 0, 4, True), (4, 0, 4, True)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    out = near_dedup.keep_first(df)
+    assert out.columns == df.columns
+    assert sorted(str((r.doc_id, (r.text or "")[:2])) for r in out.collect()) == sorted(map(str, [
+        (None, "b0"), (None, "c0"), (1, "a0"), (2, "d0"), (2, "e0"), (None, ""), (None, ""), (4, "")]))
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(1, 30), st.lists(st.tuples(st.integers(0, 29), st.integers(0, 29)), max_size=40))
 def test_local_components(n, links):
