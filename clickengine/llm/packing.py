@@ -39,7 +39,7 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 def _pieces_task(path: str, capacity: int, end: int, keep_ids: bool):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
+        encoder = Encoder.of(path, added=True)
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(i, TEXTS)

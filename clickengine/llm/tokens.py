@@ -4,7 +4,8 @@ A byte-level BPE with the usual pattern never joins what stands before a space a
 follows it, if a letter, digit or punctuation mark follows.  Texts are cut there, and each
 different piece is encoded once; the result is the same as that of the whole text.  Pieces
 in Latin letters are split into words here, by the same pattern, and the words go to the
-tokenizer's model; all others go through the whole tokenizer.
+tokenizer's model; all others go through the whole tokenizer.  The file's added tokens, where
+they are matched, cut a text first, and what lies between them is encoded for itself.
 """
 
 from __future__ import annotations
@@ -72,17 +73,24 @@ def _starts(piece: str) -> bool:
 
 
 class Encoder:
-    """Encodes texts as the tokenizer file does, without special tokens; their strings in a
-    text are ordinary text."""
+    """Encodes texts as the tokenizer file does, with no special tokens put around them.
+    ``added``: the strings of the file's added tokens in a text become those tokens, as in the
+    untouched tokenizer; else those of special tokens are ordinary text."""
 
-    _own: dict[tuple[str, int], "Encoder"] = {}
+    _own: dict[tuple[str, int, bool], "Encoder"] = {}
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, cache: int = CACHE, added: bool = False):
         self.cache = cache
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = list(self.tokenizer.get_added_tokens_decoder().values()) if added else []
+        self.added = tuple(t.content for t in tokens)
+        #: Cuts a text at its added tokens; None if some of them also take in or look at what is beside them.
+        self.at_added = None
+        if not any(t.single_word or t.lstrip or t.rstrip or t.normalized and self.tokenizer.normalizer for t in tokens):
+            self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.model = self.tokenizer.model
         self.words = regex.compile(PATTERN)
         self.letters = _byte_letters()
@@ -92,11 +100,11 @@ class Encoder:
         self._next_generation()
 
     @classmethod
-    def of(cls, path: str, cache: int = CACHE) -> Encoder:
-        """One encoder a file, cache size and worker process."""
-        if (path, cache) not in cls._own:
-            cls._own[path, cache] = cls(path, cache)
-        return cls._own[path, cache]
+    def of(cls, path: str, cache: int = CACHE, added: bool = False) -> Encoder:
+        """One encoder a file, cache size, way of added tokens and worker process."""
+        if (path, cache, added) not in cls._own:
+            cls._own[path, cache, added] = cls(path, cache, added)
+        return cls._own[path, cache, added]
 
     def _next_generation(self) -> None:
         self.old = self.start, self.count, self.flat
@@ -120,6 +128,16 @@ class Encoder:
         out.append(self._piece(now, raw))
         return out
 
+    def _around_added(self, text: str) -> list[int]:
+        """The numbers of the pieces of a text that holds added tokens; each of these is a piece."""
+        if self.at_added is None:
+            return [self.pieces[_RAW + text]]
+        out = []
+        for i, part in enumerate(self.at_added.split(text)):
+            if part:
+                out.extend([self.pieces[_RAW + part]] if i % 2 else self._numbers(part))
+        return out
+
     def _piece(self, parts: list[str], raw: bool) -> int:
         if len(parts) == 1:
             return self.pieces[parts[0]]
@@ -189,7 +207,10 @@ class Encoder:
     def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         numbers, sizes = [], []
         for t in texts:
-            n = self._numbers(t) if t else []
+            if t and any(token in t for token in self.added):
+                n = self._around_added(t)
+            else:
+                n = self._numbers(t) if t else []
             numbers.extend(n)
             sizes.append(len(n))
         if self.pieces.waiting:

@@ -181,7 +181,7 @@ def _write_task(path: str, end: int, shard_tokens: int):
             ["part", "shard", "tokens_before", "n_tokens", "doc_ids", "file"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path, CACHE)
+        encoder = Encoder.of(path, CACHE, added=True)
         part = TaskContext.get().partitionId()
         held, count, number, before = [], 0, 0, 0
         for batch in batches:

@@ -46,6 +46,23 @@ def test_encoder_on_any_spacing(texts):
     assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
 
 
+def test_added_tokens_are_those_of_the_untouched_tokenizer(spark):
+    from tokenizers import Tokenizer
+    untouched = Tokenizer.from_file(tokenizer_file())
+    texts = ["a<|endoftext|> b", "<|endoftext|>", " x  <|endoftext|>  y it's", "<|endoftext|><|endoftext|> é 日本", "a <|endoftext| > b",
+             "plain words", "", "<|endoftext|> \n" * 40 + "z"]
+    want = _ids(untouched, texts)
+    assert want[0] == [64, 50256, 275]
+    ids, first = Encoder.of(tokenizer_file(), added=True).encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
+    df = spark.createDataFrame(list(enumerate(texts)), cases.SCHEMA)
+    rows = packing.pack_documents(df, tokenizer_file(), keep_ids=True).collect()
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {i: (len(x) + 1, _crc(x + [packing.END])) for i, x in enumerate(want)}
+    shards = wavelet.encode_documents(df, tokenizer_file()).collect()
+    assert sorted(r.doc_id for r in shards) == list(range(len(texts)))
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in shards} == {i: (len(x) + 1, _crc(x + [wavelet.END])) for i, x in enumerate(want)}
+
+
 def _crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
