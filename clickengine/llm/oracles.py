@@ -43,4 +43,30 @@ SELECT d.doc_id, len(d.ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_i
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.ws) AS contaminated
 FROM d LEFT JOIN pos ON pos.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id"""
 
-SQL = {"op2_near_dedup": NEAR_DEDUP, "op7_decontamination": DECONTAMINATION}
+PHRASES = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(ws) >= size),
+f AS (SELECT lang, size, phrase, count(*) AS n FROM g GROUP BY lang, size, phrase HAVING count(*) >= 30),
+c AS (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE size >= 2),
+inside AS (
+  SELECT lang, a, len_, unnest(list_transform(range(1, size - len_ + 2), lambda i: array_to_string(ws[i:i + len_ - 1], ' '))) AS phrase
+  FROM c, (SELECT unnest([2, 3]) AS len_) WHERE size > len_),
+holder AS (SELECT lang, phrase, max(a) AS top FROM inside GROUP BY lang, phrase),
+kept AS (SELECT c.* FROM c LEFT JOIN holder h ON h.lang = c.lang AND h.phrase = c.phrase WHERE h.top IS NULL OR 100 * h.top < 80 * c.a),
+cut AS (
+  SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:size], ' ') AS y
+  FROM kept, (SELECT unnest([1, 2, 3]) AS k) WHERE k < size),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, k, x.n AS l, y.n AS r,
+         CAST((2000000 * CAST(a AS HUGEINT)) // (x.n + y.n) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.x JOIN f y ON y.lang = cut.lang AND y.phrase = cut.y),
+low AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000"""
+
+SQL = {"op2_near_dedup": NEAR_DEDUP, "op7_decontamination": DECONTAMINATION, "op13_phrases": PHRASES}
