@@ -14,10 +14,11 @@ decides whether the prefix is subsumed.
   numbers of (shorter phrase, word) pairs, so no count rests on a hash.
 * A stripe is cut into ``SEGMENTS`` parts by its next words, so the stripe of a very common
   prefix is merged by many tasks.
-* Stripes of 2 and 3 words are only counted where every pair of neighbouring words may be
-  frequent, as no phrase is more frequent than a part of it.  The frequent pairs are told
-  by a Bloom filter of fixed size (``FILTER_BITS``): a pair it takes for frequent by mistake
-  costs a row, never a result.  Once it is crowded it spares less, and the result stays.
+* No phrase is more frequent than a part of it.  So the texts are read three times: for the
+  words, for the pairs of frequent words, and for the phrases all of whose pairs are frequent.
+  What is frequent is told by a Bloom filter of fixed size (``FILTER_BITS``): a phrase it takes
+  for frequent by mistake costs a row, never a result.  Once it is crowded it spares less, and
+  the result stays.
 * A candidate has 2 to ``max_words`` words and a frequency a >= ``min_count``.  Cut after its
   first k words its parts have frequencies l and r, its score is floor(2000000 a / (l + r)),
   that of the lowest cut (ties: smallest k), in decimals of up to 38 digits.
@@ -34,10 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickengine.llm.common import LOWER, PrefixHash, blocks, materialize, ragged, text_buffer, word_bounds
+from clickengine.llm.common import LOWER, PrefixHash, blocks, materialize, mix, ragged, text_buffer, word_bounds
 
 #: Bytes that end a piece, and bytes that end a word.
 PIECE_END = np.zeros(256, bool)
@@ -46,71 +48,84 @@ WORD_END = PIECE_END.copy()
 WORD_END[[9, 32]] = True
 
 MAX_WORDS = 4
-BLOCK = 8 << 20          # bytes of text whose stripes are counted at once
-SEGMENTS = 64            # parts of a stripe
+BLOCK = 4 << 20          # bytes of text whose stripes are counted at once
+SEGMENTS = (64, 16, 4, 4)  # parts of a stripe with a prefix of 0, 1, ... words
 FILTER_BITS = 1 << 26    # 8 MB: the bound of what is sent to the tasks
 TOP_BUCKETS = 64
-ROWS = 1 << 15           # rows of an output batch
+ROWS = 1 << 14           # rows of an output batch
 
-STRIPE = "lang string, words int, prefix string, segment int, next array<string>, counts array<bigint>"
+#: A part of a stripe, its entries of one count together: ``next`` holds the words, a space after each.
+STRIPE = "lang string, words int, prefix string, segment int, count bigint, next string"
+
+
+def _strings(buf: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Array:
+    at = np.concatenate(([0], np.cumsum(hi - lo))).astype(np.int32)
+    return pa.StringArray.from_buffers(len(lo), pa.py_buffer(at), pa.py_buffer(buf[ragged(lo, hi - lo)]))
+
+
+def _hashes(strings: pa.Array) -> np.ndarray:
+    data, at = text_buffer(strings)
+    return PrefixHash(data).of(at[:-1], at[1:])
 
 
 class _Block:
-    """Words of a block of texts: ``buf[at[i]:at[i + 1]]`` is word i with a space after it,
-    ``code`` its dictionary code, ``text`` its text, ``joined`` whether word i + 1 is in the same piece."""
+    """Words of a block of texts: ``buf[at[i]:at[i + 1]]`` is word i with a space after it, ``code`` its
+    code, ``hash[code]`` its hash, ``text`` its text, ``joined`` whether word i + 1 is in the same piece."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         start, end, _ = word_bounds(data, offsets, WORD_END)
         self.n = len(start)
         self.text = np.searchsorted(offsets, start, "right") - 1
-        cuts = np.concatenate(([0], np.cumsum(PIECE_END[data])))
+        cuts = np.concatenate(([0], np.cumsum(PIECE_END[data], dtype=np.int32)))
         same = (self.text[1:] == self.text[:-1]) & (cuts[start[1:]] == cuts[end[:-1]])
         self.joined = np.append(same, False)[:self.n]
         self.at = np.concatenate(([0], np.cumsum(end - start + 1))).astype(np.int64)
-        self.buf = np.append(LOWER[data], np.uint8(32))[ragged(start, end - start + 1)]
+        self.buf = np.empty(self.at[-1], np.uint8)
+        low = np.append(LOWER[data], np.uint8(32))
+        for i in range(0, self.n, ROWS):
+            s, e = start[i:i + ROWS], end[i:i + ROWS]
+            self.buf[self.at[i]:self.at[i + len(s)]] = low[ragged(s, e - s + 1)]
         self.buf[self.at[1:] - 1] = 32
         words = pa.Array.from_buffers(pa.large_binary(), self.n, [None, pa.py_buffer(self.at), pa.py_buffer(self.buf)])
         coded = words.dictionary_encode()
         self.code = np.asarray(coded.indices).astype(np.int64)
-        self.size = max(len(coded.dictionary), 1)
-
-    def phrases(self, first: np.ndarray, words: int) -> pa.Array:
-        """The phrases of ``words`` words from the words ``first``."""
-        lo, hi = self.at[first], self.at[first + words]
-        at = np.concatenate(([0], np.cumsum(hi - lo))).astype(np.int32)
-        return pa.StringArray.from_buffers(len(first), pa.py_buffer(at), pa.py_buffer(self.buf[ragged(lo, hi - lo)]))
+        self.size = len(coded.dictionary)
+        self.hash = _hashes(coded.dictionary)
 
 
-def _pair_bits(hashes: np.ndarray) -> np.ndarray:
-    """Two bits of the filter for each hash."""
+def _bits(first: np.ndarray, last: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """The two bits of the filter for a phrase, from the hashes of all but its last word (0: none), of its
+    last word and of its language."""
+    h = mix(first * np.uint64(0x9E3779B97F4A7C15) + last + (lang << np.uint64(1)))
     mask = np.uint64(FILTER_BITS - 1)
-    return np.stack([hashes & mask, (hashes >> np.uint64(32)) & mask])
-
-
-def _salt(langs: list[str]) -> np.ndarray:
-    """A number for each language, to keep the pairs of languages apart."""
-    raw = np.frombuffer("".join(langs).encode(), np.uint8)
-    at = np.concatenate(([0], np.cumsum([len(x.encode()) for x in langs]))).astype(np.int64)
-    return PrefixHash(raw, 3).of(at[:-1], at[1:])
-
-
-def _count(block: _Block, lang: np.ndarray, langs: list[str], depths: tuple[int, ...], frequent: np.ndarray | None):
-    """The stripes of one block with prefixes of ``depths`` words; ``lang`` is the language code of
-    each word.  With a filter, only phrases all of whose pairs it holds are followed."""
-    joined, have = block.joined, np.arange(block.n)
-    if frequent is not None:
-        spans = PrefixHash(block.buf, 2)
-        pairs = np.flatnonzero(joined)
-        h = spans.of(block.at[pairs], block.at[pairs + 2]) + _salt(langs)[lang[pairs]]
-        bits = _pair_bits(h)
-        kept = ((frequent[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1)).all(axis=0)
-        joined = np.zeros(block.n, bool)
-        joined[pairs[kept]] = True
-        have = np.flatnonzero(joined[:-1] & joined[1:])
-    part = PrefixHash(block.buf, 1)
+    return np.stack([h & mask, (h >> np.uint64(32)) & mask])
+
+
+def _passes(table: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return ((table[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1)).all(axis=0)
+
+
+def _joined(block: _Block, lang: np.ndarray, table: np.ndarray, words: int) -> np.ndarray:
+    """Which neighbouring words may make up a frequent phrase, by a filter of phrases of 1 or 2 words."""
+    h = block.hash[block.code]
+    if words == 1:
+        kept = _passes(table, _bits(np.uint64(0), h, lang))
+        return block.joined & kept & np.append(kept[1:], False)
+    pairs = np.flatnonzero(block.joined)
+    out = np.zeros(block.n, bool)
+    out[pairs[_passes(table, _bits(h[pairs], h[pairs + 1], lang[pairs]))]] = True
+    return out
+
+
+def _count(block: _Block, lang: np.ndarray, langs: pa.Array, depths: tuple[int, ...], joined: np.ndarray):
+    """The stripes of one block with prefixes of ``depths`` words; ``lang`` is the language code of each
+    word, ``joined`` tells which neighbouring words phrases may hold."""
+    have = np.arange(block.n)
+    for step in range(min(depths)):   # only places that reach the first depth
+        have = have[joined[have + step]]
     ids = lang[have]
     for depth in range(max(depths) + 1):
-        if depth:
+        if depth > min(depths):
             more = joined[have + depth - 1]
             have, ids = have[more], ids[more]
         if not len(have):
@@ -119,32 +134,39 @@ def _count(block: _Block, lang: np.ndarray, langs: list[str], depths: tuple[int,
                                        return_counts=True)
         if depth not in depths:
             continue
+        parts = SEGMENTS[min(depth, len(SEGMENTS) - 1)]
         at, prefix = have[first], key // block.size
-        segment = (part.of(block.at[at + depth], block.at[at + depth + 1]) % np.uint64(SEGMENTS)).astype(np.int64)
-        order = np.lexsort((segment, prefix))
+        segment = (block.hash[block.code[at + depth]] % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((n, segment, prefix))
         at, n = at[order], n[order]
-        stripe = prefix[order] * SEGMENTS + segment[order]
-        begin = np.flatnonzero(np.append(True, stripe[1:] != stripe[:-1]))
-        ends = np.append(begin, len(at)).astype(np.int32)
-        head = at[begin]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(langs, pa.string()).take(pa.array(lang[head])), pa.array(np.full(len(head), depth + 1, np.int32)),
-            block.phrases(head, depth), pa.array((stripe[begin] % SEGMENTS).astype(np.int32)),
-            pa.ListArray.from_arrays(pa.array(ends), block.phrases(at + depth, 1)),
-            pa.ListArray.from_arrays(pa.array(ends), pa.array(n.astype(np.int64)))],
-            names=["lang", "words", "prefix", "segment", "next", "counts"])
-
-
-def stripes(docs: DataFrame, depths: tuple[int, ...], frequent=None) -> DataFrame:
-    """Stripes of ``docs`` by blocks.  With depth 0 comes one entry a block and language for the
-    number of its words (0 words, empty prefix and next word)."""
+        stripe = prefix[order] * parts + segment[order]
+        begin = np.flatnonzero(np.append(True, (stripe[1:] != stripe[:-1]) | (n[1:] != n[:-1])))
+        ends = np.append(begin[1:], len(at))
+        # the next words of all entries one after the other, so that a stripe's are one string
+        for i in range(0, len(begin), ROWS):
+            b, e = begin[i:i + ROWS], ends[i:i + ROWS]
+            word = at[b[0]:e[-1]] + depth
+            size = np.concatenate(([0], np.cumsum(block.at[word + 1] - block.at[word])))
+            text = block.buf[ragged(block.at[word], np.diff(size))]
+            head = at[b]
+            yield pa.RecordBatch.from_arrays([
+                langs.take(pa.array(lang[head])), pa.array(np.full(len(b), depth + 1, np.int32)),
+                _strings(block.buf, block.at[head], block.at[head + depth]), pa.array((stripe[b] % parts).astype(np.int32)),
+                pa.array(n[b].astype(np.int64)), _strings(text, size[b - b[0]], size[e - b[0]])],
+                names=["lang", "words", "prefix", "segment", "count", "next"])
+
+
+def stripes(docs: DataFrame, depths: tuple[int, ...], known=None, words: int = 0) -> DataFrame:
+    """Stripes of ``docs`` by blocks, with a filter ``known`` of the frequent phrases of ``words`` words.
+    With depth 0 comes one entry a block and language for the number of its words (0 words, an empty
+    next word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = frequent.value if frequent is not None else None
         for batch in batches:
             coded = batch.column("lang").dictionary_encode()
-            langs = coded.dictionary.to_pylist()
+            langs = coded.dictionary
             code = np.asarray(coded.indices).astype(np.int64)
+            salt = _hashes(langs)
             data, offsets = text_buffer(batch.column("text"))
             for i, j in blocks(offsets, BLOCK):
                 block = _Block(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -152,15 +174,12 @@ def stripes(docs: DataFrame, depths: tuple[int, ...], frequent=None) -> DataFram
                     continue
                 lang = code[i:j][block.text]
                 if 0 in depths:
-                    n = np.bincount(lang, minlength=len(langs))
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(langs, pa.string()), pa.array([0] * len(langs), pa.int32()), pa.array([""] * len(langs)),
-                        pa.array([0] * len(langs), pa.int32()), pa.array([[""]] * len(langs), pa.list_(pa.string())),
-                        pa.array([[int(x)] for x in n], pa.list_(pa.int64()))],
-                        names=["lang", "words", "prefix", "segment", "next", "counts"])
-                for out in _count(block, lang, langs, depths, table):
-                    for k in range(0, out.num_rows, ROWS):
-                        yield out.slice(k, ROWS)
+                    n, none, zero = np.bincount(lang, minlength=len(langs)), pa.array([""] * len(langs)), [0] * len(langs)
+                    yield pa.RecordBatch.from_arrays(
+                        [langs, pa.array(zero, pa.int32()), none, pa.array(zero, pa.int32()), pa.array(n.astype(np.int64)),
+                         pa.array([" "] * len(langs))], names=["lang", "words", "prefix", "segment", "count", "next"])
+                joined = _joined(block, salt[lang], known.value, words) if known is not None else block.joined
+                yield from _count(block, lang, langs, depths, joined)
 
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").mapInArrow(run, STRIPE)
 
@@ -168,43 +187,45 @@ def stripes(docs: DataFrame, depths: tuple[int, ...], frequent=None) -> DataFram
 def merge(parts: DataFrame, min_count: int) -> DataFrame:
     """Stripes merged elementwise: (lang, words, prefix, next, count), entries of ``min_count`` and more."""
     entries = parts.repartition("lang", "prefix", "segment").select(
-        "lang", "words", "prefix", "segment", F.inline(F.arrays_zip("next", "counts")))
-    return (entries.groupBy("lang", "words", "prefix", "segment", "next").agg(F.sum("counts").alias("count"))
-            .where(F.col("count") >= min_count).drop("segment"))
+        "lang", "words", "prefix", "segment", "count", F.explode(F.expr("split(substring(next, 1, length(next) - 1), ' ')")).alias("next"))
+    return (entries.groupBy("lang", "words", "prefix", "segment", "next").agg(F.sum("count").alias("count"))
+            .where(F.col("count") >= min_count)
+            .select("lang", "words", "prefix", F.concat("next", F.lit(" ")).alias("next"), "count"))
 
 
-def _filter(pairs: DataFrame) -> np.ndarray:
-    """The Bloom filter of phrases (lang, phrase): its 64-bit cells, joined on Spark; at most
+def _filter(entries: DataFrame):
+    """A broadcast Bloom filter of phrases: its 64-bit cells, joined on Spark; at most
     ``FILTER_BITS`` / 64 of them reach the driver, however many phrases there are."""
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = text_buffer(batch.column("phrase"))
-            coded = batch.column("lang").dictionary_encode()
-            salt = _salt(coded.dictionary.to_pylist())[np.asarray(coded.indices)] if len(coded) else np.zeros(0, np.uint64)
-            bits = _pair_bits(PrefixHash(data, 2).of(at[:-1], at[1:]) + salt).ravel()
+            first = _hashes(batch.column("prefix"))
+            first[np.asarray(pc.binary_length(batch.column("prefix"))) == 0] = 0
+            bits = _bits(first, _hashes(batch.column("next")), _hashes(batch.column("lang"))).ravel()
             yield pa.RecordBatch.from_arrays([
                 pa.array((bits >> np.uint64(6)).astype(np.int64)),
                 pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))], names=["cell", "bits"])
 
-    rows = (pairs.select("lang", "phrase").mapInArrow(cells, "cell bigint, bits bigint")
+    rows = (entries.select("lang", "prefix", "next").mapInArrow(cells, "cell bigint, bits bigint")
             .groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow())
     out = np.zeros(FILTER_BITS // 64, np.uint64)
     out[rows.column("cell").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return out
+    return entries.sparkSession.sparkContext.broadcast(out)
 
 
 def frequencies(docs: DataFrame, min_count: int = 30, max_words: int = MAX_WORDS) -> DataFrame:
     """Every phrase of 1 to ``max_words`` words with a frequency of ``min_count`` and more, as entries of
     the merged stripes: (lang, words, prefix, next, count), words with a space after each.  The entry of
     0 words is the number of words of its language."""
-    short = materialize(merge(stripes(docs, (0, 1)), min_count))
-    if max_words < 3:
-        return short.where(F.col("words") <= max_words)
-    pairs = short.where(F.col("words") == 2).select("lang", F.concat("prefix", "next").alias("phrase"))
-    frequent = docs.sparkSession.sparkContext.broadcast(_filter(pairs))
-    long = materialize(merge(stripes(docs, tuple(range(2, max_words)), frequent), min_count))
-    return short.unionByName(long)
+    out = materialize(merge(stripes(docs, (0,)), min_count))
+    if max_words > 1:
+        singles = _filter(out.where(F.col("words") == 1))
+        pairs = materialize(merge(stripes(docs, (1,), singles, 1), min_count))
+        out = out.unionByName(pairs)
+    if max_words > 2:
+        long = merge(stripes(docs, tuple(range(2, max_words)), _filter(pairs), 2), min_count)
+        out = out.unionByName(materialize(long))
+    return out
 
 
 def collocations(docs: DataFrame, min_count: int = 30, max_words: int = MAX_WORDS, top: int = 2000,
