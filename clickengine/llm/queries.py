@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickengine.llm import (decontamination, near_dedup, oracles, packing, periodic_runs, phrases, pii, quality_classifier, quality_rules, sharding,
-                             suffix_dedup, url_filter, wavelet)
+                             suffix_dedup, url_filter, vector_search, wavelet)
 from clickengine.llm.common import read
 
 #: Eight shards of equal weight.
@@ -62,6 +62,10 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return url_filter.filter_urls(read(spark, d, "pages"))
 
 
+def op11_vector_search(spark: SparkSession, d: str) -> DataFrame:
+    return vector_search.search(read(spark, d, "embeddings"))
+
+
 def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
     return periodic_runs.report(read(spark, d, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_url_filter": op10_url_filter,
+    "op11_vector_search": op11_vector_search,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_phrases": op13_phrases,
     "pipeline": pipeline,

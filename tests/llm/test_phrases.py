@@ -1,0 +1,90 @@
+"""Collocations against counting by hand, and the SQL of the query."""
+
+import collections
+import random
+import re
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from clickengine.llm import oracles, phrases
+from clickengine.llm.queries import QUERIES
+from tests.llm import cases
+
+SCHEMA = "doc_id long, text string, lang string"
+
+
+def brute(docs, least, top, size=4):
+    f, n = collections.defaultdict(collections.Counter), collections.Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0A-\x0D]", (text or "").translate(cases.LOWER)):
+            w = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, size + 1):
+                f[lang].update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, c in f.items():
+        frequent = {p: a for p, a in c.items() if len(p) > 1 and a >= least}
+        dropped = {p for p, a in frequent.items() for q, b in frequent.items() if len(q) > len(p) and 100 * b >= 80 * a
+                   and any(q[i:i + len(p)] == p for i in range(len(q)))}
+        rows = []
+        for p, a in frequent.items():
+            if p not in dropped:
+                s, k = min((2000000 * a // (c[p[:k]] + c[p[k:]]), k) for k in range(1, len(p)))
+                rows.append((-s, -a, " ".join(p).encode(), c[p[:k]], c[p[k:]]))
+        out += [(lang, i + 1, p.decode(), -a, x, y, n[lang], -s) for i, (s, a, p, x, y) in enumerate(sorted(rows)[:top])]
+    return sorted(out)
+
+
+def run(df, **kw):
+    return sorted(tuple(r) for r in phrases.collocations(df, **kw).collect())
+
+
+@pytest.mark.parametrize("top", [5, 2000])
+def test_random_words(spark, top):
+    rng = random.Random(top)
+    vocabulary = [*"abcdefg", "É", "Zz", "日本", "x" * 50]
+    docs = []
+    for i in range(300):
+        words = rng.choices(vocabulary, weights=range(1, 12), k=rng.randint(0, 40))
+        docs.append((i, "".join(w + rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n"]) for w in words), rng.choice(["en", None, "und", "fr"])))
+    df = spark.createDataFrame(docs, SCHEMA)
+    assert run(df, min_count=4, top=top) == brute([(x, t) for _, t, x in docs], 4, top)
+    assert run(df, min_count=2, top=top, max_words=2) == brute([(x, t) for _, t, x in docs], 2, top, 2)
+
+
+def test_odd_rows(spark, monkeypatch):
+    df = cases.odd(spark, True)
+    docs = [(r.lang, r.text) for r in df.collect()]
+    assert run(df, min_count=2) == brute(docs, 2, 2000)
+    assert run(df.withColumn("lang", F.lit(None).cast("string")), min_count=3) == brute([(None, t) for _, t in docs], 3, 2000)
+    assert run(df.limit(0)) == []
+    assert run(spark.createDataFrame([(1, None, "en"), (2, "", None), (3, " ., ", "en")], SCHEMA), min_count=1) == []
+
+
+def test_crowded_filter_and_small_blocks(spark, monkeypatch):
+    """A filter too small for its phrases, and stripes merged from many blocks."""
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choices("abcdefghij", k=60)), "en") for i in range(40)]
+    monkeypatch.setattr(phrases, "FILTER_BITS", 64)
+    monkeypatch.setattr(phrases, "BLOCK", 300)
+    assert run(spark.createDataFrame(docs, SCHEMA), min_count=3) == brute([(x, t) for _, t, x in docs], 3, 2000)
+
+
+def test_common_line(spark):
+    """One line in all documents: its stripes are merged, its parts subsumed."""
+    docs = [(i, f"the very same line\nw{i} v{i}", "en") for i in range(2000)]
+    got = run(spark.createDataFrame(docs, SCHEMA).repartition(8))
+    assert got == [("en", 1, "the very same line", 2000, 2000, 2000, 12000, 1000000)]
+
+
+def test_query_is_its_sql(spark):
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{d}/documents.parquet'")
+    rows = QUERIES["op13_phrases"](spark, d)
+    want = con.sql(oracles.SQL["op13_phrases"])
+    assert rows.columns == want.columns
+    assert sorted(map(tuple, rows.collect())) == sorted(want.fetchall())
