@@ -93,15 +93,16 @@ class _Block:
         self.hash = _hashes(coded.dictionary)
 
 
-def _bits(first: np.ndarray, last: np.ndarray, lang: np.ndarray) -> np.ndarray:
-    """The two bits of the filter for a phrase, from the hashes of all but its last word (0: none), of its
+def _bits(first: np.ndarray, last: np.ndarray, lang: np.ndarray, size: int) -> np.ndarray:
+    """The two bits for a phrase in a filter of ``size`` bits, from the hashes of all but its last word (0: none), of its
     last word and of its language."""
     h = mix(first * np.uint64(0x9E3779B97F4A7C15) + last + (lang << np.uint64(1)))
-    mask = np.uint64(FILTER_BITS - 1)
+    mask = np.uint64(size - 1)
     return np.stack([h & mask, (h >> np.uint64(32)) & mask])
 
 
-def _passes(table: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _passes(table: np.ndarray, first, last, lang) -> np.ndarray:
+    bits = _bits(first, last, lang, 64 * len(table))
     return ((table[bits >> np.uint64(6)] >> (bits & np.uint64(63))) & np.uint64(1)).all(axis=0)
 
 
@@ -109,11 +110,11 @@ def _joined(block: _Block, lang: np.ndarray, table: np.ndarray, words: int) -> n
     """Which neighbouring words may make up a frequent phrase, by a filter of phrases of 1 or 2 words."""
     h = block.hash[block.code]
     if words == 1:
-        kept = _passes(table, _bits(np.uint64(0), h, lang))
+        kept = _passes(table, np.uint64(0), h, lang)
         return block.joined & kept & np.append(kept[1:], False)
     pairs = np.flatnonzero(block.joined)
     out = np.zeros(block.n, bool)
-    out[pairs[_passes(table, _bits(h[pairs], h[pairs + 1], lang[pairs]))]] = True
+    out[pairs[_passes(table, h[pairs], h[pairs + 1], lang[pairs])]] = True
     return out
 
 
@@ -156,8 +157,8 @@ def _count(block: _Block, lang: np.ndarray, langs: pa.Array, depths: tuple[int,
                 names=["lang", "words", "prefix", "segment", "count", "next"])
 
 
-def stripes(docs: DataFrame, depths: tuple[int, ...], known=None, words: int = 0) -> DataFrame:
-    """Stripes of ``docs`` by blocks, with a filter ``known`` of the frequent phrases of ``words`` words.
+def stripes(docs: DataFrame, depths: tuple[int, ...], known=None, words: int = 0, size: int = BLOCK) -> DataFrame:
+    """Stripes of ``docs`` by blocks of ``size`` bytes, with a filter ``known`` of the frequent phrases of ``words`` words.
     With depth 0 comes one entry a block and language for the number of its words (0 words, an empty
     next word)."""
 
@@ -168,7 +169,7 @@ def stripes(docs: DataFrame, depths: tuple[int, ...], known=None, words: int = 0
             code = np.asarray(coded.indices).astype(np.int64)
             salt = _hashes(langs)
             data, offsets = text_buffer(batch.column("text"))
-            for i, j in blocks(offsets, BLOCK):
+            for i, j in blocks(offsets, size):
                 block = _Block(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 if not block.n:
                     continue
@@ -193,45 +194,46 @@ def merge(parts: DataFrame, min_count: int) -> DataFrame:
             .select("lang", "words", "prefix", F.concat("next", F.lit(" ")).alias("next"), "count"))
 
 
-def _filter(entries: DataFrame):
+def _filter(entries: DataFrame, size: int):
     """A broadcast Bloom filter of phrases: its 64-bit cells, joined on Spark; at most
-    ``FILTER_BITS`` / 64 of them reach the driver, however many phrases there are."""
+    ``size`` / 64 of them reach the driver, however many phrases there are."""
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             first = _hashes(batch.column("prefix"))
             first[np.asarray(pc.binary_length(batch.column("prefix"))) == 0] = 0
-            bits = _bits(first, _hashes(batch.column("next")), _hashes(batch.column("lang"))).ravel()
+            bits = _bits(first, _hashes(batch.column("next")), _hashes(batch.column("lang")), size).ravel()
             yield pa.RecordBatch.from_arrays([
                 pa.array((bits >> np.uint64(6)).astype(np.int64)),
                 pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))], names=["cell", "bits"])
 
     rows = (entries.select("lang", "prefix", "next").mapInArrow(cells, "cell bigint, bits bigint")
             .groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow())
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out = np.zeros(size // 64, np.uint64)
     out[rows.column("cell").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
     return entries.sparkSession.sparkContext.broadcast(out)
 
 
-def frequencies(docs: DataFrame, min_count: int = 30, max_words: int = MAX_WORDS) -> DataFrame:
+def frequencies(docs: DataFrame, min_count: int = 30, max_words: int = MAX_WORDS, filter_bits: int = FILTER_BITS,
+                block: int = BLOCK) -> DataFrame:
     """Every phrase of 1 to ``max_words`` words with a frequency of ``min_count`` and more, as entries of
     the merged stripes: (lang, words, prefix, next, count), words with a space after each.  The entry of
     0 words is the number of words of its language."""
-    out = materialize(merge(stripes(docs, (0,)), min_count))
+    out = materialize(merge(stripes(docs, (0,), size=block), min_count))
     if max_words > 1:
-        singles = _filter(out.where(F.col("words") == 1))
-        pairs = materialize(merge(stripes(docs, (1,), singles, 1), min_count))
+        singles = _filter(out.where(F.col("words") == 1), filter_bits)
+        pairs = materialize(merge(stripes(docs, (1,), singles, 1, block), min_count))
         out = out.unionByName(pairs)
     if max_words > 2:
-        long = merge(stripes(docs, tuple(range(2, max_words)), _filter(pairs), 2), min_count)
+        long = merge(stripes(docs, tuple(range(2, max_words)), _filter(pairs, filter_bits), 2, block), min_count)
         out = out.unionByName(materialize(long))
     return out
 
 
 def collocations(docs: DataFrame, min_count: int = 30, max_words: int = MAX_WORDS, top: int = 2000,
-                 subsumed: int = 80) -> DataFrame:
+                 subsumed: int = 80, filter_bits: int = FILTER_BITS, block: int = BLOCK) -> DataFrame:
     """The ``top`` phrases of each language by score, frequency and phrase: (lang, rank, phrase, a, l, r, n, score)."""
-    found = frequencies(docs, min_count, max_words).withColumn("phrase", F.concat("prefix", "next"))
+    found = frequencies(docs, min_count, max_words, filter_bits, block).withColumn("phrase", F.concat("prefix", "next"))
     known = found.where(F.col("words") >= 1).select("lang", "phrase", "count")
     candidates = found.where(F.col("words") >= 2)
 

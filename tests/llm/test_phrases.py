@@ -55,7 +55,7 @@ def test_random_words(spark, top):
     assert run(df, min_count=2, top=top, max_words=2) == brute([(x, t) for _, t, x in docs], 2, top, 2)
 
 
-def test_odd_rows(spark, monkeypatch):
+def test_odd_rows(spark):
     df = cases.odd(spark, True)
     docs = [(r.lang, r.text) for r in df.collect()]
     assert run(df, min_count=2) == brute(docs, 2, 2000)
@@ -64,13 +64,11 @@ def test_odd_rows(spark, monkeypatch):
     assert run(spark.createDataFrame([(1, None, "en"), (2, "", None), (3, " ., ", "en")], SCHEMA), min_count=1) == []
 
 
-def test_crowded_filter_and_small_blocks(spark, monkeypatch):
+def test_crowded_filter_and_small_blocks(spark):
     """A filter too small for its phrases, and stripes merged from many blocks."""
     rng = random.Random(4)
     docs = [(i, " ".join(rng.choices("abcdefghij", k=60)), "en") for i in range(40)]
-    monkeypatch.setattr(phrases, "FILTER_BITS", 64)
-    monkeypatch.setattr(phrases, "BLOCK", 300)
-    assert run(spark.createDataFrame(docs, SCHEMA), min_count=3) == brute([(x, t) for _, t, x in docs], 3, 2000)
+    assert run(spark.createDataFrame(docs, SCHEMA), min_count=3, filter_bits=64, block=300) == brute([(x, t) for _, t, x in docs], 3, 2000)
 
 
 def test_common_line(spark):
