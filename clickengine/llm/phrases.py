@@ -49,7 +49,7 @@ WORD_END[[9, 32]] = True
 
 MAX_WORDS = 4
 BLOCK = 4 << 20          # bytes of text whose stripes are counted at once
-SEGMENTS = (64, 16, 4, 4)  # parts of a stripe with a prefix of 0, 1, ... words
+SEGMENTS = (64, 4, 2, 2)  # parts of a stripe with a prefix of 0, 1, ... words
 FILTER_BITS = 1 << 26    # 8 MB: the bound of what is sent to the tasks
 TOP_BUCKETS = 64
 ROWS = 1 << 14           # rows of an output batch
