@@ -172,6 +172,15 @@ def changelog_count(df: DataFrame, key: list[str], order: list[str], bucket: Col
              .select(*key, *order, "_c.op", "_c.cnt", F.col("_c.pos").cast("bigint").alias("pos")))
 
 
+def apply_changelog(changes: DataFrame, key: list[str], name: str = "cnt") -> DataFrame:
+    """The group counts that a changelog amounts to, whatever the order of its rows: what was put less what
+    was taken back.  Groups whose rows cancel out vanish."""
+    put = F.col("op").isin("+I", "+U")
+    return (changes.groupBy(*key).agg(F.sum(F.when(put, F.col("cnt")).otherwise(-F.col("cnt"))).alias(name),
+                                      F.sum(F.when(put, 1).otherwise(-1)).alias("_left"))
+            .where(F.col("_left") > 0).drop("_left"))
+
+
 def keyed_summary(df: DataFrame, key: str, order: str, url: str, ts: str) -> DataFrame:
     """Per-key state summary (ST10, ST11 closed form): reducing state keeps
     the first url and the latest time; aggregating state the count and the

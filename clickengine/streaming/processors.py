@@ -56,6 +56,11 @@ def _ms(series: pd.Series) -> pd.Series:
     return (series.astype("datetime64[us]").astype("int64") // 1000) if series.dtype.kind == "M" else series
 
 
+def _us(series: pd.Series) -> pd.Series:
+    """Timestamp series -> epoch micro-seconds (int64)."""
+    return series.astype("datetime64[us]").astype("int64") if series.dtype.kind == "M" else series * 1000
+
+
 # ------------------------------------------------------------------ ST4
 
 class EventTimers(StatefulProcessor):
@@ -219,35 +224,75 @@ class FailStateMachine(StatefulProcessor):
 
 # ------------------------------------------------------------------ CE1, CE2, CE4
 
+class TimeBuckets:
+    """Rows (micro-seconds, sequence, value) of one key, kept until the watermark has passed them.
+    They lie in map state by time bucket: adding a row rewrites its own bucket, releasing
+    reads the buckets that the watermark has reached, and the rest stays untouched.  One timer stands
+    at the earliest kept row."""
+
+    def __init__(self, handle, name: str, kind: str, width_ms: int):
+        self.handle, self.width = handle, width_ms * 1000
+        self.rows = handle.getMapState(name, "bucket long", f"us array<long>, seq array<long>, value array<{kind}>")
+
+    def _get(self, bucket: int) -> list[tuple]:
+        return list(zip(*self.rows.getValue((bucket,)))) if self.rows.containsKey((bucket,)) else []
+
+    def _put(self, bucket: int, rows: list[tuple]) -> None:
+        self.rows.updateValue((bucket,), tuple([*c] for c in zip(*rows)))
+
+    def add(self, new: list[tuple]) -> None:
+        parts: dict[int, list[tuple]] = {}
+        for us, seq, value in new:
+            parts.setdefault(int(us) // self.width, []).append((int(us), int(seq), value))
+        for bucket, rows in parts.items():
+            self._put(bucket, self._get(bucket) + rows)
+
+    def release(self, wm_ms: int) -> list[tuple]:
+        """The rows before the watermark, in order; they leave the state."""
+        buckets = sorted(b for (b,) in self.rows.keys())
+        ready, wm = [], wm_ms * 1000
+        for b in buckets:
+            if b * self.width >= wm:
+                self._wait(b)
+                break
+            rows = self._get(b)
+            ready += [r for r in rows if r[0] < wm]
+            rest = [r for r in rows if r[0] >= wm]
+            if rest:
+                if len(rest) < len(rows):
+                    self._put(b, rest)
+                self._wait(b)
+                break
+            self.rows.removeKey((b,))
+        return sorted(ready, key=lambda r: r[:2])
+
+    def _wait(self, bucket: int) -> None:
+        self.handle.registerTimer(min(self.rows.getValue((bucket,))[0]) // 1000 + 1)
+
+
 class _EventTimeOrder(StatefulProcessor):
     """Rows of a key are kept until the watermark has passed them, then handled in
-    (event time, sequence) order, whatever the order of arrival.  One timer
-    stands at the earliest kept row."""
+    (event time, sequence) order, whatever the order of arrival."""
 
-    def __init__(self, seq: str, ts: str, event_type: str):
-        self.seq, self.ts, self.type = seq, ts, event_type
+    def __init__(self, seq: str, ts: str, event_type: str, width_ms: int = 3_600_000):
+        self.seq, self.ts, self.type, self.width = seq, ts, event_type, width_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.kept = handle.getListState("kept", "ms long, seq long, type string")
+        self.kept = TimeBuckets(handle, "kept", "string", self.width)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _sorted(rows, [self.ts, self.seq], key)
-        new = [(int(t), int(s), e) for t, s, e in zip(_ms(pdf[self.ts]), pdf[self.seq], pdf[self.type])] if len(pdf) else []
-        yield from self._release(key, new, timerValues)
+        if len(pdf):
+            self.kept.add(list(zip(_us(pdf[self.ts]), pdf[self.seq], pdf[self.type])))
+        yield from self._release(key, timerValues)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._release(key, [], timerValues)
+        yield from self._release(key, timerValues)
 
-    def _release(self, key, new: list, timerValues) -> Iterator[pd.DataFrame]:
+    def _release(self, key, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        kept = sorted([tuple(r) for r in self.kept.get()] + new if self.kept.exists() else new)
-        ready = [r for r in kept if r[0] < wm]
-        rest = kept[len(ready):]
-        self.kept.clear()
-        if rest:
-            self.kept.put(rest)
-            self.handle.registerTimer(rest[0][0] + 1)
+        ready = [(us // 1000, seq, value) for us, seq, value in self.kept.release(wm)]
         yield self._handle(str(key[0]), ready, wm)
 
     def _handle(self, key: str, ready: list, wm: int) -> pd.DataFrame:
