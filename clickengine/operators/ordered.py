@@ -104,7 +104,7 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
     kinds = {f.name: f.dataType for f in df.schema.fields}
     pkeys, extra = [], {}
     for i, c in enumerate(key):
-        extra |= {f"_oscan_k{i}": F.coalesce(F.col(c), _default(kinds[c])), f"_oscan_n{i}": F.col(c).isNull()}
+        extra |= {f"_oscan_k{i}": F.coalesce(F.col(c), default_value(kinds[c])), f"_oscan_n{i}": F.col(c).isNull()}
         pkeys += [f"_oscan_k{i}", f"_oscan_n{i}"]
     # Each row's value for the aggregates, under fixed names.
     extra |= {f"_oscan_v_{n}": s.expr for n, s in running.items()}
@@ -233,7 +233,7 @@ class _Scan:
 _NULL_BUCKET = -(1 << 63)
 
 
-def _default(dt: T.DataType) -> Column:
+def default_value(dt: T.DataType) -> Column:
     """A non-null stand-in value of the key's type (paired with a null flag)."""
     if isinstance(dt, T.StringType):
         return F.lit("")

@@ -18,6 +18,9 @@ from clickengine.functions.expressions import int_div, ts_to_micros
 from clickengine.operators.joins import broadcast_if_small
 from clickengine.operators.windows import _us, from_micros
 
+#: Ticks of a key that are generated as one array.
+TICK_BLOCK = 4096
+
 
 def event_timers(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     """Event-time timers (ST4): every row registers a timer at ``ts + delay``
@@ -50,8 +53,11 @@ def periodic_count(df: DataFrame, key: str, ts: str, every: str) -> DataFrame:
     k = F.greatest(F.lit(1), F.ceil((F.col("_us") - F.col("_t0")) / F.lit(p)).cast("bigint"))
     per_tick = rows.groupBy(key, k.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     n_ticks = int_div(wm - F.col("_t0") - 1, p)
-    ticks = (first.where(n_ticks >= 1)
-                  .select(key, "_t0", F.explode(F.sequence(F.lit(1).cast("bigint"), n_ticks)).alias("_k")))
+    # In two steps, so that no array holds all ticks of a long span: blocks first, then their ticks.
+    blocks = F.sequence(F.lit(0).cast("bigint"), int_div(n_ticks - 1, TICK_BLOCK))
+    ticks = (first.where(n_ticks >= 1).select(key, "_t0", n_ticks.alias("_n_ticks"), F.explode(blocks).alias("_tb"))
+                  .select(key, "_t0", F.explode(F.sequence(F.col("_tb") * TICK_BLOCK + 1,
+                                                           F.least((F.col("_tb") + 1) * TICK_BLOCK, F.col("_n_ticks")))).alias("_k")))
     # the running sum runs over tick rows (time span / period per key), not
     # over the key's events
     w = Window.partitionBy(key).orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -5,6 +5,12 @@ replayed micro-batch overwrite its own output instead of duplicating it)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,9 +21,14 @@ from clickengine.session import materialize
 
 def table_exists(spark, path: str) -> bool:
     """True if a written folder is there.  Any other trouble with it (listing,
-    credentials, damaged files) is an error of the read that follows."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(hadoop)
+    credentials, damaged files) is an error."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def to_console(df: DataFrame, label: str, checkpoint: str | None = None, n: int | None = None):
@@ -38,29 +49,54 @@ def to_console(df: DataFrame, label: str, checkpoint: str | None = None, n: int
 
 
 def to_text_files(df: DataFrame, path: str, value: Column, max_records: int | None = None,
-                  checkpoint: str | None = None, trigger: str | None = None, max_bytes: int | None = None,
-                  line_bytes: int = 64):
+                  checkpoint: str | None = None, trigger: str | None = None, max_bytes: int | None = None):
     """Rolling UTF-8 text files (SK2): one line per row.  Files roll by rows
-    (``max_records``), by size (``max_bytes``, at ``line_bytes`` a line), and
-    on a stream by time: every trigger closes its files, and an idle stream
-    leaves none open."""
-    if max_bytes:
-        max_records = min(max_records or 1 << 62, max(1, max_bytes // line_bytes))
+    (``max_records``), by size (``max_bytes``), and on a stream by time: every trigger
+    closes its files, and an idle stream leaves none open.
+
+    By size, a file is closed by the line that makes it ``max_bytes`` or more, line ends included.
+    Every task counts the bytes of its own lines as they come, without a shuffle, and numbers its
+    files; they lie in folders by that number (``roll=0``, ``roll=1``, ...)."""
     out = df.select(as_col(value).cast("string").alias("value"))
+    rolls = []
+    if max_bytes:
+        out, rolls = out.mapInArrow(_roll(max_bytes), "value string, roll bigint"), ["roll"]
     if df.isStreaming:
         w = out.writeStream.format("text").option("path", path).option("checkpointLocation", checkpoint)
+        w = w.partitionBy(*rolls) if rolls else w
         if max_records:
             w = w.option("maxRecordsPerFile", max_records)
         if trigger:
             w = w.trigger(processingTime=trigger)
         return w.start()
     w = out.write.mode("append")
+    w = w.partitionBy(*rolls) if rolls else w
     if max_records:
         w = w.option("maxRecordsPerFile", max_records)
     w.text(path)
     return None
 
 
+def _roll(max_bytes: int):
+    """Numbers the file of each line of a task: a file ends with the line that fills it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size = 0, 0
+        for batch in batches:
+            lines = pc.fill_null(batch.column(0), "")
+            ends = np.cumsum(np.asarray(pc.binary_length(lines), dtype=np.int64) + 1)
+            rolls = np.empty(len(ends), np.int64)
+            at, before = 0, 0       # first line of the file in this batch, bytes of the batch before it
+            while at < len(ends):
+                last = int(np.searchsorted(ends, before + max_bytes - size))
+                rolls[at:last + 1] = number
+                if last >= len(ends):
+                    size += int(ends[-1]) - before
+                    break
+                number, size, at, before = number + 1, 0, last + 1, int(ends[last])
+            yield pa.RecordBatch.from_arrays([lines, pa.array(rolls)], names=["value", "roll"])
+    return run
+
+
 def kafka_frame(df: DataFrame, value: Column, key: Column | None = None) -> DataFrame:
     """The (key, value) string frame a Kafka sink writes (SK3)."""
     cols = [as_col(value).cast("string").alias("value")]

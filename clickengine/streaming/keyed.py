@@ -310,3 +310,51 @@ class HistoryJoin(_Processor):
         for side, part in new.items():
             if part:
                 self.kept[side].appendList([(r,) for r in part])
+
+
+# ------------------------------------------------------------------ ST12
+
+class ExpiringValue:
+    """Value state whose time to live starts anew with every read as well as every write, and whose expired value
+    can be read once more (ST12).  The store's own TTL does neither, so the time of the last use is kept beside
+    the value.  ``now`` is the processing time in milliseconds."""
+
+    def __init__(self, handle, name: str, schema: str, ttl_ms: int):
+        self.state, self.ttl = handle.getValueState(name, f"{schema}, used_ms long"), ttl_ms
+
+    def get(self, now: int) -> tuple[tuple | None, bool]:
+        """(value, expired): a live value is refreshed, an expired one is handed out and gone."""
+        if not self.state.exists():
+            return None, False
+        *value, used = self.state.get()
+        if now >= used + self.ttl:
+            self.state.clear()
+            return tuple(value), True
+        self.update(tuple(value), now)
+        return tuple(value), False
+
+    def update(self, value: tuple, now: int) -> None:
+        self.state.update((*value, now))
+
+
+class ExpiringCount(_Processor):
+    """A count per key that starts again once the key has been idle for ``ttl_ms`` (ST12); the batch that finds
+    it expired reports what it was.  Run with ``time_mode="ProcessingTime"``.
+    Output: ``key, cnt, expired`` (the expired count first)."""
+
+    OUTPUT = "key string, cnt long, expired boolean"
+
+    def __init__(self, ttl_ms: int):
+        self.ttl = ttl_ms
+
+    def init(self, handle) -> None:
+        self.count = ExpiringValue(handle, "count", "n long", self.ttl)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        new = sum(len(r) for r in rows)
+        old, expired = self.count.get(now)
+        n = new if old is None or expired else old[0] + new
+        self.count.update((n,), now)
+        out = [(_key(key), n, False)]
+        yield from _frames(iter([(_key(key), old[0], True), *out] if expired else out), ["key", "cnt", "expired"])

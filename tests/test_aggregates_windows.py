@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from clickengine.functions import weighted_avg
@@ -193,3 +194,36 @@ def test_nulls_do_not_count_in_frames(spark):
     got = WN.count_window(df, ["k"], ["o"], 3, 1, F.lit(0), "v")
     assert sorted((r.k, r.end_rn, r.sum_v, r.max_v) for r in got.collect()) == [
         ("u", 1, 10, 10), ("u", 2, 10, 10), ("u", 3, 40, 30), ("v", 1, None, None)]
+
+
+@pytest.mark.parametrize("span", [1, 2, 3, 1 << 16])
+def test_sessions_across_spans(spark, span):
+    """A key's buckets dealt over spans: sessions that end in one, reach over several, or break between two;
+    gaps of exactly the session gap; null keys."""
+    import random
+    rng = random.Random(span)
+    data = [(rng.choice(["a", None, "b"]), 1000 * rng.choice([rng.randint(0, 40), rng.randint(0, 400), 2 * rng.randint(0, 60)])) for _ in range(250)]
+    e = spark.createDataFrame(data, "k string, ms long").withColumn("et", F.timestamp_millis("ms"))
+    ours = WN.session_windows(e, ["k"], "et", ["et"], "2 seconds", span=span)
+    ref = WN.builtin_session_windows(e, ["k"], "et", "2 seconds")
+    assert sorted(map(str, ours.collect())) == sorted(map(str, ref.collect()))
+
+
+def test_hot_key_sessions_are_spread(spark):
+    """One key with all rows: no task of the span windows sees more than a span of its buckets."""
+    e = spark.range(40_000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * F.when(F.col("id") % 10 == 0, 3).otherwise(1)).alias("et"))
+    ours = WN.session_windows(e, ["k"], "et", ["et"], "1 second", span=1024)
+    plan = ours._jdf.queryExecution().optimizedPlan().toString()
+    assert "_span" in plan
+    ref = WN.builtin_session_windows(e, ["k"], "et", "1 second")
+    assert ours.exceptAll(ref).count() == 0 and ours.count() == ref.count()
+
+
+def test_ticks_of_a_long_span(spark):
+    """Two rows 5,000,000 ticks apart: ticks come in blocks, none is lost or doubled."""
+    from clickengine.operators import timers as TM
+    e = spark.createDataFrame([("a", 0), ("a", 5_000_000_000), ("b", 4_999_999_000)], "k string, ms long").withColumn("et", F.timestamp_millis("ms"))
+    got = TM.periodic_count(e, "k", "et", "1 second")
+    assert got.groupBy("k").agg(F.count("*"), F.count_distinct("tick_ts"), F.max("cnt")).collect() == [("a", 4_999_999, 4_999_999, 1)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "4096" in plan

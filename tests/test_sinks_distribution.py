@@ -147,8 +147,35 @@ def test_console_prints_every_row(spark, capsys):
     assert len(capsys.readouterr().out.splitlines()) == 45
 
 
-def test_text_files_roll_by_size(spark, tmp_path):
-    to_text_files(spark.range(100).coalesce(1), str(tmp_path / "out"), F.lpad(F.col("id").cast("string"), 9, "0"),
-                  max_bytes=250, line_bytes=10)
-    sizes = [os.path.getsize(tmp_path / "out" / f) for f in os.listdir(tmp_path / "out") if f.endswith(".txt")]
-    assert len(sizes) == 4 and max(sizes) <= 250
+@pytest.mark.parametrize("lines", [[9] * 100, [20_000] * 30, [9, 30_000, 0, 70_000, 500, None, 1] * 9])
+def test_text_files_roll_by_size(spark, tmp_path, lines):
+    """A file ends with the line that fills it, whatever the length of the lines."""
+    out, limit = str(tmp_path / "out"), 64_000 if max(x or 0 for x in lines) > 9 else 250
+    df = spark.createDataFrame([(n,) for n in lines], "n int").coalesce(1).withColumn("v", F.expr("repeat('é', n div 2) || repeat('x', n % 2)"))
+    to_text_files(df, out, F.col("v"), max_bytes=limit)
+    files = {}
+    for folder in os.listdir(out):
+        if folder.startswith("roll="):
+            [name] = [f for f in os.listdir(os.path.join(out, folder)) if f.endswith(".txt")]
+            files[int(folder[5:])] = os.path.join(out, folder, name)
+    sizes = [os.path.getsize(files[i]) for i in range(len(files))]
+    assert all(limit <= n < limit + max(x or 0 for x in lines) + 1 for n in sizes[:-1])
+    assert sum(sizes) == sum((n or 0) + 1 for n in lines)
+    want, size = [0], 0     # the same rule, line by line
+    for n in lines:
+        if size >= limit:
+            want.append(0)
+            size = 0
+        size += (n or 0) + 1
+        want[-1] = size
+    assert sizes == want
+
+
+def test_text_files_roll_by_size_on_a_stream(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(3000).selectExpr("repeat('y', 99) v").coalesce(1).write.parquet(src)
+    q = to_text_files(spark.readStream.schema("v string").parquet(src), out, F.col("v"), max_bytes=100_000, checkpoint=str(tmp_path / "ck"))
+    q.processAllAvailable()
+    q.stop()
+    sizes = sorted(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(out) for f in fs if f.endswith(".txt"))
+    assert sizes == [100_000] * 3

@@ -12,6 +12,8 @@ from clickengine.operators import windows as WN
 from clickengine.operators.ordered import arrival_bucket, time_bucket
 from clickengine.plans import catalog
 from clickengine.streaming import forms as SF
+from clickengine.streaming import keyed
+from clickengine.streaming import processors as P
 from clickengine.streaming.replay import StreamReplay, is_sentinel, sentinel_row, slice_by
 from tests.conftest import SF_SMALL, rows
 from tests.test_streaming import _shuffled, _sides, _workdir, ev, replay  # noqa: F401
@@ -163,3 +165,49 @@ def test_history_join_forgets_after_its_ttl(spark):
         r.run(out)
         time.sleep(0.05)
     assert rows(r.results().drop("batch_id")) == [("a", 1, 2)]
+
+
+class _Memory:
+    """Value state in memory."""
+
+    def __init__(self):
+        self.row = None
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.row is not None
+
+    def get(self):
+        return self.row
+
+    def update(self, row):
+        self.row = row
+
+    def clear(self):
+        self.row = None
+
+
+def test_expiring_value_refreshes_and_is_read_once():
+    v = keyed.ExpiringValue(_Memory(), "v", "n long", 100)
+    assert v.get(0) == (None, False)
+    v.update((7,), 0)
+    assert v.get(99) == ((7,), False)
+    assert v.get(198) == ((7,), False)      # the read at 99 has refreshed it
+    assert v.get(298) == ((7,), True)       # expired: once more, then gone
+    assert v.get(299) == (None, False)
+
+
+@pytest.mark.parametrize("ttl", [1, 3_600_000])
+def test_expiring_count_on_a_stream(spark, ev, ttl):  # noqa: F811
+    e = ev.where("event_id < 300")
+    got = replay(spark, e, lambda s: P.run(s, "user_id", keyed.ExpiringCount(ttl), keyed.ExpiringCount.OUTPUT,
+                                           time_mode="ProcessingTime"), slices=2)
+    last = {r.user_id: r["count"] for r in e.groupBy("user_id").count().collect()}
+    seen = got.where("not expired").groupBy("key").agg(F.max("cnt").alias("top"), F.sum("cnt").alias("all")).collect()
+    old = {r.key: r.cnt for r in got.where("expired").collect()}
+    if ttl == 1:    # every batch counts for itself, and tells what it found expired
+        assert old and {r.key: r["all"] for r in seen} == last
+    else:
+        assert not old and {r.key: r.top for r in seen} == last
