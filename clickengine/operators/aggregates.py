@@ -114,15 +114,10 @@ def uv_count(df: DataFrame, user: str, ts: str, size: str, slide: str | None = N
 
 
 def pv_uv_ratio(df: DataFrame, user: str, ts: str, size: str, slide: str | None = None) -> DataFrame:
-    """Page views, distinct users and their ratio per window (AG9).  A sliding
-    window first counts per (pane, user), then spreads those rows over their windows."""
-    views = F.count(F.lit(1))
-    if slide and _panes_fit(size, slide):
-        df = (df.where(F.col(ts).isNotNull()).groupBy(_pane(df, ts, slide).alias("_p"), F.col(user))
-                .agg(F.count(F.lit(1)).alias("_n")))
-        ts, views = "_p", F.sum("_n")
-    return (df.groupBy(window_col(ts, size, slide).alias("_w"))
-              .agg(views.alias("pv"), F.count_distinct(user).alias("uv"))
+    """Page views, distinct users and their ratio per window (AG9): counted per (window, user) once,
+    with partial aggregates ahead of the one large shuffle, then per window."""
+    per_user = df.groupBy(window_col(ts, size, slide).alias("_w"), F.col(user)).agg(F.count(F.lit(1)).alias("_n"))
+    return (per_user.groupBy("_w").agg(F.sum("_n").alias("pv"), F.count(user).alias("uv"))
               .select(F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
                       "pv", "uv", (F.col("pv") / F.col("uv")).alias("ratio")))
 

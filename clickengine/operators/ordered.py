@@ -6,8 +6,8 @@ max, or the previous few rows (lag).  A plain ``Window.partitionBy(key)``
 sends every row of a key to one task; if a key holds a third of the data that
 task holds a third of the data.
 
-``ordered_scan`` takes two branches.  Keys of up to ``HOT_KEY_ROWS`` rows go
-through that plain window.  The *hot* keys (found by one partial count; at
+In ``ordered_scan`` keys of up to ``HOT_KEY_ROWS`` rows are one window
+partition each.  The *hot* keys (found by one partial count; at
 most ``HOT_KEYS`` of them, the largest ones, so their list may be broadcast)
 are split into order buckets, monotone with the order, in three distributed
 steps:
@@ -23,9 +23,14 @@ steps:
 
 Buckets of a hot key are quantiles of its own first order column, so they
 follow the key's own row rate; a caller's bucket expression serves where that
-column isn't a number or a time.  The count runs when the scan is built: without
-hot keys, the usual case, the plan is the plain window alone.  The result equals a single window per key (tests check it with
-tiny buckets).
+column isn't a number or a time.  Quantiles come from a sample of the key's rows
+picked by a hash, in whole numbers: wherever the plan computes them, they are the same.
+
+Building a scan starts no job: the list of hot keys is a part of the plan.  Without
+hot keys, the usual case, it is empty at run time, and adaptive execution drops
+the joins with it and steps 2 and 3.  ``hot_keys`` takes a list that the caller
+knows.  The result equals a single window per key
+(tests check it with tiny buckets).
 """
 
 from __future__ import annotations
@@ -49,6 +54,8 @@ HOT_KEY_ROWS = 1 << 20
 HOT_KEYS = 10_000
 # Buckets of a hot key, by quantiles of its order column.
 QUANTILES = 256
+# Rows of a hot key that the quantiles are taken from, about.
+QUANTILE_ROWS = 1 << 14
 
 _COMBINE = {
     "sum": lambda a, b: a + b,
@@ -82,7 +89,7 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
                  recent: tuple[int, list[str]] | None = None,
                  rn: str | None = "rn", descending: bool = False,
                  recent_name: str = "recent", hot_rows: int | None = HOT_KEY_ROWS,
-                 quantiles: bool = True) -> DataFrame:
+                 quantiles: bool = True, hot_keys: DataFrame | None = None) -> DataFrame:
     """Add per-key ordered columns to ``df``.
 
     key:        key column names (the scan restarts per key)
@@ -97,6 +104,8 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
                 0 / None: every key is, by ``bucket``
     quantiles:  split hot keys by quantiles of ``order[0]`` where it is a
                 number or a time, else (or if False) by ``bucket``
+    hot_keys:   the keys to split, if the caller knows them (columns of ``key``, at most
+                ``HOT_KEYS`` rows); an empty frame splits none
     """
     running = running or {}
     # Null keys are a group like any other: partition and join keys are the
@@ -111,24 +120,27 @@ def ordered_scan(df: DataFrame, key: list[str], order: list[str], bucket: Column
     extra[_B] = F.coalesce(bucket.cast("bigint"), F.lit(_NULL_BUCKET).cast("bigint"))
     d = df.withColumns(extra)
     scan = _Scan(pkeys, order, running, recent, rn, descending, recent_name)
-    if not hot_rows:
-        out = scan.split(d)
-    else:
-        counts = d.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_oscan_rows")).where(F.col("_oscan_rows") > hot_rows)
-        if counts.isEmpty():   # one partial count decides; nothing else to plan
-            return scan.plain(d).select(*df.columns, *scan.added())
-        hot = F.broadcast(counts.orderBy(F.desc("_oscan_rows"), *pkeys).limit(HOT_KEYS).select(*pkeys))
-        cold = scan.plain(d.join(hot, pkeys, "left_anti"))
-        warm = d.join(hot, pkeys)
+    if hot_rows:
+        counts = d.groupBy(*pkeys).agg(F.count(F.lit(1)).alias("_oscan_rows"))
+        if hot_keys is not None:
+            known = F.broadcast(hot_keys.select(*[c.alias(n) for n, c in extra.items() if n in pkeys]).distinct())
+            hot = counts.join(known, pkeys, "left_semi")
+        else:
+            hot = counts.where(F.col("_oscan_rows") > hot_rows).orderBy(F.desc("_oscan_rows"), *pkeys).limit(HOT_KEYS)
+        split = F.col(_B)
         value = _number(kinds[order[0]], order[0]) if quantiles else None
         if value is not None:
-            cuts = ", ".join(f"{i / QUANTILES}D" for i in range(1, QUANTILES))
-            warm = warm.withColumn("_oscan_num", value)
-            bounds = warm.groupBy(*pkeys).agg(F.expr(f"percentile_approx(_oscan_num, array({cuts}), {10 * QUANTILES})").alias("_oscan_q"))
-            warm = warm.join(F.broadcast(bounds), pkeys)   # one row per hot key
-            warm = warm.withColumn(_B, F.expr(f"if(_oscan_num is null, {_B}, cast(size(filter(_oscan_q, b -> b < _oscan_num)) as bigint))"))
-        out = cold.unionByName(scan.split(warm).select(*cold.columns))
-    return out.select(*df.columns, *scan.added())
+            # exact quantiles of a sample by hash: no order of merging can change them
+            every = F.ceil(F.col("_oscan_rows") / F.lit(QUANTILE_ROWS))
+            place = f"transform(sequence(1, {QUANTILES - 1}), i -> element_at(_oscan_s, cast(size(_oscan_s) * i div {QUANTILES} as int) + 1))"
+            hot = (d.join(F.broadcast(hot), pkeys).where(F.pmod(F.xxhash64(*order), every) == 0)
+                   .groupBy(*pkeys, "_oscan_rows").agg(F.sort_array(F.collect_list(value)).alias("_oscan_s"))
+                   .select(*pkeys, "_oscan_rows", F.expr(f"if(size(_oscan_s) > 0, {place}, null)").alias("_oscan_q")))
+            split = F.when(value.isNull() | F.col("_oscan_q").isNull(), F.col(_B)).otherwise(
+                F.size(F.filter("_oscan_q", lambda b: b < value)).cast("bigint"))
+        # a row per hot key, at most HOT_KEYS; rows of other keys stay in one bucket
+        d = d.join(F.broadcast(hot), pkeys, "left").withColumn(_B, F.when(F.col("_oscan_rows").isNotNull(), split).otherwise(0))
+    return scan.split(d, hot=bool(hot_rows)).select(*df.columns, *scan.added())
 
 
 _B = "_oscan_bkt"
@@ -178,13 +190,12 @@ class _Scan:
         """The columns that the scan adds."""
         return [*([self.rn] if self.rn else []), *self.running, *([self.recent_name] if self.recent else [])]
 
-    def plain(self, d: DataFrame) -> DataFrame:
-        return self._local(d, self.pkeys)
-
-    def split(self, d: DataFrame) -> DataFrame:
+    def split(self, rows: DataFrame, hot: bool) -> DataFrame:
+        """The scan of rows with their buckets; with ``hot`` only marked keys have more than one."""
         k, cols = self.recent if self.recent else (0, [])
         pkeys, lp = self.pkeys, "_oscan_l_"
-        local = self._local(d, [*pkeys, _B], lp)
+        local = self._local(rows, [*pkeys, _B], lp)
+        d = rows.where(F.col("_oscan_rows").isNotNull()) if hot else rows
 
         # Bucket summary, one row per (key, bucket): counts and totals by
         # partial (map-side) aggregation; the last k rows by `row_number() <=

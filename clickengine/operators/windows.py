@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickengine.functions.expressions import int_div, ts_to_micros
-from clickengine.operators.ordered import Running, default_value, ordered_scan
+from clickengine.operators.ordered import Running, ordered_scan
 from clickengine.session import materialize
 
 
@@ -115,7 +115,7 @@ def session_ids(df: DataFrame, key: list[str], ts: str, order: list[str], gap: s
     return d.drop("_sess_new")
 
 
-# Gap-wide time buckets of a key that one task looks at together.
+# Gap-wide time buckets of a key that make a span.
 SESSION_SPAN = 1 << 16
 
 
@@ -124,43 +124,36 @@ def session_windows(df: DataFrame, key: list[str], ts: str, order: list[str], ga
     """Session windows with a count per session (WN4): (key, window_start,
     window_end, cnt), ``window_end`` = last row time + gap.
 
-    Rows in one gap-wide time bucket are less than a gap apart, so a session
-    can only break between a bucket's first row and the last row of the
-    key's previous non-empty bucket.  Sessions therefore follow from
-    per-(key, bucket) first / last / count - a partial aggregate, no row-level
-    shuffle - and two levels of windows over that bucket table: breaks inside spans of ``span``
-    buckets, which spread a key's buckets over tasks, and over a summary of one row a span, which carries
-    the last row and the open session from span to span.  (``order`` and ``bucket`` are
+    Rows in one gap-wide time bucket are less than a gap apart, rows two buckets apart are more.  So a
+    session breaks where the bucket before is empty or its last row is more than a gap away,
+    and sessions follow from per-(key, bucket) first / last / count - a partial aggregate, no row-level
+    shuffle.  A key's buckets are dealt over tasks by spans of ``span`` buckets; the last bucket of a
+    span also goes to the next one, which needs its last row.  Only sessions that touch the
+    edge of a span, at most two a span, are put together by key.  (``order`` and ``bucket`` are
     accepted for symmetry with ``session_ids``.)"""
     like = df.schema[ts].dataType
     gap_us = _us(gap)
     us = ts_to_micros(ts)
-    # null keys are a key like any other: windows and the join go by non-null pairs (value, is null)
-    own, pairs = {f"_k{i}": F.col(k) for i, k in enumerate(key)}, []
-    for i, k in enumerate(key):
-        own |= {f"_v{i}": F.coalesce(F.col(k), default_value(df.schema[k].dataType)), f"_z{i}": F.col(k).isNull()}
-        pairs += [f"_v{i}", f"_z{i}"]
     b = (df.where(F.col(ts).isNotNull())
-           .groupBy(*[c.alias(n) for n, c in own.items()], F.floor(us / F.lit(gap_us)).cast("bigint").alias("_sb"))
-           .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n"))
-           .withColumn("_span", F.floor(F.col("_sb") / F.lit(span)).cast("bigint")))
-    local = Window.partitionBy(*pairs, "_span").orderBy("_sb")
+           .groupBy(*key, F.floor(us / F.lit(gap_us)).cast("bigint").alias("_sb"))
+           .agg(F.min(us).alias("_first"), F.max(us).alias("_last"), F.count(F.lit(1)).alias("_n")))
+    place = F.pmod(F.col("_sb"), F.lit(span))
+    own = ((F.col("_sb") - place) / span).cast("bigint")
+    b = b.withColumn("_edge", place == span - 1).withColumn("_span", F.explode(F.when(F.col("_edge"), F.array(own, own + 1)).otherwise(F.array(own))))
+    b = b.withColumn("_copy", F.col("_span") != own)
+    local = Window.partitionBy(*key, "_span").orderBy("_sb")
     before = F.lag("_last").over(local)
-    b = b.withColumn("_start", F.when(F.col("_first") - before > gap_us, F.col("_first")))
-    b = b.withColumn("_sid", F.max("_start").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # one row per (key, span): does its first bucket break, and which session is open before it
-    spans = b.groupBy(*pairs, "_span").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.max("_start").alias("_inner"))
-    far = Window.partitionBy(*pairs).orderBy("_span")
-    gone = F.lag("_last").over(far)
-    spans = spans.withColumn("_opens", F.when(gone.isNull() | (F.col("_first") - gone > gap_us), F.col("_first")))
-    # the session that is open at the span's first bucket: the latest start so far
-    so_far = F.max(F.coalesce("_inner", "_opens")).over(far.rowsBetween(Window.unboundedPreceding, -1))
-    spans = spans.select(*pairs, "_span", F.coalesce("_opens", so_far).alias("_open"))
-    sid = F.coalesce(F.col("_sid"), F.col("_open"))
-    return (b.join(spans, [*pairs, "_span"]).groupBy(*[f"_k{i}" for i in range(len(key))], sid.alias("_sid"))
-             .agg(F.max("_last").alias("_end"), F.sum("_n").alias("cnt"))
-             .select(*[F.col(f"_k{i}").alias(k) for i, k in enumerate(key)], from_micros(F.col("_sid"), like).alias("window_start"),
-                     from_micros(F.col("_end") + gap_us, like).alias("window_end"), "cnt"))
+    b = b.withColumn("_start", F.when(~F.col("_copy") & (before.isNull() | (F.col("_first") - before > gap_us)), F.col("_first")))
+    b = b.withColumn("_sid", F.max("_start").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow))).where(~F.col("_copy"))
+    # without a start in its span a session goes on from the span before
+    parts = b.groupBy(*key, "_span", "_sid").agg(F.max("_last").alias("_end"), F.sum("_n").alias("cnt"), F.max("_edge").alias("_open"))
+    whole = F.col("_sid").isNotNull() & ~F.col("_open")
+    chain = Window.partitionBy(*key).orderBy("_span", F.col("_sid").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edges = (parts.where(~whole).withColumn("_sid", F.max("_sid").over(chain))
+                  .groupBy(*key, "_sid").agg(F.max("_end").alias("_end"), F.sum("cnt").alias("cnt")))
+    return (parts.where(whole).select(*key, "_sid", "_end", "cnt").unionByName(edges)
+                 .select(*key, from_micros(F.col("_sid"), like).alias("window_start"),
+                         from_micros(F.col("_end") + gap_us, like).alias("window_end"), "cnt"))
 
 
 def builtin_session_windows(df: DataFrame, key: list[str], ts: str, gap: str) -> DataFrame:

@@ -138,7 +138,9 @@ _JAVA_SPLIT_SQL = """CASE WHEN text = '' THEN ['']
 SELECT word, count(*) AS cnt FROM (SELECT unnest({_JAVA_SPLIT_SQL}) AS word FROM documents)
 GROUP BY word""")
 def q_word_count(spark, d):
-    return AG.word_count(load_table(spark, d, "documents"), "text")
+    docs, cores = load_table(spark, d, "documents"), spark.sparkContext.defaultParallelism
+    # a table of fewer files than cores (one row group each, here) is spread ahead of the tokenising
+    return AG.word_count(docs, "text", partitions=cores if len(docs.inputFiles()) < cores else None)
 
 
 @query("rolling_count", """
@@ -610,10 +612,10 @@ def q_event_time_seconds(spark, d):
 
 @query("union_streams", """
 SELECT user_id, event_type, ts FROM events WHERE event_type = 'click'
-UNION ALL SELECT user_id, event_type, ts FROM events WHERE event_type <> 'click'""")
+UNION ALL SELECT user_id, event_type, ts FROM events WHERE event_type IS DISTINCT FROM 'click'""")
 def q_union_streams(spark, d):
     e = _ev(spark, d).select("user_id", "event_type", "ts")
-    return PF.union_streams(e.where(F.col("event_type") == "click"), e.where(F.col("event_type") != "click"))
+    return PF.union_streams(e.where(F.col("event_type") == "click"), e.where(~F.col("event_type").eqNullSafe("click")))
 
 
 @query("connect_map", """

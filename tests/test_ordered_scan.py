@@ -110,3 +110,39 @@ def test_hot_null_key_is_split(spark):
                         & F.col("b").eqNullSafe(F.col("p")))).count() == 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "_oscan_bkt" in plan
+
+
+def test_building_a_scan_starts_no_job(spark):
+    """Both branches are in the plan; without hot keys only the plain window runs."""
+    df = spark.range(2000).select((F.col("id") % 7).alias("k"), F.col("id").alias("o"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    got = ordered_scan(df, ["k"], ["o"], F.lit(0), recent=(1, ["o"]))
+    assert list(tracker.getJobIdsForGroup("build")) == []
+    spark.sparkContext.setJobGroup("run", "run")
+    assert got.count() == 2000
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Window ") == 1 and "_oscan_bcnt" not in final
+
+
+def test_quantiles_do_not_depend_on_the_layout(spark):
+    """The same buckets from any partitioning, and about equal ones, also far from a uniform order."""
+    df = spark.range(200_000).select(F.lit("h").alias("k"), F.expr("cast(pow(id / 20000.0, 6) * 1000 as bigint) * 200000 + id").alias("o"))
+    counts = []
+    for n in (1, 7):
+        got = ordered_scan(df.repartition(n), ["k"], ["o"], F.lit(0), hot_rows=1000)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "_oscan_q" in plan
+        w = Window.partitionBy("k").orderBy("o")
+        assert got.exceptAll(df.withColumn("rn", F.row_number().over(w).cast("bigint"))).count() == 0
+        counts.append(sorted(r[0] for r in got.select("rn").collect()))
+    assert counts[0] == counts[1] == list(range(1, 200_001))
+
+
+def test_known_hot_keys(spark):
+    df = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.lit("a")).alias("k"), F.col("id").alias("o"))
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")).cast("bigint"))
+    for keys in ([("a",)], [(None,), ("a",), ("none",)], []):
+        got = ordered_scan(df, ["k"], ["o"], arrival_bucket("o", 50), hot_keys=spark.createDataFrame(keys, "k string"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
