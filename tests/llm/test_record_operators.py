@@ -208,12 +208,82 @@ def test_mined_url_rules(spark):
     assert got == {1: "block", 2: "allow", 3: "allow", 4: "allow"}
 
 
+def _mined_by_hand(rows, least, sure, min_tokens):
+    """(tokens, verdict) -> confidence of all combinations of a URL's tokens, pruned by their parts; of
+    combinations that occur in the same rows only the largest is named."""
+    import itertools
+    seen, label = collections.defaultdict(set), collections.defaultdict(set)
+    for i, (tokens, verdict) in enumerate(rows):
+        label[verdict].add(i)
+        for k in range(1, len(tokens) + 1):
+            for c in itertools.combinations(sorted(tokens), k):
+                seen[c].add(i)
+    closed = {}     # rows -> the tokens that are in all of them, a group taken whole or not at all
+    single = {c[0]: frozenset(x) for c, x in seen.items() if len(c) == 1}
+    for c, x in seen.items():
+        closed[frozenset(u for u in single if any(single[u] == single[t] for t in c))] = frozenset(x)
+    rules = {}
+    for c, x in closed.items():
+        for v, y in label.items():
+            both = len(x & y)
+            if len(c) >= min_tokens and both >= least * len(rows) and both >= sure * len(x):
+                rules[c, v] = both / len(x)
+    return {(tuple(sorted(c)), v): conf for (c, v), conf in rules.items()
+            if not any(d < c and w == v and other >= conf for (d, w), other in rules.items())}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rules_are_those_of_brute_force(spark, seed):
+    rng = np.random.default_rng(seed)
+    hosts, words = ["a.net", "b.net", "www.c.org", "c.org"], ["es", "en", "news", "shop", "x"]
+    rows = []
+    for _ in range(120):
+        url = f"http://{rng.choice(hosts)}/" + "/".join(rng.choice(words, rng.integers(0, 4)))
+        bad = ("es" in url and ".net" in url) or rng.random() < 0.05
+        rows.append((url, "block" if bad else "allow"))
+    df = spark.createDataFrame([*rows, (None, "allow"), ("http://a.net/es", None)], "url string, verdict string")
+    tokens = {r.url: set(r.t) for r in df.select("url", url_filter.url_tokens(F.col("url")).alias("t")).collect()}
+    got = {(tuple(r.tokens), r.verdict): r.confidence for r in url_filter.mine_rules(df, 0.04, 0.8).collect()}
+    want = _mined_by_hand([(tokens[u], v) for u, v in [*rows, (None, "allow")]], 0.04, 0.8, 2)
+    assert got.keys() == want.keys() and got and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+
+
+def test_hot_url_of_many_tokens(spark):
+    """A third of the rows is one URL of 24 tokens of its own: one item, whatever their number."""
+    slug = "/".join(chr(97 + i) * 3 for i in range(20))
+    hot = [(i, f"https://www.example.com/en/{slug}") for i in range(100)]
+    rest = [(100 + i, f"http://h{i % 7}.net/{'es' if i % 2 else 'fr'}/{i}") for i in range(200)]
+    pages = spark.createDataFrame([*hot, *rest, (500, f"ftp://mirror.io/{slug}"), (501, "http://h1.net/de/")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_filter.filter_urls(pages).collect()}
+    assert got[0] == "allow" and got[100] == "block" and got[501] == "block" and got[500] == "allow"
+
+
+def test_query_judges_by_its_mined_rules(spark):
+    """End to end: labels are what the list decides, and undecided URLs get the best rule that fits them."""
+    d = "/root/testdata/sf0.1"
+    pages = spark.read.parquet(f"{d}/pages.parquet")
+    got = {r.page_id: r for r in __spark_entry__.queries()["op10_url_filter"](spark, d).collect()}
+    rows = pages.select("page_id", "url", url_filter.url_tokens(F.col("url")).alias("t")).collect()
+    want = _mined_by_hand([(set(r.t), got[r.page_id].verdict) for r in rows if got[r.page_id].rule], url_filter.MIN_SUPPORT,
+                          url_filter.MIN_CONFIDENCE, url_filter.MIN_TOKENS)
+    by_tokens, mined = {}, 0
+    for r in rows:
+        if got[r.page_id].rule is None and r.url is not None:
+            key = tuple(sorted(r.t))
+            if key not in by_tokens:
+                by_tokens[key] = max(((c, v == "allow", len(t), v) for (t, v), c in want.items() if set(t) <= set(key)), default=None)
+            best = by_tokens[key]
+            mined += best is not None
+            assert got[r.page_id].verdict == (best[3] if best else "allow")
+    assert len(got) == pages.count() and mined > 0
+
+
 def test_mined_rules_match_as_by_brute_force(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     labelled = pages.select("url", F.when(F.col("url").contains("/en/"), "block").otherwise("allow").alias("verdict"))
     rules = url_filter.mine_rules(labelled, 0.02, 0.8).collect()
     got = {r.url: (r.verdict, r.confidence) for r in url_filter.judge_by_rules(
-        pages, spark.createDataFrame(rules, "rule_id int, tokens array<string>, verdict string, confidence double, support double")).collect()}
+        pages, spark.createDataFrame(rules, url_filter.RULE)).collect()}
     for r in pages.select("url", url_filter.url_tokens(F.col("url")).alias("t")).distinct().collect():
         fits = [(x.confidence, x.verdict == "allow", len(x.tokens), x.verdict) for x in rules if set(x.tokens) <= set(r.t)]
         assert got.get(r.url) == ((max(fits)[3], max(fits)[0]) if fits else None)
