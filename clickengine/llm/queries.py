@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickengine.llm import (decontamination, near_dedup, oracles, packing, periodic_runs, phrases, pii, quality_classifier, quality_rules, sharding,
                              suffix_dedup, url_filter, vector_search, wavelet)
@@ -19,7 +20,8 @@ def op1_pii(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_near_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return near_dedup.near_duplicates(read(spark, d, "documents"))
+    # the operator keeps a text, the query an id: they differ where one id has several linked texts
+    return near_dedup.near_duplicates(read(spark, d, "documents")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op3_quality_classifier(spark: SparkSession, d: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickengine.llm import decontamination, graph, near_dedup, pii, quality_rules, suffix_dedup
 from clickengine.llm.common import text_buffer
+from clickengine.llm.queries import QUERIES
 from tests.llm import cases
 
 
@@ -296,3 +297,12 @@ def test_empty_tables(spark):
     assert quality_rules.judge(none, model).count() == 0 and quality_rules.keep(none, model).count() == 0
     assert decontamination.report(none, bench).count() == 0 and suffix_dedup.remove_repeats(none).count() == 0
     assert (model.ratio == 0).all()
+
+
+def test_near_dedup_query_keeps_the_component_id(spark, tmp_path):
+    """Two linked texts of one id: the query's kept is doc_id = component_id for both."""
+    base = " ".join(f"w{i}" for i in range(80))
+    df = spark.createDataFrame([(5, base), (5, base + " more"), (9, base + " end"), (7, "other words here")], cases.SCHEMA)
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in QUERIES["op2_near_dedup"](spark, str(tmp_path)).collect())
+    assert got == [(5, 5, True), (5, 5, True), (7, 7, True), (9, 5, False)]
