@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from clickengine.llm.common import ranked
 
-#: A group is numbered in so many buckets of keys, each by its own task or part of one:
-#: 10**10 rows in 8 shards are some 300,000 rows a bucket.
+#: A shard is numbered in so many buckets of (key, text), each by its own task or part of one:
+#: 10**10 rows in 8 shards are some 300,000 rows a bucket.  Rows of one key (null too) and
+#: different texts spread over the buckets; only rows that are equal in both stay together.
 SLOT_BUCKETS = 4096
 
 
@@ -51,11 +52,10 @@ def shard_records(df: DataFrame, weights: Sequence[float], key: str = "doc_id",
     name = F.col("_k").cast("string")
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = df.select(F.col(key).alias("_k"), (F.octet_length(body) + 1).cast("long").alias("size"),
-                     F.crc32(body).alias("text_crc32"))
+                     F.crc32(body).alias("text_crc32"), F.xxhash64(F.col(key), body).alias("_h"))
     rows = rows.withColumns({"shard": rendezvous(name, weights),
                              "grown_shard": rendezvous(name, [*weights, new_weight])})
-    bucket = F.conv(F.substring(F.md5(F.coalesce(name, F.lit("")).cast("binary")), 1, 3), 16, 10).cast("int")
-    slots = ranked(rows, "shard", bucket % SLOT_BUCKETS, ["_k", "text_crc32", "size"], "slot")
+    slots = ranked(rows, "shard", F.pmod("_h", F.lit(SLOT_BUCKETS)), ["_k", "_h", "text_crc32", "size"], "slot")
     return slots.select(F.col("_k").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard",
                         "slot", "grown_shard")
 
