@@ -203,11 +203,12 @@ def _write_task(path: str, end: int, shard_tokens: int):
 def write_shards(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text: str = "text", end: int = END,
                  shard_tokens: int = SHARD_TOKENS) -> None:
     """Write the token files of the documents, in ascending order of the key (null first, equal
-    keys by their text), as rows (part, shard, tokens_before, n_tokens, doc_ids, file) under ``path``."""
+    keys by a hash of their text, so that they too are split over tasks), as rows (part, shard, tokens_before, n_tokens, doc_ids, file) under ``path``."""
     kind = docs.select(key).schema[0].dataType.simpleString()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).repartitionByRange(n, "k")
-    rows.sortWithinPartitions("k", "t").mapInArrow(
+    rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
+    dealt = rows.withColumn("h", F.xxhash64("t")).repartitionByRange(n, "k", "h").sortWithinPartitions("k", "h", "t")
+    dealt.select("k", "t").mapInArrow(
         _write_task(tokenizer, end, shard_tokens),
         f"part int, shard int, tokens_before long, n_tokens long, doc_ids array<{kind}>, file binary").write.mode("overwrite").parquet(path)
 

@@ -148,6 +148,30 @@ def test_token_files(spark, tokenizer, source, shard):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+def test_token_files_of_one_id(spark, tokenizer, tmp_path):
+    """Rows of one id (null too) are split over the tasks that write, and stand behind one another."""
+    rows = [((None, 5, i)[i % 3], f"text {i} " * (i % 40)) for i in range(1200)]
+    df = spark.createDataFrame(rows, cases.SCHEMA)
+    out = wavelet.encode_documents(df, tokenizer_file(), str(tmp_path / "files")).orderBy("start").collect()
+    assert [r.doc_id for r in out] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in out] == np.concatenate(([0], np.cumsum([r.n_tokens for r in out])[:-1])).tolist()
+    want = collections.Counter((i, len(ids) + 1, _crc(ids + [0])) for (i, _), ids in zip(rows, _ids(tokenizer, [t for _, t in rows])))
+    assert collections.Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == want
+    parts = spark.read.parquet(str(tmp_path / "files")).selectExpr("part", "inline(transform(doc_ids, x -> struct(x)))")
+    assert parts.where("x is null").select("part").distinct().count() > 1
+    assert max(r["count"] for r in parts.groupBy("part").count().collect()) < 600
+
+
+def test_sharding_of_one_id(spark):
+    rows = [((None, 5, i)[i % 3], f"text {i}") for i in range(900)] + [(None, "same")] * 30
+    out = sharding.shard_records(spark.createDataFrame(rows, cases.SCHEMA), [1.0] * 4)
+    by = collections.defaultdict(list)
+    for r in out.collect():
+        by[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and sum(map(len, by.values())) == len(rows)
+    assert out.groupBy("doc_id").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
+
+
 def test_sharding(spark):
     df = cases.odd(spark, True).select("doc_id", "text").unionByName(cases.documents(spark, "sf0.01").select("doc_id", "text"))
     rows = sharding.shard_records(df, [1.0] * 8).collect()
