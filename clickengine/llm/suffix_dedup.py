@@ -416,19 +416,26 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     runs = texts.mapInArrow(_runs(_crowded(texts)), _RUN)
     settled = materialize(runs.repartition("k").sortWithinPartitions("k").mapInArrow(_settle, _RANGE))
 
-    # The documents are dealt out by key once: both joins below read the same exchange.  Rows of
-    # one key are told apart after the join, which keeps the exchange to the key alone.
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = source.select("doc", "tie", F.col("text").cast("binary").alias("text")).repartition(n, "doc")
-    left = settled.where("u >= 0").withColumnRenamed("tie", "own")
-    pieces = dealt.join(left, "doc").where("tie ^ own = 0").select(
-        "k", "doc", "tie", "a", "u", F.substring("text", (F.col("a") + 1).cast("int"), (F.col("b") - F.col("a")).cast("int")).alias("piece"))
+    # A document is its key, and where keys repeat its key and digest: rows of one key, null too,
+    # are then split over tasks.  Without repeated keys the documents are dealt out once, and both
+    # joins below read the same exchange; with them fully repeated rows are read once for the
+    # comparison, and the join that gives each row its ranges may be split at a hot document.
+    whole = source.select("doc", "tie", F.col("text").cast("binary").alias("text"))
+    if many:
+        place, dealt, once = ["doc", "tie"], whole, whole.dropDuplicates(["doc", "tie"])
+    else:
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        place = ["doc"]
+        dealt = once = whole.drop("tie").repartition(n, "doc")
+        settled = settled.drop("tie")
+    pieces = once.join(settled.where("u >= 0"), place).select(
+        "k", "doc", "tie" if many else F.lit(0).cast("long").alias("tie"), "a", "u",
+        F.substring("text", (F.col("a") + 1).cast("int"), (F.col("b") - F.col("a")).cast("int")).alias("piece"))
     compared = pieces.repartition("k").sortWithinPartitions("k").mapInArrow(_compare, _RANGE)
-    ranges = (settled.where("u < 0").unionByName(compared).groupBy("doc")
-              .agg(F.collect_list(F.struct("tie", "a", "b")).alias("ranges")))
-    own = F.filter("ranges", lambda r: r["tie"] == F.col("tie"))
+    ranges = (settled.where("u < 0").unionByName(compared.select(settled.columns)).groupBy(*place)
+              .agg(F.collect_list(F.struct("a", "b")).alias("ranges")))
     kind = docs.select(key).schema[0].dataType.simpleString()
     name = F.when(F.col("doc") != _MIN, F.col("doc")).cast(kind)
-    out = dealt.join(ranges, "doc", "left").select(name, "text", own.alias("ranges")).mapInArrow(
+    out = dealt.join(ranges, place, "left").select(name, "text", "ranges").mapInArrow(
         _removed, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out.withColumnRenamed("doc_id", key)

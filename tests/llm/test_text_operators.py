@@ -1,5 +1,6 @@
 """Personal data, near duplicates, quality rules, decontamination, exact repeats."""
 
+import collections
 import hashlib
 
 import numpy as np
@@ -266,6 +267,22 @@ def test_repeats_of_one_id(spark):
     assert len(rows) == 3 and sorted(r.n_removed for r in rows)[-1] == 240 and sum(r.n_removed == 0 for r in rows) in (1, 2)
 
 
+def test_repeats_of_many_null_and_repeated_ids(spark):
+    """A third of the rows on a null id, a third on one id, with a passage that all share: the rows
+    are judged in the order of (id, hash of the text), and are dealt out by both."""
+    line = "a passage that every document of this table shares, long enough to count as one. " * 2
+    rows = [((None, 7, i)[i % 3], f"{i * i} " * (i % 5) + line + f"tail {i}") for i in range(600)]
+    rows += [(None, rows[0][1])] * 50
+    df = spark.createDataFrame(rows, cases.SCHEMA)
+    order = [r.text for r in df.dropDuplicates().orderBy(F.asc_nulls_first("doc_id"), F.xxhash64("text")).collect()]
+    plain = cases.repeats(list(enumerate(order)))
+    by_text = {t: (n, g, s, hashlib.sha256(k).hexdigest()) for t, (n, g, s, k) in zip(order, (plain[i] for i in range(len(order))))}
+    out = suffix_dedup.remove_repeats(df)
+    got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect())
+    assert got == collections.Counter((i, *by_text[t]) for i, t in rows)
+    assert "hashpartitioning(doc" in (plan := out._jdf.queryExecution().toString()) and ", tie" in plan
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.text("ab", max_size=12), min_size=1, max_size=9), min_size=1, max_size=4))
 def test_suffix_sort(groups):
