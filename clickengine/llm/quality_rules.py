@@ -20,8 +20,6 @@ from clickengine.llm.common import SPACE, PrefixHash, blocks, mix, text_buffer,
 
 #: Buckets of the hashed n-grams (a power of two): the size of the model.
 BUCKETS = 1 << 16
-#: At most so many trusted documents make the target multinomial; their ids go to every task.
-TRUSTED_LIMIT = 20_000
 #: Pseudo-count of every bucket.
 SMOOTHING = 0.5
 #: Documents whose mean log ratio is below fail.
@@ -142,41 +140,43 @@ def _judge(column: pa.Array, model: Model) -> dict[str, np.ndarray]:
     return out
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_LIMIT, key: str = "doc_id") -> np.ndarray:
-    """Ids of good, non-toxic labelled documents: all of them, or ``limit`` picked by hash."""
+def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The distinct ids (column k) of good, non-toxic labelled documents."""
     good = labels.where((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col(key).isNotNull())
-    rows = good.select(F.col(key).cast("long").alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(limit).collect()
-    return np.sort(np.array([r.k for r in rows], np.int64))
+    return good.select(F.col(key).alias("k")).distinct()
 
 
-def fit(docs: DataFrame, trusted: np.ndarray, min_score: float = MIN_SCORE, key: str = "doc_id",
+def _count(texts: DataFrame) -> np.ndarray:
+    """How often each bucket occurs among the n-grams of a column of texts.  Each task adds up
+    its own buckets, so at most ``BUCKETS`` rows a task are shuffled, and ``BUCKETS`` rows reach
+    the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(0))
+            for i, j in blocks(offsets):
+                bucket, _ = _grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                total += np.bincount(bucket, minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
+
+    rows = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BUCKETS)
+    out[rows.bucket] = rows.n
+    return out
+
+
+def fit(docs: DataFrame, trusted: DataFrame, min_score: float = MIN_SCORE, key: str = "doc_id",
         text: str = "text") -> Model:
     """The log ratios: n-grams of all documents against those of the trusted ones.
 
-    Each task adds up its own buckets, so at most ``BUCKETS`` rows a task are shuffled, and
-    ``BUCKETS`` rows reach the driver.  Null ids are never trusted; no trusted n-grams, or no
+    ``trusted`` has the ids in column k.  They may be any number: documents are dealt out by id
+    and met with them task by task, without a broadcast.  Null ids are never trusted; no trusted n-grams, or no
     documents, give ratios of zero: every score is then 0.
     """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            ids = np.asarray(batch.column(0).fill_null(0))
-            good = np.isin(ids, trusted) & np.asarray(batch.column(0).is_valid())
-            for i, j in blocks(offsets):
-                bucket, first = _grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                raw += np.bincount(bucket, minlength=BUCKETS)
-                target += np.bincount(bucket[np.repeat(good[i:j], np.diff(first))], minlength=BUCKETS)
-        at = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])],
-                                         ["bucket", "raw", "target"])
-
-    rows = (docs.select(F.col(key).cast("long"), F.col(text).cast("string"))
-            .mapInArrow(count, "bucket long, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toPandas())
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[rows.bucket] = rows.raw
-    target[rows.bucket] = rows.target
+    rows = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
+    raw = _count(rows.select("t"))
+    target = _count(rows.where("k is not null").join(trusted.hint("shuffle_hash"), "k", "left_semi").select("t"))
     if target.sum() == 0:
         return Model(np.zeros(BUCKETS), min_score)
     share = [(c + SMOOTHING) / (c.sum() + SMOOTHING * BUCKETS) for c in (target, raw)]

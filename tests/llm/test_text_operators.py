@@ -181,7 +181,7 @@ def test_quality_counts_and_verdicts(spark):
 
 def test_quality_score_is_the_mean_log_ratio(spark):
     docs = spark.createDataFrame([(1, "aaaab"), (2, "zzzz"), (None, "aaaa")], cases.SCHEMA)
-    model = quality_rules.fit(docs, np.array([1]))
+    model = quality_rules.fit(docs, spark.createDataFrame([(1,)], "k long"))
     size = quality_rules.BUCKETS
     target, raw = {"aaaa": 1, "aaab": 1}, {"aaaa": 2, "aaab": 1, "zzzz": 1}
     ratio = {g: np.log((target.get(g, 0) + .5) / (2 + .5 * size)) - np.log((n + .5) / (4 + .5 * size)) for g, n in raw.items()}
