@@ -2,35 +2,39 @@
 
 The text view is a hashed byte n-gram profile; the page view is what is known about a document
 without its wording: language, source, size and layout.  Both start from labelled documents.
-In each round each view labels the unlabelled documents it is surest about for the other view.
-At the end each view's scores are calibrated on labelled documents that no round has seen, and
-the calibrated views are combined.
+In each round both views score every unlabelled document, on Spark, and each labels those it is
+surest about for the other view.  At the end each view's scores are calibrated on labelled
+documents that no round has seen, and the calibrated views are combined.
 
-Fitting takes bounded samples (``LABELLED``, ``POOL``) to the driver; scoring covers every document.
+What is fitted is bounded: ``LABELLED`` labelled documents, and ``TAKEN`` documents a view, class
+and round that a view has labelled.  They are picked from all documents.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickengine.llm.common import SPACE, blocks, text_buffer
 
-#: Labelled and unlabelled documents used for fitting: the first by a hash of their ids.
-LABELLED, POOL = 3000, 3000
+#: Labelled documents used for fitting: the first by a hash of their ids.
+LABELLED = 3000
 #: Buckets of the text view's n-grams.
 FEATURES = 1024
 #: Buckets of a category of the page view.
 CATEGORIES = 32
 ROUNDS = 3
-#: A view passes on at most this share of the pool a class and round, and only above this certainty.
-SHARE, SURE = 0.05, 0.95
+#: A view passes on the surest documents of a class and round: at most this share of all, at
+#: most so many, and only above this certainty.
+SHARE, TAKEN, SURE = 0.05, 300, 0.95
+#: The surest are ranked in so many buckets of documents first.
+BUCKETS = 64
 #: One of so many labelled documents is kept for calibration.
 HELD_OUT = 4
 #: Documents with a lower probability of good quality aren't kept.
@@ -123,36 +127,34 @@ class Model:
         return [1 / (1 + np.exp(-np.clip(v, -30, 30))) for v in (logits[:, 0], logits[:, 1], self.both.logit(logits))]
 
 
-def co_train(text: np.ndarray, page: np.ndarray, label: np.ndarray) -> Model:
-    """Fit on rows of both views; label is 1, 0 or -1 (unlabelled)."""
+#: (text rows, page rows) of the documents that view v (0: text, 1: page) is surest to be of class c.
+Surest = dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]
+
+
+def co_train(text: np.ndarray, page: np.ndarray, label: np.ndarray,
+             surest: Callable[[tuple[Linear, Linear]], Surest]) -> Model:
+    """Fit on labelled rows of both views (label 1 or 0).  ``surest`` is called once a round with the
+    text and the page classifier, and doesn't give a document twice."""
     views = (text, page)
-    known = np.flatnonzero(label >= 0)
-    held = known[np.arange(len(known)) % HELD_OUT == 0]
-    first = np.setdiff1d(known, held)
-    own = [label.copy(), label.copy()]
-    rows = [first, first]
-    pool = np.flatnonzero(label < 0)
+    held = np.arange(len(label)) % HELD_OUT == 0
+    x, y = [v[~held] for v in views], [label[~held]] * 2
     for _ in range(ROUNDS):
-        models = [fit_linear(v[r], o[r]) for v, r, o in zip(views, rows, own)]
-        taken = []
-        for k, model in enumerate(models):
-            logit = model.logit(views[k][pool])
-            bar = np.log(SURE / (1 - SURE))
-            most = max(1, int(SHARE * len(pool)))
-            for value, sure in ((1, logit), (0, -logit)):
-                best = np.argsort(-sure, kind="stable")[:most]
-                best = pool[best[sure[best] >= bar]]
-                own[1 - k][best] = value
-                rows[1 - k] = np.union1d(rows[1 - k], best)
-                taken.append(best)
-        pool = np.setdiff1d(pool, np.concatenate(taken))
-    models = [fit_linear(v[r], o[r]) for v, r, o in zip(views, rows, own)]
+        picked = surest((fit_linear(x[0], y[0]), fit_linear(x[1], y[1])))
+        for (view, value), rows in sorted(picked.items(), key=lambda p: p[0]):
+            x[1 - view] = np.concatenate((x[1 - view], rows[1 - view]))
+            y[1 - view] = np.concatenate((y[1 - view], np.full(len(rows[0]), value)))
+    models = [fit_linear(*xy) for xy in zip(x, y)]
     logits = [m.logit(v[held]) for m, v in zip(models, views)]
-    scale = tuple(fit_linear(x[:, None], label[held], 1e-3) for x in logits)
-    calibrated = np.stack([s.logit(x[:, None]) for s, x in zip(scale, logits)], 1)
+    scale = tuple(fit_linear(z[:, None], label[held], 1e-3) for z in logits)
+    calibrated = np.stack([s.logit(z[:, None]) for s, z in zip(scale, logits)], 1)
     return Model(*models, scale, fit_linear(calibrated, label[held], 1e-3))
 
 
+def most_taken(documents: int) -> int:
+    """How many documents a view passes on a class and round."""
+    return max(1, min(TAKEN, int(SHARE * documents)))
+
+
 def _views(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(i, j, text view, page view) of the rows of a batch; columns from ``at``: text, lang, source."""
     data, offsets = text_buffer(batch.column(at))
@@ -167,38 +169,95 @@ def _select(docs: DataFrame, key: str, text: str, lang: str, source: str) -> Dat
                                                 ((text, "text"), (lang, "lang"), (source, "source"))])
 
 
+def _with_views(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and both views (t, p: float32 bytes) of rows with text, lang and source."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, t, p in _views(batch, len(keep)):
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(c).slice(i, j - i) for c in range(len(keep))],
+                     *[pa.array([r.tobytes() for r in v.astype(np.float32)], pa.binary()) for v in (t, p)]],
+                    [*keep, "t", "p"])
+
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return rows.select(*keep, "text", "lang", "source").mapInArrow(run, f"{kinds}, t binary, p binary")
+
+
+def _stack(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    text, page = (np.stack([np.frombuffer(r[c], np.float32) for r in rows]) for c in "tp")
+    return text, page
+
+
+def _pool(rows: DataFrame, known: DataFrame, most: int) -> Callable[[tuple[Linear, Linear]], Surest]:
+    """``surest`` over all unlabelled rows.  A document is its features: rows of the same text,
+    language and source (x, a hash of them) are one, and one that was taken isn't given again.
+
+    A round reads the documents twice: to score them, which leaves a few numbers of those that a
+    view is sure of, and for the views of the ones that are taken."""
+    rows = rows.withColumn("x", F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("")),
+                                           F.lit("|"), F.coalesce("source", F.lit(""))))
+    bar = float(np.log(SURE / (1 - SURE)))
+    gone = np.zeros(0, np.int64)
+
+    def surest(models: tuple[Linear, Linear]) -> Surest:
+        nonlocal gone
+        seen = gone  # at most ROUNDS * 4 * TAKEN numbers
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i, j, t, p in _views(batch, 2):
+                    logit = [m.logit(v).astype(np.float64) for m, v in zip(models, (t, p))]
+                    x = np.asarray(batch.column(1).slice(i, j - i))
+                    sure = np.flatnonzero((np.maximum(*map(np.abs, logit)) >= bar) & ~np.isin(x, seen))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(i, j - i).take(pa.array(sure)), pa.array(x[sure]),
+                         *[pa.array(z[sure]) for z in logit]], ["k", "x", "t", "p"])
+
+        kind = rows.schema["k"].dataType.simpleString()
+        scored = rows.select("k", "x", "text", "lang", "source").mapInArrow(run, f"k {kind}, x long, t double, p double")
+        # Text hashes pick the same documents wherever they lie; the surest come first.
+        free = scored.join(known.select("k"), "k", "left_anti").groupBy("x").agg(F.min("t").alias("t"), F.min("p").alias("p"))
+        sides = [F.struct(F.lit(v).alias("v"), F.lit(c).alias("c"), (F.col(n) * (2 * c - 1)).alias("sure"))
+                 for v, n in enumerate("tp") for c in (0, 1)]
+        sides = free.select("x", F.inline(F.array(*sides))).where(F.col("sure") >= bar)
+        order = [F.desc("sure"), "x"]
+        first = Window.partitionBy("v", "c", F.pmod("x", F.lit(BUCKETS))).orderBy(*order)
+        top = sides.withColumn("n", F.row_number().over(first)).where(F.col("n") <= most).drop("n")
+        top = top.withColumn("n", F.row_number().over(Window.partitionBy("v", "c").orderBy(*order))).where(F.col("n") <= most)
+        picks = top.select("x", "v", "c", "n").collect()  # 4 * TAKEN rows of numbers
+        if not picks:
+            return {}
+        gone = np.union1d(gone, np.array([r.x for r in picks], np.int64))
+        wanted = rows.sparkSession.createDataFrame([(x,) for x in {r.x for r in picks}], "x long")
+        found = _with_views(rows.join(F.broadcast(wanted), "x", "left_semi"), ["x"])
+        views = {r.x: r for r in found.groupBy("x").agg(F.min(F.struct("t", "p")).alias("s")).select("x", "s.*").collect()}
+        by: dict[tuple[int, int], list] = {}
+        for r in sorted(picks, key=lambda r: r.n):
+            by.setdefault((r.v, r.c), []).append(views[r.x])
+        return {side: _stack(v) for side, v in by.items()}
+
+    return surest
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
         source: str = "source", quality: str = "quality") -> Model | None:
     """The co-trained model; None if the labelled documents aren't of both classes.
 
-    Rows of a null id, or a null quality, aren't labelled; an id with several labels has the smallest.
+    Rows of a null id, or a null quality, aren't labelled; an id with several labels has the
+    smallest, and a labelled id with several texts stands for one of them.
     """
-    rows = _select(docs, key, text, lang, source).where(F.col("k").isNotNull())
+    rows = _select(docs, key, text, lang, source)
     known = (labels.where(F.col(key).isNotNull() & F.col(quality).isNotNull())
              .groupBy(F.col(key).alias("k")).agg(F.min((F.col(quality) > 0).cast("int")).alias("y")))
-    by_hash = [F.xxhash64("k"), "k"]
-    labelled = known.join(rows.select("k").distinct(), "k", "left_semi").orderBy(*by_hash).limit(LABELLED)
-    pool = rows.select("k").distinct().join(known, "k", "left_anti").orderBy(*by_hash).limit(POOL)
-    # Bounded by LABELLED + POOL rows.
-    sample = F.broadcast(labelled.unionByName(pool.withColumn("y", F.lit(-1))))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, t, p in _views(batch, 2):
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i),
-                     *[pa.array([r.tobytes() for r in v.astype(np.float32)], pa.binary()) for v in (t, p)]],
-                    ["k", "y", "t", "p"])
-
-    kind = rows.schema["k"].dataType.simpleString()
-    seen = rows.join(sample, "k").select("k", "y", "text", "lang", "source").mapInArrow(
-        run, f"k {kind}, y int, t binary, p binary")
-    got = sorted(seen.collect(), key=lambda r: (r.k, r.t))
+    there = known.join(rows.select("k"), "k", "left_semi")
+    sample = F.broadcast(there.orderBy(F.xxhash64("k"), "k").limit(LABELLED))
+    seen = _with_views(rows.join(sample, "k"), ["k", "y"])
+    one = seen.groupBy("k", "y").agg(F.min(F.struct("t", "p")).alias("s")).select("k", "y", "s.*")
+    got = sorted(one.collect(), key=lambda r: r.k)  # LABELLED rows
     label = np.array([r.y for r in got], np.int64)
-    if len({*label.tolist()} - {-1}) < 2:
+    if len({*label.tolist()}) < 2:
         return None
-    text_rows, page_rows = (np.stack([np.frombuffer(getattr(r, c), np.float32) for r in got]) for c in "tp")
-    return co_train(text_rows, page_rows, label)
+    return co_train(*_stack(got), label, _pool(rows, known, most_taken(docs.count())))
 
 
 def score(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text", lang: str = "lang",

@@ -4,6 +4,7 @@ import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from clickengine.llm import packing, quality_classifier, sharding, url_filter, wavelet
+from clickengine.llm.common import text_buffer
 from clickengine.llm.queries import tokenizer_file
 from clickengine.llm.tokens import Encoder
 from tests.llm import cases
@@ -322,18 +324,82 @@ def test_classifier_on_held_out_labels(spark):
     assert (test[test.quality == 1].score >= quality_classifier.KEEP).mean() > 0.99
 
 
+def _plain_surest(text, page, names, most):
+    """The surest of a pool in memory, as by the definition: no document twice, ties by name."""
+    gone = set()
+
+    def surest(models):
+        logit = [m.logit(v).astype(float) for m, v in zip(models, (text, page))]
+        bar = np.log(quality_classifier.SURE / (1 - quality_classifier.SURE))
+        out, taken = {}, set()
+        for v in (0, 1):
+            for c in (0, 1):
+                sure = logit[v] * (2 * c - 1)
+                best = [i for i in sorted(range(len(names)), key=lambda i: (-sure[i], names[i]))
+                        if sure[i] >= bar and i not in gone][:most]
+                if best:
+                    out[v, c] = (text[best], page[best])
+                    taken.update(best)
+        gone.update(taken)
+        return out
+
+    return surest
+
+
 def test_co_training_beats_few_labels():
     """Two views that only agree on the class: rounds bring in what few labels don't show."""
     rng = np.random.default_rng(5)
     n = 800
     y = rng.integers(0, 2, n)
     views = [(rng.normal(size=(n, 20)) + 1.2 * (y[:, None] - 0.5) * w).astype(np.float32) for w in rng.normal(size=(2, 20))]
-    label = np.where(np.arange(n) < 40, y, -1)
-    model = quality_classifier.co_train(*views, label)
+    pool = _plain_surest(*[v[40:] for v in views], list(range(40, n)), 40)
+    model = quality_classifier.co_train(*[v[:40] for v in views], y[:40], pool)
     both = model.scores(*views)[2]
     assert ((both[40:] >= 0.5) == (y[40:] == 1)).mean() > 0.8
 
 
+def test_co_training_on_spark_is_that_of_plain_rounds(spark, monkeypatch):
+    """The model fitted on Spark over the whole pool, with repeated and null ids, against rounds in memory."""
+    monkeypatch.setattr(quality_classifier, "TAKEN", 25)
+    docs = cases.documents(spark, "sf0.01").select("doc_id", "text", "lang", "source")
+    more = docs.where("doc_id % 9 = 0").selectExpr("cast(null as long) doc_id", "concat(text, ' !') text", "lang", "source")
+    twice = docs.where("doc_id = 3")
+    docs = docs.unionByName(more).unionByName(twice).unionByName(twice.withColumn("text", F.lit("other words of one id")))
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("doc_id % 3 <> 1")
+    got = quality_classifier.fit(docs, labels)
+
+    known = {r.doc_id: int(r.quality > 0) for r in labels.collect()}
+    rows = docs.withColumn("x", F.xxhash64("text", "lang", F.lit("|"), "source")).collect()
+    assert all(None not in (r.text, r.lang, r.source) for r in rows)
+
+    def views(some):
+        data, offsets = text_buffer(pa.array([r.text for r in some]))
+        return (quality_classifier.text_view(data, offsets),
+                quality_classifier.page_view(data, offsets, [r.lang for r in some], [r.source for r in some]))
+
+    first = {}
+    for r in rows:
+        if r.doc_id in known:
+            mine = tuple(v[0].astype(np.float32).tobytes() for v in views([r]))
+            first[r.doc_id] = min(first.get(r.doc_id, (mine, r)), (mine, r), key=lambda p: p[0])
+    train = [first[i][1] for i in sorted(first)]
+    pool = sorted({r.x: r for r in rows if r.doc_id not in known}.values(), key=lambda r: r.x)
+    surest = _plain_surest(*views(pool), [r.x for r in pool], quality_classifier.most_taken(len(rows)))
+    want = quality_classifier.co_train(*views(train), np.array([known[r.doc_id] for r in train]), surest)
+    for a, b in ((got.text, want.text), (got.page, want.page), (got.both, want.both)):
+        assert np.allclose(a.weights, b.weights, rtol=1e-4, atol=1e-5) and a.bias == pytest.approx(b.bias, rel=1e-4, abs=1e-4)
+
+
+def test_labelled_id_with_many_rows_is_one_example(spark):
+    """One labelled id on most rows: the fit has one row of it, the pool none."""
+    docs = cases.documents(spark).selectExpr("doc_id", "text", "lang", "source")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    hot = labels.where("quality = 1").agg(F.min("doc_id")).first()[0]
+    many = docs.withColumn("doc_id", F.lit(hot)).withColumn("text", F.concat("text", F.lit(" again")))
+    model = quality_classifier.fit(docs.unionByName(many).unionByName(many), labels)
+    assert model is not None and np.isfinite(model.text.weights).all()
+
+
 def test_classifier_odd_rows(spark):
     docs = cases.odd(spark, True)
     assert quality_classifier.fit(docs, spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")) is None
