@@ -229,6 +229,49 @@ def test_decontamination_odd_rows_in_blocks(spark, monkeypatch):
     assert longest[1] == 40 and longest[10] == 6 and longest[4] == 0
 
 
+def _longest_plain(words, items):
+    """Longest common stretch of at least a window with an item, or a whole shorter item."""
+    best = 0
+    for item in items:
+        least = min(decontamination.WINDOW, len(item))
+        if not least:
+            continue
+        for i in range(len(words)):
+            for j in range(len(item)):
+                k = 0
+                while i + k < len(words) and j + k < len(item) and words[i + k] == item[j + k]:
+                    k += 1
+                best = max(best, k if k >= least else 0)
+    return best
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=40), min_size=1, max_size=5),
+       st.lists(st.lists(st.sampled_from("abc"), max_size=30), min_size=1, max_size=5))
+def test_longest_match_is_that_of_brute_force(texts, items):
+    tests = decontamination.make_tests([(str(i), " ".join(x)) for i, x in enumerate(items)])
+    data, offsets = text_buffer(pa.array([" ".join(t) for t in texts]))
+    shard = decontamination.Shard(data, offsets)
+    shard.match(tests)
+    assert shard.longest.tolist() == [_longest_plain(t, items) for t in texts]
+    assert all(len(v) == 1 for v in shard.items.values()) and set(shard.items) == set(shard.spans)
+
+
+def test_decontamination_of_a_common_line(spark):
+    """One line in thousands of documents and items: places aren't paired, lists are shared."""
+    import tracemalloc
+    line = "this one line of fifteen words stands in all documents and in all items here"
+    tests = decontamination.make_tests([(str(i), f"{line} item number {i}") for i in range(5000)])
+    data, offsets = text_buffer(pa.array([f"doc {i} {line} end {i}" for i in range(5000)]))
+    tracemalloc.start()
+    shard = decontamination.Shard(data, offsets)
+    shard.match(tests)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (shard.longest == 15).all() and len({id(v[0]) for v in shard.items.values()}) == 1 and len(shard.items[7][0]) == 5000
+    assert peak < 100 << 20
+
+
 def test_decontamination_without_benchmark(spark):
     _decontaminated(cases.odd(spark), spark.createDataFrame([], "item_id long, text string"))
 
