@@ -1,16 +1,21 @@
 """Token ids by a file of the tokenizers library, with a cache of text pieces.
 
-A byte-level BPE with the usual pattern never joins what stands before a space and what
-follows it, if a letter, digit or punctuation mark follows.  Texts are cut there, and each
-different piece is encoded once; the result is the same as that of the whole text.  Pieces
-in Latin letters are split into words here, by the same pattern, and the words go to the
-tokenizer's model; all others go through the whole tokenizer.  The file's added tokens, where
-they are matched, cut a text first, and what lies between them is encoded for itself.
+Where the file's merges make every token of its vocabulary out of that token's bytes, in the
+order of the ids, merging the pair with the smallest id first gives the same ids, and that is
+what the tiktoken library does: texts in Latin letters go there whole.
+
+Other texts go piece by piece.  A byte-level BPE with the usual pattern never joins what stands
+before a space and what follows it, if a letter, digit or punctuation mark follows.  Texts are
+cut there, and each different piece is encoded once; the result is the same as that of the whole
+text.  Pieces in Latin letters are split into words here, by the same pattern, and the words go
+to the tokenizer's model; all others go through the whole tokenizer.  The file's added tokens,
+where they are matched, cut a text first, and what lies between them is encoded for itself.
 """
 
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import string
@@ -18,6 +23,7 @@ from itertools import chain
 
 import numpy as np
 import regex
+import tiktoken
 
 from clickengine.llm.common import ragged
 
@@ -27,8 +33,14 @@ CACHE = 150_000
 
 #: The pattern of the pre-tokenizer (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same, without going back inside a run of one kind.
+RUNS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s+(?!\S)|\s+"
 #: Pieces of characters below are split here.
 LATIN_END = "\u0250"
+#: The first UTF-8 byte of characters from U+0240 on.
+LATIN_BYTES = 0xC9
+#: White space of such length is left to the tokenizer: the other pattern would go back through it.
+LONG_SPACE = 10_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -39,6 +51,26 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _by_rank(tokenizer) -> tiktoken.Encoding | None:
+    """The tokenizer's encoding by ids of merges; None if it may differ."""
+    file = json.loads(tokenizer.to_str())
+    model, before = file["model"], file["pre_tokenizer"] or {}
+    plain = (model["type"] == "BPE" and not file["normalizer"] and not any(model.get(k) for k in (
+        "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")))
+    if not plain or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        return None
+    added = {t["content"]: t["id"] for t in file["added_tokens"]}
+    vocab = {t: i for t, i in model["vocab"].items() if t not in added}
+    merged = [vocab.get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
+    letters = {c: b for b, c in _byte_letters().items()}
+    if (None in merged or any(a >= b for a, b in zip(merged, merged[1:])) or not letters.keys() <= vocab.keys()
+            or any(c not in letters for t in vocab for c in t)
+            or any([x.id for x in tokenizer.model.tokenize(t)] != [i] for t, i in vocab.items())):
+        return None
+    return tiktoken.Encoding("by_rank", pat_str=RUNS, mergeable_ranks={bytes(letters[c] for c in t): i for t, i in vocab.items()},
+                             special_tokens=added or {"\0": max(vocab.values()) + 1})
+
+
 _MARKS = frozenset(string.punctuation)
 _RAW = "\0"  # marks a piece that isn't led by a space
 
@@ -91,6 +123,8 @@ class Encoder:
         self.at_added = None
         if not any(t.single_word or t.lstrip or t.rstrip or t.normalized and self.tokenizer.normalizer for t in tokens):
             self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        self.by_rank = _by_rank(self.tokenizer)
+        self.long_space = re.compile(rf"\s{{{LONG_SPACE}}}")
         self.model = self.tokenizer.model
         self.words = regex.compile(PATTERN)
         self.letters = _byte_letters()
@@ -191,9 +225,31 @@ class Encoder:
         self.count = np.concatenate((self.count, counts))
         self.flat = np.concatenate((self.flat, *flat))
 
+    def _whole(self, text: str | None) -> np.ndarray | None:
+        """The ids of a text that needs no pieces."""
+        if not text:
+            return np.zeros(0, np.uint32)
+        if self.by_rank is None or any(token in text for token in self.added):
+            return None
+        if not text.isascii() and np.frombuffer(text.encode(), np.uint8).max() >= LATIN_BYTES:
+            return None
+        if len(text) >= LONG_SPACE and self.long_space.search(text):
+            return None
+        return self.by_rank.encode_to_numpy(text, disallowed_special=())
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, first): the ids of all texts, and where each text's begin (one more entry).
         None counts as an empty text."""
+        out = [self._whole(t) for t in texts]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        if rest:
+            ids, first = self._in_pieces([texts[i] for i in rest])
+            for k, i in enumerate(rest):
+                out[i] = ids[first[k]:first[k + 1]]
+        first = np.concatenate(([0], np.cumsum([len(x) for x in out]))).astype(np.int64)
+        return np.concatenate(out) if out else np.zeros(0, np.uint32), first
+
+    def _in_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.pieces) > self.cache:
             self._next_generation()
         collecting = gc.isenabled()
@@ -204,13 +260,10 @@ class Encoder:
             if collecting:
                 gc.enable()
 
-    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         numbers, sizes = [], []
         for t in texts:
-            if t and any(token in t for token in self.added):
-                n = self._around_added(t)
-            else:
-                n = self._numbers(t) if t else []
+            n = self._around_added(t) if any(token in t for token in self.added) else self._numbers(t)
             numbers.extend(n)
             sizes.append(len(n))
         if self.pieces.waiting:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from clickengine.llm import packing, quality_classifier, sharding, url_filter, wavelet
+from clickengine.llm import packing, quality_classifier, sharding, tokens, url_filter, wavelet
 from clickengine.llm.common import text_buffer
 from clickengine.llm.queries import tokenizer_file
 from clickengine.llm.tokens import Encoder
@@ -43,9 +43,38 @@ def test_encoder_is_the_tokenizer(tokenizer):
 @given(st.lists(st.text(alphabet=st.sampled_from(list(" \n\tab1.'!éß日\u00a0\u200b\x1c|")), max_size=25), max_size=4))
 def test_encoder_on_any_spacing(texts):
     encoder = Encoder.of(tokenizer_file())
-    ids, first = encoder.encode(texts)
     want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
+    for ids, first in (encoder.encode(texts), encoder._in_pieces(texts)):
+        assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
+
+
+def test_encoder_on_latin_characters_and_long_runs(tokenizer):
+    rng = np.random.default_rng(4)
+    latin = [chr(c) for c in range(0x260)]
+    texts = ["".join(rng.choice(latin, 300)) for _ in range(200)]
+    texts += ["".join(f"{a}x{a}1 {a} {a}'s" for a in latin[k:k + 40]) for k in range(0, len(latin), 40)]
+    texts += [c * n + end for c in " \n\ta!1é" for n in (9_998, 10_000, 60_000) for end in ("", "x", " x")]
+    encoder = Encoder.of(tokenizer_file())
+    assert encoder.by_rank is not None
+    ids, first = encoder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == _ids(tokenizer, texts)
+
+
+def test_merges_that_ids_do_not_order_are_left_to_the_tokenizer():
+    """Tokens that no merge makes, or ids in another order than the merges, change what is merged first."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    base = {c: i for i, c in enumerate(tokens._byte_letters().values())}
+
+    def made(merges, extra=()):
+        vocab = base | {"".join(m): 256 + i for i, m in enumerate(merges)} | dict(extra)
+        t = Tokenizer(models.BPE(vocab=vocab, merges=merges))
+        t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+        return t
+
+    good = made([("a", "b"), ("ab", "c")])
+    assert tokens._by_rank(good).encode_ordinary("abcab") == good.encode("abcab").ids
+    assert tokens._by_rank(made([("a", "b")], {"bc": 300})) is None
+    assert tokens._by_rank(made([("b", "c"), ("a", "b")], {"bc": 300})) is None
 
 
 def test_added_tokens_are_those_of_the_untouched_tokenizer(spark):
