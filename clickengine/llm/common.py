@@ -161,18 +161,27 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(out)
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
-    """Batches sorted by ``key`` as tables of about ``rows`` rows that hold whole groups, each
-    with the first row of its groups."""
+def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about so many bytes."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int, size: int | None = None) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Batches sorted by ``key`` as tables of about ``rows`` rows, or ``size`` bytes if that is
+    less, that hold whole groups, each with the first row of its groups."""
     def starts(k):
         return np.flatnonzero(np.append(True, k[1:] != k[:-1]))
 
     held: list[pa.RecordBatch] = []
     count, need = 0, rows
-    for batch in batches:
+    most = size
+    for batch in batches if size is None else _slices(batches, size):
         held.append(batch)
         count += batch.num_rows
-        if count < need:
+        if count < need and (size is None or sum(b.nbytes for b in held) < most):
             continue
         table = pa.Table.from_batches(held).combine_chunks()
         k = np.asarray(table.column(key).combine_chunks())
@@ -182,6 +191,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int) -> Iter
         held = table.slice(cut).to_batches()
         count -= cut
         need = max(rows, 2 * count)
+        most = size and max(size, 2 * sum(b.nbytes for b in held))
     if count:
         table = pa.Table.from_batches(held).combine_chunks()
         yield table, starts(np.asarray(table.column(key).combine_chunks()))

@@ -9,7 +9,8 @@ independent trees bring the recall to the target.
 
 Node comparisons on sketches, with a margin of four deviations, only say which classes may be
 linked; candidate components of bounded size, or the tree nodes of larger ones, then get the
-whole texts once, and links are confirmed on the full sets.  Groups of any size are thus met
+whole texts once, and links are confirmed on the full sets, by blocks where the texts of a group
+are long together.  Groups of any size are thus met
 in nodes, and what is emitted is a star for each component found in a node: connected documents
 stay connected by at most one row each.  Nodes that branching can't bring down are first met in
 parts with common hubs; classes that this leaves unconnected are compared with all classes of
@@ -47,6 +48,10 @@ ROUNDS = 6
 HUBS = 32
 #: Classes of a candidate component whose texts are compared in one go.
 GROUP = 2048
+#: Shingles of the texts that are compared in one go; more are compared by pairs of blocks.
+GROUP_SHINGLES = 1 << 22
+#: Bytes of texts that a task gathers before it compares the whole groups among them.
+CONFIRM_BYTES = 16 << 20
 
 _LAST = 2**63 - 1
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -223,7 +228,7 @@ def _linked(value: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Task: (grp, rep, text) sorted by grp to confirmed links."""
-    for table, first in whole_groups(batches, "grp", 1000):
+    for table, first in whole_groups(batches, "grp", 1000, CONFIRM_BYTES):
         rep = np.asarray(table.column("rep").combine_chunks())
         data, offsets = text_buffer(table.column("text"))
         parts = [shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in blocks(offsets)]
@@ -300,6 +305,19 @@ def _comparisons(leaves: DataFrame, candidates: DataFrame) -> DataFrame:
     return small.unionByName(in_nodes)
 
 
+def _in_bounds(groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """(grp, rep) with at most about ``GROUP_SHINGLES`` shingles a group: the classes of a group of more
+    are dealt out to blocks of half as many, and every two blocks are a group, so that no pair is lost."""
+    rows = groups.join(classes.select("rep", "n"), "rep")
+    sizes = rows.groupBy("grp").agg(F.ceil(F.sum("n") * 2 / GROUP_SHINGLES).alias("blocks")).where("blocks > 2")
+    rows = groups.join(sizes, "grp", "left").withColumn("block", F.pmod(F.xxhash64("rep", "grp"), F.col("blocks")))
+    other = F.when(F.col("blocks").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    rows = rows.withColumn("other", F.explode(other)).where("blocks IS NULL OR block <> other")
+    pair = F.xxhash64("grp", F.least("block", "other"), F.greatest("block", "other"))
+    return rows.select(F.when(F.col("blocks").isNull(), F.col("grp")).otherwise(pair).alias("grp"), "rep")
+
+
 def _unconnected(large: DataFrame, links: DataFrame, sketches: DataFrame) -> DataFrame:
     """(grp, rep): whose texts are compared for the pairs of large nodes that ``links`` don't connect.
 
@@ -341,8 +359,8 @@ def _report(docs: DataFrame, key: str, text: str) -> DataFrame:
     sets = materialize(source.mapInArrow(_sketch_task, "doc long, mark binary, n long, set binary, sketch binary"))
     # A null id comes after all others.
     row = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark")
-    classes = materialize(sets.where("n > 0").groupBy("set").agg(F.min(F.struct(row.alias("first"), "sketch")).alias("m"))
-                          .select("set", F.xxhash64("set").alias("rep"), "m.first", "m.sketch"))
+    classes = materialize(sets.where("n > 0").groupBy("set").agg(F.min(F.struct(row.alias("first"), "n", "sketch")).alias("m"))
+                          .select("set", F.xxhash64("set").alias("rep"), "m.first", "m.n", "m.sketch"))
     leaves, large = _leaves(classes)
     leaves = materialize(leaves)
     # The low byte of every minwise token.
@@ -353,7 +371,7 @@ def _report(docs: DataFrame, key: str, text: str) -> DataFrame:
     candidates = rows.repartition("node").sortWithinPartitions("node").mapInArrow(_compare_sketches, "u long, v long")
 
     def confirmed(groups: DataFrame) -> DataFrame:
-        groups = materialize(groups)
+        groups = materialize(_in_bounds(materialize(groups), classes))
         want = groups.select("rep").distinct().join(classes, "rep").select(
             "rep", F.col("first.doc").alias("_doc"), F.col("first.mark").alias("_mark"))
         texts = source.join(want, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("rep", "text")

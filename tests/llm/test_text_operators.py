@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from clickengine.llm import decontamination, graph, near_dedup, pii, quality_rules, suffix_dedup
+from clickengine.llm import common, decontamination, graph, near_dedup, pii, quality_rules, suffix_dedup
 from clickengine.llm.common import text_buffer
 from clickengine.llm.queries import QUERIES
 from tests.llm import cases
@@ -114,6 +114,44 @@ def test_near_duplicates_linked_to_a_centre_only(spark, monkeypatch):
     assert got == _near_plain(df) and len({c for _, _, c, _ in got}) == 2
 
 
+@pytest.mark.parametrize("most", [150, 1000])
+def test_near_duplicates_in_groups_of_few_shingles(spark, monkeypatch, most):
+    """Groups with more shingles are compared by pairs of blocks, and no link is lost."""
+    words = [f"w{i}" for i in range(100)]
+    chain = [" ".join(words[:k] + [f"u{i}"] + words[k + 1:]) for i, k in enumerate(range(5, 95, 5))]
+    star = [" ".join(f"v{w}" for w in words[:k]) for k in range(80, 105)] + ["vw0 " * 2000]
+    df = spark.createDataFrame(list(enumerate(chain + star)), cases.SCHEMA)
+    want = _near_plain(df)
+    monkeypatch.setattr(near_dedup, "GROUP_SHINGLES", most)
+    assert _near(df) == want
+
+
+def test_whole_groups_by_bytes():
+    rng = np.random.default_rng(2)
+    k = np.sort(rng.integers(0, 40, 500))
+    text = ["x" * int(n) for n in rng.integers(0, 300, 500)]
+    rows = pa.RecordBatch.from_arrays([pa.array(k), pa.array(text)], ["k", "text"])
+    tables = list(common.whole_groups(iter([rows.slice(0, 333), rows.slice(333)]), "k", 400, 5000))
+    assert pa.concat_tables([t for t, _ in tables]).to_pydict() == rows.to_pydict()
+    of = [set(t.column("k").to_pylist()) for t, _ in tables]
+    assert sum(map(len, of)) == len(set(k)) and max(t.nbytes for t, _ in tables) < 20_000
+    for t, first in tables:
+        own = t.column("k").to_numpy()
+        assert first.tolist() == [i for i in range(len(own)) if not i or own[i] != own[i - 1]]
+
+
+def test_near_duplicates_recall_just_above_the_threshold(spark):
+    """600 pairs at similarity 0.754 (86 of 114 shingles): the trees and sketches lose next to none."""
+    rows = []
+    for i in range(600):
+        words = [f"a{i}x{k}" for k in range(104)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:90] + [f"b{i}x{k}" for k in range(14)]))]
+    df = spark.createDataFrame(rows, cases.SCHEMA)
+    got = [r for r in near_dedup.near_duplicates(df).collect() if r.doc_id % 2]
+    linked = sum(r.component_id == r.doc_id - 1 for r in got)
+    assert all(r.component_id in (r.doc_id, r.doc_id - 1) for r in got) and linked >= 597
+
+
 def test_near_duplicates_threshold_is_exact(spark):
     words = [f"w{i}" for i in range(300)]
     base = " ".join(words[:104])  # 100 shingles
